@@ -1,0 +1,15 @@
+"""Registered queries over the driver's tables and their SQL twins."""
+
+from __future__ import annotations
+
+
+def flagship(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+
+
+def queries():
+    return {}
+
+
+def oracle_sql():
+    return {}
