@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("mixing", "sharding")
+MODULES = ("simhash", "mixing", "sharding")
 
 
 def _all(kind: str) -> dict:
