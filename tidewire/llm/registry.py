@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("simhash", "mixing", "sharding")
+MODULES = ("simhash", "decontaminate", "mixing", "sharding")
 
 
 def _all(kind: str) -> dict:
