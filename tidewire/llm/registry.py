@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("simhash", "decontaminate", "mixing", "sharding")
+MODULES = ("toxicity", "decontaminate", "language", "mixing", "sharding", "simhash")
 
 
 def _all(kind: str) -> dict:
