@@ -124,6 +124,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     known = groups.join(linked, "fingerprint", "left").select(
         "fingerprint", F.coalesce("root", "fingerprint").alias("root"), F.coalesce("component_id", "least").alias("component_id")
     )
+    known = stash(known)  # so that the join below is of two plain shuffles, whose hot keys Spark can split
     return prints.join(known, "fingerprint")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewire.llm.common import crc_bucket, map_texts, read_table, stash
+from tidewire.llm.common import crc_bucket, labelled_sample, map_texts, read_table, stash
 
 #: Labelled rows to learn from: so many of each class at most, chosen by a hash of their id.
 MAX_PER_CLASS = 10_000
@@ -81,26 +81,6 @@ class Matcher:
         return {i for stem, n in counts.items() for often, i in self.numbers[stem] if n >= often}
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str, held_out, bound: int) -> DataFrame:
-    """text, label, weight of a bounded sample of labelled rows outside the held-out part.
-
-    The sampled ids have a proven bound (about `bound` for each of two classes) and are broadcast, so the
-    texts aren't shuffled. weight is how many labelled rows each stands for. A doc_id labelled twice counts
-    as 1 if any of its labels is.
-    """
-    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("__label"))
-    known = known.where(~held_out(F.col("doc_id")))
-    counts = {r[0]: r[1] for r in known.groupBy("__label").count().collect()}
-    share = {y: min(1.0, bound / n) for y, n in counts.items()}
-    steps = 1 << 20
-    draw = F.pmod(F.xxhash64(F.lit("train"), "doc_id"), F.lit(steps))
-    cut = F.when(F.col("__label") == 1, F.lit(int(steps * share.get(1, 0)))).otherwise(F.lit(int(steps * share.get(0, 0))))
-    weight = F.when(F.col("__label") == 1, F.lit(1 / share.get(1, 1.0))).otherwise(F.lit(1 / share.get(0, 1.0)))
-    chosen = known.where(draw < cut).select(F.col("doc_id").alias("__id"), "__label", weight.alias("__weight"))
-    rows = docs.select(F.col(key).alias("__id"), F.col(text).alias("__text"))
-    return rows.join(F.broadcast(chosen), "__id").select(F.col("__text").alias("text"), F.col("__label").alias("label"), F.col("__weight").alias("weight"))
-
-
 def learn_entries(train: DataFrame) -> list[str]:
     """Words and beginnings of words that stand out in toxic texts, best first. Counted over all of train."""
 
