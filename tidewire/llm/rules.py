@@ -182,10 +182,22 @@ def viterbi(emit: list[list[float]], move: list[list[float]]) -> list[int]:
 
 
 def frequent_lines(docs: DataFrame, text: str = "text") -> list[int]:
-    """Hashes of the lines with a word that are frequent in the whole corpus."""
-    lines = docs.select(F.explode(F.split(F.col(text), "\n", -1)).alias("line")).where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
-    counts = lines.groupBy(F.xxhash64("line").alias("hash")).agg(F.count("*").alias("n"))
-    counts = counts.where(F.col("n") >= FREQUENT_LEAST)
+    """Hashes of the lines that are frequent in the whole corpus, counted once for each surrounding.
+
+    A surrounding is how the lines before and after begin: lines that only copies of one text share stay
+    between the same neighbours, while boilerplate turns up between different ones.
+    """
+    lines = F.filter(F.split(F.col(text), "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+
+    def start(x):
+        return F.substring_index(x, " ", 2)
+
+    def placed(line, i):
+        around = F.xxhash64(start(F.get(F.col("lines"), i - 1)), start(F.get(F.col("lines"), i + 1)))
+        return F.struct(F.xxhash64(line).alias("hash"), around.alias("around"))
+
+    found = docs.select(lines.alias("lines")).select(F.inline(F.transform("lines", placed)))
+    counts = found.distinct().groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT_LEAST)
     total = docs.select(F.sum(F.size(F.split(F.col(text), "\n", -1)))).first()[0] or 0
     rows = counts.where(F.col("n") > total / FREQUENT_SHARE).select("hash").collect()
     return [r["hash"] & 0xFFFFFFFFFFFFFFFF for r in rows]
