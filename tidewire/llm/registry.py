@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("toxicity", "decontaminate", "language", "mixing", "sharding", "simhash")
+MODULES = ("toxicity", "rules", "decontaminate", "quality", "language", "mixing", "sharding", "simhash")
 
 
 def _all(kind: str) -> dict:
