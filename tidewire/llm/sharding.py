@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import hash_order, read_table, running_sum, stash
+from tidewire.llm.common import read_table, running_sum, stash
 
 SHARDS = 8
 
@@ -44,30 +44,32 @@ def with_slots(df: DataFrame, shard: str, identity: list[Column], out: str = "sl
     return running_sum(df, [shard], ["__order"], "__one", out, bits=12).drop("__order", "__one")
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row of docs.
+LAW = ("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+def shard_documents(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str = "text", carry: Sequence[str] = (), written: bool = False) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard and the columns of `carry` for every row of docs.
 
     The law is `key`. A null text has size 1 and the checksum of no bytes; a null id is a key like any
     other; repeated rows share a shard and get slots of their own; an empty table gives no rows; columns
-    other than the key and the text are ignored.
+    other than the key, the text and those of `carry` are ignored. written: docs is a written table.
     """
     raw = F.coalesce(F.encode(F.col(text), "UTF-8"), F.lit(b""))
     rows = docs.select(
         F.col(key).alias("doc_id"),
         (F.octet_length(raw).cast("long") + F.lit(1)).alias("size"),
         F.crc32(raw).cast("long").alias("text_crc32"),
+        F.struct(F.lit(0).alias("__none"), *[F.col(f"`{c}`") for c in carry]).alias("__row"),
     )
-    rows = stash(
-        rows.withColumns(
-            {
-                "law": F.lit("key"),
-                "shard": rendezvous(F.col("doc_id"), equal_shards(shards)),
-                "grown_shard": rendezvous(F.col("doc_id"), equal_shards(shards + 1)),
-            }
-        )
+    rows = rows.withColumns(
+        {
+            "law": F.lit("key"),
+            "shard": rendezvous(F.col("doc_id"), equal_shards(shards)),
+            "grown_shard": rendezvous(F.col("doc_id"), equal_shards(shards + 1)),
+        }
     )
-    out = with_slots(rows, "shard", [F.col("doc_id"), F.col("text_crc32")])
-    return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    out = with_slots(rows if written else stash(rows), "shard", [F.col("doc_id"), F.col("text_crc32")])
+    return out.select(*LAW, *[F.col(f"__row.`{c}`").alias(c) for c in carry])
 
 
 def op9_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

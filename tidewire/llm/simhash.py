@@ -136,12 +136,17 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     found = near_duplicates(docs, key, text)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_key").alias("text")))
     best = found.groupBy("root").agg(first.alias("best")).select(F.col("best.id").alias("__id"), F.col("best.text").alias("__text"))
+    best = best.select(named(F.col("__id")).alias("__id"), "__text")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.select(F.struct(*columns).alias("__row"), F.col(key).alias("__key"), F.xxhash64(F.col(text)).alias("__hash"))
-    rows = rows.join(best, F.col("__key").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__text")), "left_semi")
-    once = Window.partitionBy("__key", "__hash").orderBy("__hash")
-    rows = rows.withColumn("__nth", F.row_number().over(once)).where("__nth = 1")
-    return rows.select("__row.*")
+    rows = docs.select(F.struct(*columns).alias("__row"), named(F.col(key)).alias("__id"), F.xxhash64(F.col(text)).alias("__text"))
+    rows = rows.join(best, ["__id", "__text"], "left_semi")
+    once = Window.partitionBy("__id", "__text").orderBy("__text")
+    return rows.withColumn("__nth", F.row_number().over(once)).where("__nth = 1").select("__row.*")
+
+
+def named(key: Column) -> Column:
+    """An id as text that is never null."""
+    return F.coalesce(F.concat(F.lit("="), key.cast("string")), F.lit("-"))
 
 
 def hex_digits(fp: Column) -> Column:
