@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("urls",)
+MODULES = ("urls", "text", "classify", "index", "dedup", "crumbs")
 
 
 def _all(kind: str) -> dict:

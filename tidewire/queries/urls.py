@@ -88,6 +88,13 @@ def o59_error_columns(spark, sf_dir):
 
 REGISTERED = "CASE WHEN regexp_matches({h}, '\\.example\\.(com|net|org)$') THEN regexp_extract({h}, '([^.]+\\.example\\.[a-z]+)$', 1) ELSE coalesce(nullif(regexp_extract({h}, '([^.]+\\.[^.]+)$', 1), ''), {h}) END"
 
+#: CTEs from `parts` to `normal`: page_id, url, normalized.
+NORMAL = """ports AS (SELECT *, regexp_extract(hp, ':([0-9]+)$', 1) AS port FROM parts),
+ fronts AS (SELECT page_id, url, regexp_replace(host, '^www\\.', '') || CASE WHEN port = '' OR (scheme = 'http' AND port = '80') OR (scheme = 'https' AND port = '443') THEN '' ELSE ':' || port END
+  || regexp_replace(regexp_extract(rest, '^//[^/?#]*([^?#]*)', 1), '/+$', '') AS front,
+  list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*\\?([^#]*)', 1), '&'), lambda p: p <> '' AND NOT starts_with(p, 'utm_'))) AS q FROM ports),
+ normal AS (SELECT page_id, url, front || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS normalized FROM fronts)"""
+
 QUERIES = {f.__name__: f for f in (o20_check_url, o22_non_news_join, o24_filter_domains, o27_classify_redirects, o28_redirects_registered, o44_url_functions, o45_story_id, o46_names, o48_metric_names, o49_metadata_json, o59_error_columns)}
 
 ORACLES = {
