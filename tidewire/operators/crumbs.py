@@ -48,9 +48,13 @@ def prune_crumbs(crumbs: DataFrame, days: int) -> DataFrame:
 def prune_summary(crumbs: DataFrame, days: int) -> DataFrame:
     """What pruning would do: pairs, dates and feeds that are old, null feeds included, and the rows hit."""
     old = old_feed_dates(crumbs, days)
-    pairs = old.agg(F.count("*").alias("pairs"), F.countDistinct("date").alias("dates"), F.countDistinct("feed_id").alias("feeds"))
-    hit = crumbs.join(old.select("date", "feed_id"), ["date", "feed_id"], "left_semi").agg(F.count("*").alias("rows_hit"))
-    return pairs.crossJoin(hit)  # one row with one row
+    hit = crumbs.join(old.select("date", "feed_id"), ["date", "feed_id"], "left_semi").select("date", "feed_id", F.lit(1).alias("row"))
+    both = old.select("date", "feed_id", F.lit(0).alias("row")).unionByName(hit)
+    pair = F.col("row") == 0
+    return both.agg(
+        F.count_if(pair).alias("pairs"), F.countDistinct(F.when(pair, F.col("date"))).alias("dates"), F.countDistinct(F.when(pair, F.col("feed_id"))).alias("feeds"),
+        F.count_if(~pair).alias("rows_hit"),
+    )
 
 
 def disposition_counts(df: DataFrame, app: Column, status: str = "disposition") -> DataFrame:

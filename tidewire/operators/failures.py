@@ -29,7 +29,7 @@ def route_failures(df: DataFrame, now: Column, max_retries: int = 10, delay_minu
     return df.withColumns(
         {
             "next_retries": F.when(F.col("dest") == "retry", F.col("retries") + 1).when(F.col("dest") == "quarantine", F.lit(0)).otherwise(F.col("retries")),
-            "available_at": F.timestamp_micros(F.unix_micros(now) + wait * F.lit(60_000_000)),
+            "available_at": F.timestamp_micros(F.unix_micros(now) + wait.cast("long") * F.lit(60_000_000)),
         }
     )
 

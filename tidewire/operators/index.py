@@ -19,8 +19,9 @@ def to_index_doc(df: DataFrame, fields: Sequence[str] = INDEX_FIELDS, keep: Sequ
     return df.select(*keep, *[F.nullif(F.col(f), F.lit("")).alias(f) for f in fields])
 
 
-def field_missing_counts(df: DataFrame, fields: Sequence[str] = INDEX_FIELDS) -> DataFrame:
-    return df.agg(*[F.count_if(F.coalesce(F.col(f), F.lit("")) == "").alias(f"missing_{f}") for f in fields])
+def field_missing_counts(df: DataFrame, fields: Sequence[str] = INDEX_FIELDS, more: Sequence[Column] = ()) -> DataFrame:
+    """How often each field is missing, and further counts in the same pass."""
+    return df.agg(*[F.count_if(F.coalesce(F.col(f), F.lit("")) == "").alias(f"missing_{f}") for f in fields], *more)
 
 
 def rfc_day(stamp: Column) -> Column:
@@ -71,8 +72,9 @@ def delete_by_urls(index: DataFrame, urls: DataFrame, url: str = "url", key: str
 
 def delete_stats(index: DataFrame, urls: DataFrame, url: str = "url", key: str = "doc_id") -> DataFrame:
     gone = urls.select(U.doc_id(F.col(url)).alias(key)).distinct()
-    deleted = index.join(gone, key, "left_semi").agg(F.count("*").alias("deleted"))
-    return deleted.crossJoin(gone.agg(F.count("*").alias("requested")))  # one row with one row
+    deleted = index.join(gone, key, "left_semi").select(F.lit(1).alias("deleted"), F.lit(0).alias("requested"))
+    both = deleted.unionByName(gone.select(F.lit(0).alias("deleted"), F.lit(1).alias("requested")))
+    return both.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("deleted", "requested")])
 
 
 def recompute_canonical_domain(index: DataFrame, where: Column, public_suffixes: Sequence[str]) -> DataFrame:

@@ -39,8 +39,8 @@ def o38_resolve_indexed_date(spark, sf_dir):
 
 def o75_field_counts(spark, sf_dir):
     rows = I.resolve_pub_date(parsed(spark, sf_dir))
-    dates = rows.agg(*[F.count_if(F.col("pub_date_status") == s).alias(f"dates_{s}") for s in ("extracted", "rss", "none", "retry")])
-    return I.field_missing_counts(rows).crossJoin(dates)  # one row with one row
+    dates = [F.count_if(F.col("pub_date_status") == s).alias(f"dates_{s}") for s in ("extracted", "rss", "none", "retry")]
+    return I.field_missing_counts(rows, more=dates)
 
 
 def halves(spark, sf_dir):

@@ -27,7 +27,7 @@ def rfc_to_day(stamp: Column) -> Column:
 def read_daily_feed(spark: SparkSession, paths: str | Sequence[str], empty_as: str | None = None, fetch_date: str | None = None) -> DataFrame:
     """One row per item of daily feed files (gzip or plain), with the fields of rss_entry, disposition and
     via, the file's name. lastBuildDate of a file is the fetch_date of its items, unless one is given."""
-    items = spark.read.format("xml").option("rowTag", "item").schema(ITEM).load(paths).select("*", F.col("_metadata.file_name").alias("via"))
+    items = spark.read.format("xml").option("rowTag", "item").schema(ITEM).load(paths).select("*", F.col("_metadata.file_name").alias("via"), F.col("_metadata.file_path").alias("__path"))
 
     def field(name):
         value = F.nullif(F.trim(F.col(name)), F.lit(""))
@@ -36,15 +36,15 @@ def read_daily_feed(spark: SparkSession, paths: str | Sequence[str], empty_as: s
     rows = items.select(
         field("link").alias("link"), field("title").alias("title"), field("domain").alias("domain"), field("pubDate").alias("pub_date"),
         F.col("source._url").alias("source_url"), optional_int(F.col("source._mcFeedId")).alias("source_feed_id"),
-        optional_int(F.col("source._mcSourceId")).alias("source_source_id"), "via",
+        optional_int(F.col("source._mcSourceId")).alias("source_source_id"), "via", "__path",
     )
     if fetch_date is not None:
         rows = rows.withColumn("fetch_date", F.lit(fetch_date))
     else:
         built = spark.read.format("xml").option("rowTag", "channel").schema("lastBuildDate string").load(paths)
-        built = built.select(F.col("_metadata.file_name").alias("via"), rfc_to_day(F.trim("lastBuildDate")).alias("fetch_date"))
-        rows = rows.join(built, "via", "left")
-    return rows.withColumn("disposition", F.when(F.coalesce("link", F.lit("")) == "", "bad").otherwise("queuing"))
+        built = built.select(F.col("_metadata.file_path").alias("__path"), rfc_to_day(F.trim("lastBuildDate")).alias("fetch_date"))
+        rows = rows.join(built, "__path", "left")
+    return rows.drop("__path").withColumn("disposition", F.when(F.coalesce("link", F.lit("")) == "", "bad").otherwise("queuing"))
 
 
 def iso_to_rfc(stamp: Column) -> Column:
