@@ -11,7 +11,7 @@ from tidewire.queries.classify import FETCHED, fetches
 from tidewire.operators.classify import classify_fetch
 from tidewire.shared import new_path, read_table
 
-NOW = F.lit(BATCH_TS)
+
 
 
 def failed(spark, sf_dir):
@@ -21,12 +21,12 @@ def failed(spark, sf_dir):
 
 
 def o91_route_failures(spark, sf_dir):
-    out = R.route_failures(failed(spark, sf_dir), F.to_timestamp(NOW), discard=("gone",))
+    out = R.route_failures(failed(spark, sf_dir), F.to_timestamp(F.lit(BATCH_TS)), discard=("gone",))
     return out.select("event_id", "dest", "next_retries", F.date_format("available_at", "yyyy-MM-dd HH:mm:ss").alias("available_at"))
 
 
 def o92_due_retries(spark, sf_dir):
-    out = R.route_failures(failed(spark, sf_dir), F.to_timestamp(NOW), discard=("gone",))
+    out = R.route_failures(failed(spark, sf_dir), F.to_timestamp(F.lit(BATCH_TS)), discard=("gone",))
     fresh = out.where("event_id % 100 = 7").select("event_id", F.lit("new").alias("dest"))
     due = R.due_retries(out.where("dest in ('retry', 'requeue')"), F.to_timestamp(F.lit("2024-06-01 12:30:00")), fresh=fresh, rerun=out.where("dest = 'quarantine' and event_id % 2 = 0"))
     return due.groupBy("dest").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
