@@ -33,8 +33,8 @@ def test_only_the_region_is_encoded_again():
 
 
 def test_documents_and_edits(spark, awkward, empty):
-    docs = awkward.withColumn("edits", K.redactions(F.col("text")))
-    docs = docs.unionByName(spark.createDataFrame([(50, "A title\nwrite to a.b@c.de or 123456789012 now")], "doc_id long, text string").withColumn("edits", K.redactions(F.col("text"))), allowMissingColumns=True)
+    one = spark.createDataFrame([(50, "A title\nwrite to a.b@c.de or 123456789012 now")], "doc_id long, text string")
+    docs = K.add_redactions(awkward.unionByName(one, allowMissingColumns=True))
     trees = K.build_trees(docs, ["doc_id", "text", "edits"])
     rows = K.apply_edits(trees, ["doc_id", "text", "n_tokens", trees["edits"].alias("was")], "edits").collect()
     assert len(rows) == docs.count()
@@ -47,7 +47,7 @@ def test_documents_and_edits(spark, awkward, empty):
         assert r["n_tokens_edited"] == len(count(text))
     last = next(r for r in rows if r["doc_id"] == 50)
     assert [tuple(e) for e in last["was"]] == [(0, 8, ""), (17, 25, "[removed]"), (29, 41, "[removed]")]
-    assert K.apply_edits(K.build_trees(empty.withColumn("edits", K.redactions(F.col("text"))), ["text", "edits"]), [], "edits").count() == 0
+    assert K.apply_edits(K.build_trees(K.add_redactions(empty), ["text", "edits"]), [], "edits").count() == 0
 
 
 def test_trees_take_edits_in_turn(spark):

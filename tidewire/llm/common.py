@@ -2,40 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tidewire.shared import new_path, read_table, shared_dir, stash  # noqa: F401  shared with the operators
+
 #: Words as the contracts have them: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-LOCAL_CHECKPOINTS = "/tmp/checkpoints"
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; on a local master without one, a folder of our own."""
-    known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if known:
-        return known
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(LOCAL_CHECKPOINTS)
-    return spark.sparkContext.getCheckpointDir()
-
-
-def stash(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage, survives a lost executor."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def crc_bucket(doc_id: Column, n: int) -> Column:
@@ -110,8 +88,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, key: str, te
     """text, label, weight of a bounded sample of labelled rows outside the held-out part.
 
     The sampled ids have a proven bound (about `bound` for each of two classes) and are broadcast, so the
-    texts aren't shuffled. weight is how many labelled rows each stands for. A doc_id labelled twice counts
-    as 1 if any of its labels is.
+    texts of the corpus aren't shuffled. weight is how many labelled rows each stands for. A doc_id labelled
+    twice counts as 1 if any of its labels is; of rows that share an id, one text is taken.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("__label"))
     known = known.where(~held_out(F.col("doc_id")))
@@ -122,14 +100,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, key: str, te
     cut = F.when(F.col("__label") == 1, F.lit(int(steps * share.get(1, 0)))).otherwise(F.lit(int(steps * share.get(0, 0))))
     weight = F.when(F.col("__label") == 1, F.lit(1 / share.get(1, 1.0))).otherwise(F.lit(1 / share.get(0, 1.0)))
     chosen = known.where(draw < cut).select(F.col("doc_id").alias("__id"), "__label", weight.alias("__weight"))
-    rows = docs.select(F.col(key).alias("__id"), F.col(text).alias("__text"))
-    return rows.join(F.broadcast(chosen), "__id").select(F.col("__text").alias("text"), F.col("__label").alias("label"), F.col("__weight").alias("weight"))
+    rows = docs.select(F.col(key).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(chosen), "__id")
+    rows = rows.groupBy("__id", "__label", "__weight").agg(F.min("__text").alias("text"))
+    return rows.select("text", F.col("__label").alias("label"), F.col("__weight").alias("weight"))
 
 
-def bounded_share(df: DataFrame, key: Column, bound: int, n: int | None = None) -> DataFrame:
-    """About `bound` rows at most, chosen by a hash of their key; all rows if there are no more."""
-    n = df.count() if n is None else n
+def bounded_share(df: DataFrame, key: Column, bound: int) -> DataFrame:
+    """About `bound` rows at most, chosen by a hash; all rows if there are no more.
+
+    The number of the row is part of the hash, as thousands of rows may share one key and text.
+    """
+    n = df.count()
     if n <= bound:
         return df
     steps = 1 << 20
-    return df.where(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(steps)) < int(steps * bound / n))
+    return df.where(F.pmod(F.xxhash64(F.lit("sample"), key, F.monotonically_increasing_id()), F.lit(steps)) < int(steps * bound / n))

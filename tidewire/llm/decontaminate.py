@@ -207,11 +207,15 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, keep: list, text: str =
     have no windows; an item without id hits but isn't listed; items with equal ids count once; an empty
     benchmark hits nothing; equal rows are judged each for itself; an empty table gives no rows.
     """
-    out = docs
-    names = [f.name for f in HITS]
-    for k, block in enumerate(list(blocks(benchmark, block_words=block_words)) or [Block.of([])]):
+    names, out = [f.name for f in HITS], None
+    for block in blocks(benchmark, block_words=block_words):
         shared = docs.sparkSession.sparkContext.broadcast(block)
-        out = _pass(out, keep if k == 0 else [c for c in out.columns if c != "__text_again"], shared, text if k == 0 else "__text_again", k > 0, names)
+        if out is None:
+            out = _pass(docs, keep, shared, text, False, names)
+        else:
+            out = _pass(out, [c for c in out.columns if c != "__text_again"], shared, "__text_again", True, names)
+    if out is None:
+        out = _pass(docs, keep, docs.sparkSession.sparkContext.broadcast(Block.of([])), text, False, names)
     return out.drop("__text_again")
 
 

@@ -10,11 +10,12 @@ import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewire.llm.common import map_texts, read_table
+from tidewire.llm.pii import add_spans
 
 #: A rank file that every executor has.
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -206,31 +207,26 @@ def apply_edits(trees: DataFrame, keep: list, edits: str, text: str = "text", ra
     return source.mapInArrow(run, T.StructType([*kept, *fields]))
 
 
-def redactions(text: Column) -> Column:
-    """Edits of a text: long numbers and addresses at hosts give way to a mark, and a first line of one to
-    eight words goes if others follow. Positions are counted from the pieces between matches."""
+def add_redactions(docs: DataFrame, text: str = "text", out: str = "edits") -> DataFrame:
+    """Add edits of the texts: long numbers and addresses at hosts give way to a mark, and a first line of
+    one to eight words goes if others follow."""
     mask = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,255}|[0-9]{9,64}"
     head = r"^(?:[^\x20\x09-\x0D]{1,64}[ ]?){1,8}\n"
-    line = F.length(F.regexp_extract(text, head, 0))
-    hits, gaps = F.regexp_extract_all(text, F.lit(mask), F.lit(0)), F.split(text, mask, -1)
-    sizes = F.transform(hits, lambda h, i: F.struct(F.length(F.get(gaps, i)).alias("gap"), F.length(h).alias("hit")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(EDITS).alias("done"))
-
-    def step(a, x):
-        begin = a["at"] + x["gap"]
-        edit = F.struct(begin.cast("long").alias("start"), (begin + x["hit"]).cast("long").alias("end"), F.lit("[removed]").alias("new"))
-        return F.struct((begin + x["hit"]).alias("at"), F.concat(a["done"], F.array(edit)).alias("done"))
-
-    masks = F.when(text.rlike(mask), F.aggregate(sizes, start, step, lambda a: a["done"])).otherwise(F.array().cast(EDITS))
-    first = F.struct(F.lit(0).cast("long").alias("start"), line.cast("long").alias("end"), F.lit("").alias("new"))
-    return F.when(line > 0, F.concat(F.array(first), F.filter(masks, lambda e: e["start"] >= line))).otherwise(masks)
+    docs = add_spans(docs, text, mask, r"@|[0-9]{9}", "__mask")
+    line = F.length(F.regexp_extract(F.col(text), head, 0)).cast("long")
+    docs = docs.withColumn("__line", F.coalesce(line, F.lit(0).cast("long")))
+    masks = F.transform("__mask", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit("[removed]").alias("new")))
+    masks = F.coalesce(F.filter(masks, lambda e: e["start"] >= F.col("__line")).cast(EDITS), F.array().cast(EDITS))
+    first = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("__line").alias("end"), F.lit("").alias("new"))).cast(EDITS)
+    docs = docs.withColumn(out, F.when(F.col("__line") > 0, F.concat(first, masks)).otherwise(masks))
+    return docs.drop("__mask", "__mask_hits", "__mask_gaps", "__line")
 
 
 def op8_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, n_edits, n_tokens_edited, n_reencoded for every row: counts before and after the
-    edits of redactions(), the latter from the trees."""
+    edits of add_redactions(), the latter from the trees."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    trees = build_trees(docs.withColumn("edits", redactions(F.col("text"))), ["doc_id", "text", "edits"])
+    trees = build_trees(add_redactions(docs), ["doc_id", "text", "edits"])
     keep = ["doc_id", "n_tokens", F.coalesce(F.size("edits"), F.lit(0)).cast("long").alias("n_edits")]
     return apply_edits(trees, keep, "edits").drop("tree_chars", "tree_tokens")
 
