@@ -76,6 +76,14 @@ def test_packing(spark):
     assert {r["domain"]: r["batch"] for r in out} == {"a": 0, "c": 1, "b": 1}
 
 
+def test_packing_of_many_small_domains(spark, monkeypatch):
+    monkeypatch.setattr(crawl, "HEAD", 2)
+    rows = [(f"d{i}", i) for i in range(3000)] + [("big", 5000 + i) for i in range(500)]
+    out = crawl.pack_domains(spark.createDataFrame(rows, "domain string, pos int"), 4).collect()
+    filled = [sum(r["stories"] for r in out if r["batch"] == k) for k in range(4)]
+    assert len(out) == 3001 and sum(filled) == 3500 and all(abs(f - 875) < 120 for f in filled)
+
+
 def test_crumbs(spark):
     header, new = '{"version":[1,0,0],"app":"p"}', '{"version":[2,0],"app":"p"}'
     line, broken, lone = '{"date":"d","status":"s"}', "{x", '{"date":"d","app":"q","status":"s","count":3}'

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidewire.shared import stash
+
 
 def paced_release(df: DataFrame, host: str, arrival: str, interval: float, order: tuple[str, ...] = ()) -> DataFrame:
     """issued_at: the first slot of its host that isn't before arrival, slots `interval` apart."""
@@ -79,12 +81,21 @@ def domain_counts(df: DataFrame, domain: str = "domain", pos: str = "pos") -> Da
     return df.groupBy(F.col(domain).alias("domain")).agg(F.count("*").alias("stories"), F.min(pos).alias("first_pos"))
 
 
+#: A domain is packed by itself if it has more than one in so many of a batch's even share of stories.
+HEAD = 1_000
+
+
 def pack_domains(df: DataFrame, n: int = 20, domain: str = "domain", pos: str = "pos") -> DataFrame:
     """(domain, stories, batch): largest domains first into the least filled of n batches, domains whole.
 
-    The fold sees one row per domain, not stories; among equals the later first-seen domain goes first, and
-    the lowest of equally filled batches.
+    Among equals the later first-seen domain goes first, and the lowest of equally filled batches. The fold
+    sees one row for each domain of some size, of which there are n * HEAD at most however many stories
+    there are; the small ones behind them go by a hash of their name, in proportion to the room that the
+    batches have left.
     """
+    counts = stash(domain_counts(df, domain, pos))
+    total = counts.agg(F.sum("stories")).first()[0] or 0
+    large = F.col("stories") * (n * HEAD) >= total
 
     def fold_counts(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["stories", "first_pos"], ascending=[False, False])
@@ -95,8 +106,17 @@ def pack_domains(df: DataFrame, n: int = 20, domain: str = "domain", pos: str =
             batch.append(least)
         return frame.assign(batch=batch)[["domain", "stories", "batch"]]
 
-    counts = domain_counts(df, domain, pos).withColumn("__all", F.lit(0))
-    return counts.groupBy("__all").applyInPandas(lambda f: fold_counts(f), "domain string, stories bigint, batch int")
+    head = counts.where(large).withColumn("__all", F.lit(0)).groupBy("__all").applyInPandas(lambda f: fold_counts(f), "domain string, stories bigint, batch int")
+    head = stash(head)
+    filled = {r["batch"]: r["stories"] for r in head.groupBy("batch").agg(F.sum("stories").alias("stories")).collect()}
+    room = [max(0.0, total / n - filled.get(k, 0)) for k in range(n)]
+    u = F.shiftrightunsigned(F.xxhash64("domain"), 11) / F.lit(float(1 << 53)) * F.lit(sum(room))
+    batch, edge = F.lit(n - 1), sum(room)
+    for k in range(n - 1, -1, -1):
+        batch = F.when(u < F.lit(edge), F.lit(k)).otherwise(batch)
+        edge -= room[k]
+    tail = counts.where(~large).select("domain", "stories", batch.alias("batch"))
+    return head.unionByName(tail)
 
 
 def attach_batch(df: DataFrame, packed: DataFrame, domain: str = "domain") -> DataFrame:

@@ -41,6 +41,13 @@ def o60_pick_object_version(spark, sf_dir):
     return out.select("key", "epoch", F.col("version").cast("bigint").alias("version"), "l_partkey", "disposition", "action")
 
 
+def o56_latest_version_pick(spark, sf_dir):
+    """The newest shipment of each order, the first in listing order."""
+    rows = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey")
+    order = [F.col("l_shipdate").desc(), F.col("l_linenumber"), F.col("l_partkey")]
+    return D.latest_version_pick(rows, ["l_orderkey"], order).select("l_orderkey", F.col("l_linenumber").cast("bigint").alias("line"), "l_partkey")
+
+
 def o60_fetch_objects(spark, sf_dir):
     p, k = read_table(spark, sf_dir, "pages"), F.col("page_id")
     stories = p.select(k.alias("key"), F.when(k % 3 == 0, F.lit(5.0)).alias("fetch_timestamp"))
@@ -49,7 +56,7 @@ def o60_fetch_objects(spark, sf_dir):
     return D.fetch_objects(stories, objects, most=8000).select("key", "fetch_timestamp", "disposition")
 
 
-QUERIES = {f.__name__: f for f in (o51_dedup_urls_csv, o52_dedup_urls_history, o53_old_feed_dates, o60_pick_object_version, o60_fetch_objects)}
+QUERIES = {f.__name__: f for f in (o51_dedup_urls_csv, o52_dedup_urls_history, o53_old_feed_dates, o60_pick_object_version, o56_latest_version_pick, o60_fetch_objects)}
 
 ROWS = f"""rows AS (SELECT strftime(ts, '%Y-%m-%d') AS file, CASE WHEN event_id % 31 = 0 THEN 'http://localhost/x' WHEN event_id % 37 = 0 THEN '' WHEN event_id % 41 = 0 THEN 'http://[::1/'
  WHEN event_id % 43 = 0 THEN 'http://www.free-bets.example.com/' ELSE 'http://u' || user_id || '.example.com/' END AS url, event_id AS pos, event_type <> 'error' AS good FROM events),
@@ -70,6 +77,7 @@ SELECT pos, disposition, CASE WHEN disposition = 'queuing' THEN 'pass' ELSE 'dis
  j AS (SELECT st.key, st.epoch, v.version::BIGINT AS version, v.l_partkey, CASE WHEN d IS NULL THEN 'no-date' WHEN NOT inside THEN 'unversioned' WHEN st.epoch IS NULL THEN 'no-epoch' WHEN v.key IS NULL THEN 'epoch-err' ELSE 'versioned' END AS disposition
   FROM st LEFT JOIN v ON v.key = st.key AND v.epoch = st.epoch AND rn = 1 AND inside)
 SELECT *, CASE WHEN disposition IN ('versioned', 'unversioned') THEN 'pass' WHEN disposition IN ('no-date', 'no-epoch') THEN 'quarantine' ELSE 'discard' END AS action FROM j""",
+    "o56_latest_version_pick": "SELECT l_orderkey, l_linenumber::BIGINT AS line, l_partkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber, l_partkey) = 1",
     "o60_fetch_objects": """SELECT page_id AS key, CASE WHEN page_id % 3 = 0 THEN 5.0 WHEN page_id % 5 <> 0 THEN page_id * 2.0 END::DOUBLE AS fetch_timestamp,
  CASE WHEN page_id % 5 = 0 THEN 'not-found' WHEN page_id % 8 = 1 THEN 'redundant' WHEN page_id % 8 = 2 OR html = '' THEN 'no-html' WHEN octet_length(encode(html)) > 8000 THEN 'oversized' ELSE 'success' END AS disposition FROM pages""",
 }

@@ -67,6 +67,21 @@ def o46_names(spark, sf_dir):
     )
 
 
+def o21_url_fqdn(spark, sf_dir):
+    return odd_urls(spark, sf_dir).groupBy(U.url_fqdn(F.col("url")).alias("fqdn")).agg(F.count("*").alias("n"))
+
+
+def o47_file_key(spark, sf_dir):
+    e = read_table(spark, sf_dir, "events")
+    path = F.concat(F.lit("in/"), F.col("event_type"), F.lit("/mc-"), F.date_format("ts", "yyyy-MM-dd"), F.when(F.col("event_id") % 2 == 0, F.lit(".rss.gz")).otherwise(F.lit(".csv.GZIP")))
+    return e.groupBy(U.file_key(path).alias("key")).agg(F.count("*").alias("n"))
+
+
+def o58_split_object_url(spark, sf_dir):
+    o = U.split_object_url(F.when(F.col("page_id") % 4 == 0, F.lit("plain/path")).otherwise(F.col("url")))
+    return read_table(spark, sf_dir, "pages").select("page_id", o["scheme"].alias("scheme"), o["bucket"].alias("bucket"), o["key"].alias("object_key"))
+
+
 def o48_metric_names(spark, sf_dir):
     e = read_table(spark, sf_dir, "events")
     labels = F.create_map(F.lit("status"), F.col("event_type"), F.lit("app"), F.concat(F.lit("a"), (F.col("user_id") % 3).cast("string")))
@@ -95,7 +110,7 @@ NORMAL = """ports AS (SELECT *, regexp_extract(hp, ':([0-9]+)$', 1) AS port FROM
   list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*\\?([^#]*)', 1), '&'), lambda p: p <> '' AND NOT starts_with(p, 'utm_'))) AS q FROM ports),
  normal AS (SELECT page_id, url, front || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS normalized FROM fronts)"""
 
-QUERIES = {f.__name__: f for f in (o20_check_url, o22_non_news_join, o24_filter_domains, o27_classify_redirects, o28_redirects_registered, o44_url_functions, o45_story_id, o46_names, o48_metric_names, o49_metadata_json, o59_error_columns)}
+QUERIES = {f.__name__: f for f in (o20_check_url, o22_non_news_join, o24_filter_domains, o27_classify_redirects, o28_redirects_registered, o44_url_functions, o45_story_id, o46_names, o21_url_fqdn, o47_file_key, o58_split_object_url, o48_metric_names, o49_metadata_json, o59_error_columns)}
 
 ORACLES = {
     "o20_check_url": f"WITH {ODD_URLS}, {sql_parts('url', 'odd')} SELECT page_id, nullif(host, '') AS fqdn, scheme, coalesce({sql_check('url')}, 'ok') AS status FROM parts",
@@ -129,6 +144,10 @@ SELECT page_id, substr(h, 1, 12) || '3' || substr(h, 14, 3) || substr('89ab', (i
 SELECT event_id, CASE WHEN regexp_matches(name, '^\\d{4}[_-]\\d\\d[_-]\\d\\d') THEN replace(substr(name, 1, 10), '_', '-') END AS day,
  CASE WHEN regexp_matches(base, '^\\d{4}[_-]\\d\\d[_-]\\d\\d') THEN replace(substr(base, 1, 10), '_', '-') END AS day_base, regexp_replace(base, '(?i)\\.(gz|gzip)$', '') AS key,
  CASE WHEN contains(name, '://') THEN 's3' END AS scheme, CASE WHEN contains(name, '://') THEN 'b' END AS bucket, CASE WHEN contains(name, '://') THEN substr(name, 8) END AS object_key FROM b""",
+    "o21_url_fqdn": f"WITH {ODD_URLS}, {sql_parts('url', 'odd')} SELECT nullif(host, '') AS fqdn, count(*) AS n FROM parts GROUP BY 1",
+    "o47_file_key": "SELECT 'mc-' || strftime(ts, '%Y-%m-%d') || CASE WHEN event_id % 2 = 0 THEN '.rss' ELSE '.csv' END AS key, count(*) AS n FROM events GROUP BY 1",
+    "o58_split_object_url": r"""SELECT page_id, CASE WHEN page_id % 4 <> 0 THEN regexp_extract(url, '^([^:]+)://', 1) END AS scheme, CASE WHEN page_id % 4 <> 0 THEN regexp_extract(url, '^[^:]+://([^/]*)', 1) END AS bucket,
+ CASE WHEN page_id % 4 <> 0 THEN regexp_extract(url, '^[^:]+://[^/]*/?(.*)$', 1) END AS object_key FROM pages""",
     "o48_metric_names": "SELECT 'stories.app_a' || (user_id % 3) || '.status_' || event_type AS metric, count(*) AS n FROM events GROUP BY 1",
     "o49_metadata_json": """SELECT doc_id, '{"id":' || doc_id || ',"language":' || CASE WHEN lang IS NULL THEN 'null' ELSE '"' || lang || '"' END || ',"via":null}' AS metadata FROM documents WHERE doc_id % 2 = 0""",
     "o59_error_columns": "SELECT doc_id, 'parser' AS who, substr(text, 1, 100) AS what, 'extract' AS place, source AS name FROM documents",
