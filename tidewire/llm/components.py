@@ -11,8 +11,12 @@ MAX_ROUNDS = 60
 
 
 def _smallest(directed: DataFrame) -> DataFrame:
-    """For each node u of (u, v): m, the smallest of itself and its neighbours."""
-    return directed.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    """For each node u of (u, v): m, the smallest of itself and its neighbours.
+
+    Written, so that the join with the edges is of two plain shuffles: a node with very many edges is then
+    split over tasks.
+    """
+    return stash(directed.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
