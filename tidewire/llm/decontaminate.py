@@ -257,4 +257,22 @@ def op3_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op3_suffix_decontamination": op3_suffix_decontamination}
-ORACLES: dict[str, str] = {}
+
+#: Words as DuckDB cuts them.
+SQL_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+#: Windows as strings, joined; a longest match is the longest run of windows on one diagonal.
+ORACLES = {
+    "op3_suffix_decontamination": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {SQL_WORDS} AS w FROM documents),
+ i AS (SELECT row_number() OVER () AS n, item_id::VARCHAR AS id, {SQL_WORDS} AS w FROM benchmark),
+ k AS (SELECT n, id, w, least({WINDOW}, len(w)) AS l FROM i WHERE len(w) > 0),
+ iw AS (SELECT n, id, l, q, array_to_string(w[q:q + l - 1], ' ') AS s FROM (SELECT *, unnest(range(1, len(w) - l + 2)) AS q FROM k)),
+ dw AS (SELECT r, p, l, array_to_string(w[p:p + l - 1], ' ') AS s FROM (SELECT r, w, l, unnest(range(1, greatest(len(w) - l + 2, 1))) AS p FROM d, (SELECT DISTINCT l FROM k))),
+ m AS (SELECT r, p, l, n, id, q FROM dw JOIN iw USING (l, s)),
+ h AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(p, p + l)) AS place FROM (SELECT DISTINCT r, p, l FROM m)) GROUP BY r),
+ t AS (SELECT r, list_sort(list(DISTINCT id) FILTER (WHERE id IS NOT NULL)) AS ids FROM m GROUP BY r),
+ runs AS (SELECT r, n, l, p - q AS g, p - row_number() OVER (PARTITION BY r, n, p - q ORDER BY p) AS run FROM m),
+ lm AS (SELECT r, max(c + l - 1) AS longest_match FROM (SELECT r, n, l, g, run, count(*) AS c FROM runs GROUP BY ALL) GROUP BY r),
+ a AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(ids, []) AS ids, coalesce(longest_match, 0)::BIGINT AS longest_match FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r) LEFT JOIN lm USING (r))
+SELECT doc_id, n_words, n_hit, len(ids)::BIGINT AS n_items, sha256(array_to_string(ids, ',')) AS items_sha256, n_hit > 0 AND {SHARE} * n_hit >= n_words AS contaminated, longest_match FROM a""",
+}
