@@ -25,9 +25,14 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def hash_order(*cols: Column) -> Column:
-    """A fixed pseudo-random order of rows, from their own values alone."""
-    return F.xxhash64(F.lit("order"), *cols)
+#: Bits of the numbers that hash_order gives.
+ORDER_BITS = 60
+
+
+def hash_order(key: Column, text: Column) -> Column:
+    """A fixed pseudo-random order of rows, from their own values alone; SQL engines can repeat it."""
+    digest = F.md5(F.concat_ws("\u0001", F.coalesce(key.cast("string"), F.lit("-")), F.md5(F.coalesce(text, F.lit("")))))
+    return F.conv(F.substring(digest, 1, ORDER_BITS // 4), 16, 10).cast("long")
 
 
 def running_sum(
@@ -37,17 +42,18 @@ def running_sum(
     value: str,
     out: str,
     bits: int = 10,
+    width: int = 64,
     per_group: DataFrame | None = None,
 ) -> DataFrame:
     """Add `out`: the sum of `value` over the rows of the same group that come before.
 
-    The order is (bucket, order...), where the bucket is the top `bits` bits of the first order column, a
-    long hash. A window over whole groups would put a hot group into one task, so sums of buckets give
+    The order is (bucket, order...), where the bucket is the top `bits` of the `width` bits of the first order
+    column, a hash. A window over whole groups would put a hot group into one task, so sums of buckets give
     where each bucket starts, and the window runs inside buckets only. `group` and `order` must not be null.
     per_group: more columns for each group, which ride on the table of buckets.
     """
     keys = [*group, "__bucket"]
-    df = df.withColumn("__bucket", F.shiftrightunsigned(F.col(order[0]), 64 - bits).cast("int"))
+    df = df.withColumn("__bucket", F.shiftrightunsigned(F.col(order[0]), width - bits).cast("int"))
     starts = df.groupBy(*keys).agg(F.sum(value).alias("__sum"))
     before = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = starts.withColumn("__start", F.coalesce(F.sum("__sum").over(before), F.lit(0))).drop("__sum")
