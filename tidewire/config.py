@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 #: Fixed values of the exchange formats.
-NEED_CANONICAL_URL = "http://mediacloud.org/need_canonical_url"
+NEED_CANONICAL_URL = "http://example.invalid/need_canonical_url"
 BAD_HOSTS = ("localhost", "127.0.0.1")
 SCHEMES = ("http", "https")
 RETRY_CODES = (408, 429, 500, 502, 503, 504, 522, 524)

@@ -124,9 +124,9 @@ SELECT event_id, disposition, CASE WHEN disposition = 'success' THEN 'pass' ELSE
     "o30_redundant_feed": "SELECT page_id, page_id % 6 = 0 AS redundant FROM pages",
     "o31_gate_parsed": """WITH j AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'homepage' WHEN doc_id % 5 = 0 OR text = '' THEN 'no-text' WHEN doc_id % 3 <> 0 THEN 'OK-m' ELSE 'OK-none' END AS disposition FROM documents)
 SELECT doc_id, disposition, CASE WHEN disposition LIKE 'OK-%' THEN 'pass' ELSE 'discard' END AS action FROM j""",
-    "o43_adopt_canonical_url": f"""WITH {ODD_URLS}, c AS (SELECT page_id, CASE WHEN page_id % 10 = 0 THEN 'http://mediacloud.org/need_canonical_url' ELSE url END AS own FROM odd), {sql_parts('own', 'c')},
- j AS (SELECT page_id, own, CASE WHEN coalesce(own, '') IN ('', 'http://mediacloud.org/need_canonical_url') THEN 'no-canonical-url' ELSE coalesce({sql_check('own')}, 'adopted') END AS disposition FROM parts)
-SELECT page_id, disposition, CASE WHEN disposition = 'adopted' THEN 'pass' ELSE 'discard' END AS action, CASE WHEN disposition = 'adopted' THEN own END AS url, 'http://mediacloud.org/need_canonical_url' AS original_url FROM j""",
+    "o43_adopt_canonical_url": f"""WITH {ODD_URLS}, c AS (SELECT page_id, CASE WHEN page_id % 10 = 0 THEN 'http://example.invalid/need_canonical_url' ELSE url END AS own FROM odd), {sql_parts('own', 'c')},
+ j AS (SELECT page_id, own, CASE WHEN coalesce(own, '') IN ('', 'http://example.invalid/need_canonical_url') THEN 'no-canonical-url' ELSE coalesce({sql_check('own')}, 'adopted') END AS disposition FROM parts)
+SELECT page_id, disposition, CASE WHEN disposition = 'adopted' THEN 'pass' ELSE 'discard' END AS action, CASE WHEN disposition = 'adopted' THEN own END AS url, 'http://example.invalid/need_canonical_url' AS original_url FROM j""",
     "o32_gate_index": """WITH j AS (SELECT doc_id, CASE WHEN doc_id % 12 = 0 THEN 'no-data' WHEN doc_id % 4 = 0 THEN 'no-url' WHEN doc_id % 6 = 0 OR text = '' THEN 'no-text' ELSE 'index' END AS disposition FROM documents)
 SELECT doc_id, disposition, CASE WHEN disposition = 'index' THEN 'pass' ELSE 'quarantine' END AS action FROM j""",
     "o33_gate_producer": f"""WITH {ODD_URLS}, c2 AS (SELECT o.page_id, o.url AS u, octet_length(encode(p.html)) AS n FROM odd o JOIN pages p ON o.page_id = p.page_id),
