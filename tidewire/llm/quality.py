@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewire.llm.common import crc_bucket, labelled_sample, map_texts, read_table
-from tidewire.llm.rules import NOT_CHARACTERS, SYMBOLS, base_counts
+from tidewire.llm.rules import base_counts
 
 #: Labelled rows to learn from: so many of each class at most, chosen by a hash of their id.
 MAX_PER_CLASS = 8_000
