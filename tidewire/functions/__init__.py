@@ -1,0 +1 @@
+"""Columns over URLs and text."""

@@ -1,0 +1 @@
+"""DataFrame to DataFrame stages."""

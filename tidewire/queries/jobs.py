@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from tidewire import schema
 from tidewire.config import FIXTURE
 from tidewire.operators import crumbs as B
-from tidewire.operators import index as I
 from tidewire.plans import jobs as J
-from tidewire.queries.base import CRUMBS, INDEX_DOCS, crumbs, index_docs, stories
+from tidewire.queries.base import INDEX_DOCS, index_docs, stories
 from tidewire.queries.crumbs import LINES, messages
 from tidewire.queries.dedup import file_rows
 from tidewire.queries.sources import archived, now

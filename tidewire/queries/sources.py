@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 from tidewire import schema
 from tidewire.config import FIXTURE
 from tidewire.functions import urls as U
-from tidewire.operators import crumbs as B
-from tidewire.queries.base import BATCH_TS, ODD_URLS, crumbs, odd_urls, sql_check, sql_parts, stories
-from tidewire.queries.crumbs import messages
+from tidewire.queries.base import BATCH_TS, ODD_URLS, odd_urls, sql_check, sql_parts, stories
 from tidewire.queries.dedup import file_rows
 from tidewire.shared import new_path, read_table
 from tidewire.sources import disk, feeds, inputs, warc

@@ -1,0 +1 @@
+"""Readers and writers of the formats that stories come and go in."""

@@ -1,0 +1 @@
+"""Continuous forms of the jobs."""
