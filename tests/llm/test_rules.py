@@ -88,6 +88,17 @@ def test_lines_that_copies_share_are_not_frequent(spark):
     assert len(found) == 1
 
 
+def test_the_bar_of_frequent_lines_does_not_follow_the_corpus(spark, monkeypatch):
+    filler = "\n".join(f"only {k} once" for k in range(9_000))
+    rows = [(i, f"text {i} begins.\nread our terms\nand {i} ends.") for i in range(25)] + [(100 + i, filler.replace("once", f"once {i}")) for i in range(70)]
+    assert len(rules.frequent_lines(spark.createDataFrame(rows, "doc_id long, text string"))) == 1
+    for hot in (1, 20_000):  # all by shuffle, all by broadcast
+        monkeypatch.setattr(rules, "HOT", hot)
+        table = rules.read_lines(spark.createDataFrame(rows[:25] * 2, "doc_id long, text string"), ["doc_id"])
+        marks = rules.frequent_marks(table, rules.frequent_table(spark.createDataFrame(rows, "doc_id long, text string"))).collect()
+        assert len(marks) == 50 and len({r["row"] for r in marks}) == 50 and all(len(r["frequent"]) == 1 for r in marks)
+
+
 def test_awkward_rows(awkward, empty):
     rows = rules.label_quality(awkward, ["doc_id", awkward["text"].alias("t")]).collect()
     for r in rows:

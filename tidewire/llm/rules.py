@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewire.llm.common import bounded_share, map_texts, read_table
+from tidewire.llm.common import bounded_share, map_texts, read_table, stash
 
 #: The base rules: fewest words, words of a repeated window, and their largest share in percent.
 LEAST_WORDS, REPEAT_WINDOW, MOST_REPEATED = 20, 8, 30
@@ -20,9 +20,11 @@ LEAST_WORDS, REPEAT_WINDOW, MOST_REPEATED = 20, 8, 30
 CONTENT_SHARE = 0.5
 #: Documents that the field is trained on, chosen by a hash of their id; longest training sequence.
 MAX_TRAIN, MAX_LINES = 2_000, 64
-#: A line is frequent if it occurs so often, and more often than 1 in so many of all lines; thus there are
-#: at most FREQUENT_SHARE frequent lines, however large the corpus is.
-FREQUENT_LEAST, FREQUENT_SHARE = 20, 20_000
+#: A line is frequent from so many surroundings on, however large the corpus is.
+FREQUENT_LEAST = 20
+#: A frequent line with more than 1 in so many of their occurrences is joined by broadcast (there are fewer than
+#: HOT of them), the others by a shuffle, where none of them can fill a task.
+HOT = 20_000
 
 SPACE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -70,9 +72,9 @@ FEATURES = (
 FREQUENT, REPEATED, SYMBOL, CUED, TINY, SHORT, LONG, SENTENCE = range(1, 9)
 
 
-def line_features(lines: list[bytes], frequent: set[int]) -> tuple[list[int], list[int]]:
-    """For every line with a word: its features as bits, and its characters."""
-    bits, sizes = [], []
+def line_features(lines: list[bytes]) -> tuple[list[int], list[int], list[int]]:
+    """For every line with a word: its features as bits (but FREQUENT), its characters, and its hash."""
+    bits, sizes, hashes = [], [], []
     seen: set[bytes] = set()
     for line in lines:
         words = line.split()
@@ -83,7 +85,6 @@ def line_features(lines: list[bytes], frequent: set[int]) -> tuple[list[int], li
         strip = line.rstrip()
         got = (
             1
-            | (xxhash.xxh64_intdigest(line, 42) in frequent) << FREQUENT
             | (line in seen) << REPEATED
             | ((len(line) - len(line.translate(None, SYMBOLS))) * 10 > size) << SYMBOL
             | (CUE.search(line) is not None) << CUED
@@ -98,10 +99,20 @@ def line_features(lines: list[bytes], frequent: set[int]) -> tuple[list[int], li
         seen.add(line)
         bits.append(got)
         sizes.append(size)
+        whole = xxhash.xxh64_intdigest(line, 42)  # as F.xxhash64 has it
+        hashes.append(whole - (whole >> 63 << 64))
     if bits:
         bits[0] |= 1 << 12
         bits[-1] |= 1 << 13
-    return bits, sizes
+    return bits, sizes, hashes
+
+
+def mark_frequent(bits: list[int], hashes: list[int], frequent: list[int] | None) -> list[int]:
+    """The bits with FREQUENT for the hashes in `frequent`."""
+    if not frequent:
+        return bits
+    known = set(frequent)
+    return [b | (h in known) << FREQUENT for b, h in zip(bits, hashes)]
 
 
 def expand(bits: np.ndarray) -> np.ndarray:
@@ -181,8 +192,8 @@ def viterbi(emit: list[list[float]], move: list[list[float]]) -> list[int]:
     return out[::-1]
 
 
-def frequent_lines(docs: DataFrame, text: str = "text") -> list[int]:
-    """Hashes of the lines that are frequent in the whole corpus, counted once for each surrounding.
+def frequent_table(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(hash, n, occurrences) of the lines that are frequent in the whole corpus, counted once for each surrounding.
 
     A surrounding is how the lines before and after begin: lines that only copies of one text share stay
     between the same neighbours, while boilerplate turns up between different ones.
@@ -197,10 +208,50 @@ def frequent_lines(docs: DataFrame, text: str = "text") -> list[int]:
         return F.struct(F.xxhash64(line).alias("hash"), around.alias("around"))
 
     found = docs.select(lines.alias("lines")).select(F.inline(F.transform("lines", placed)))
-    counts = found.distinct().groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT_LEAST)
-    total = docs.select(F.sum(F.size(F.split(F.col(text), "\n", -1)))).first()[0] or 0
-    rows = counts.where(F.col("n") > total / FREQUENT_SHARE).select("hash").collect()
-    return [r["hash"] & 0xFFFFFFFFFFFFFFFF for r in rows]
+    found = found.groupBy("hash", "around").agg(F.count("*").alias("occurrences"))
+    counts = found.groupBy("hash").agg(F.count("*").alias("n"), F.sum("occurrences").alias("occurrences"))
+    return counts.where(F.col("n") >= FREQUENT_LEAST)
+
+
+def frequent_lines(docs: DataFrame, text: str = "text") -> list[int]:
+    """The hashes of frequent_table() in the driver, for small tables."""
+    return [r["hash"] for r in frequent_table(docs, text).select("hash").collect()]
+
+
+def frequent_marks(rows: DataFrame, frequent: DataFrame) -> DataFrame:
+    """(row, frequent): the hashes of the frequent lines of each row that has any. rows: row, hashes."""
+    pairs = rows.select("row", F.explode(F.array_distinct("hashes")).alias("hash"))
+    total = frequent.agg(F.sum("occurrences")).first()[0] or 0
+    hot = F.col("occurrences") * HOT > total
+    often, seldom = F.broadcast(frequent.where(hot).select("hash")), frequent.where(~hot).select("hash")
+    found = pairs.join(often, "hash", "left_semi").unionByName(pairs.join(often, "hash", "left_anti").join(seldom, "hash", "left_semi"))
+    return found.groupBy("row").agg(F.collect_list("hash").alias("frequent"))
+
+
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def read_lines(docs: DataFrame, keep: list, text: str = "text") -> DataFrame:
+    """A written table with one row for each row of docs: row (its number), keep (a struct), COUNTS, and
+    bits, sizes and hashes of its lines with words."""
+
+    def make():
+        def work(texts):
+            out = []
+            for text in texts:
+                text = text or b""
+                lines, words = text.split(b"\n"), text.split()
+                out.append((*base_counts(text, lines, words), *line_features(lines)))
+            columns = list(zip(*out)) if out else [()] * 8
+            kinds = [pa.int64()] * 5 + [pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+            return [pa.array(c, k) for c, k in zip(columns, kinds)]
+
+        return work
+
+    many = [T.StructField(n, T.ArrayType(t)) for n, t in (("bits", T.IntegerType()), ("sizes", T.IntegerType()), ("hashes", T.LongType()))]
+    fields = [*(T.StructField(n, T.LongType()) for n in COUNTS), *many]
+    rows = map_texts(docs, [F.struct(*keep).alias("keep")], make, fields, text)
+    return stash(rows.withColumn("row", F.monotonically_increasing_id()))
 
 
 def label_quality(docs: DataFrame, keep: list, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -208,28 +259,28 @@ def label_quality(docs: DataFrame, keep: list, key: str = "doc_id", text: str =
     content_share and kept, for every row of docs.
 
     Null, empty and wordless texts have counts of 0, fail the base rules and have a content share of 0;
-    equal rows are judged alike; an empty table gives no rows and trains nothing.
+    equal rows are judged alike; an empty table gives no rows and trains nothing. Texts are read into
+    features of lines once; whether a line is frequent comes by joins, so no list of lines has to fit in a task.
     """
     spark = docs.sparkSession
-    frequent = spark.sparkContext.broadcast(set(frequent_lines(docs, text)))
-
-    def features():
-        def work(texts):
-            return [pa.array([line_features((t or b"").split(b"\n"), frequent.value)[0][:MAX_LINES] for t in texts], pa.list_(pa.int32()))]
+    rows = read_lines(docs, keep, text)
+    marks = stash(frequent_marks(rows, stash(frequent_table(docs, text))))
 
-        return work
+    sample = stash(bounded_share(rows, F.col("row"), MAX_TRAIN).select("row", "bits", "hashes"))
+    known = marks.join(F.broadcast(sample.select("row")), "row", "left_semi")
+    trained = sample.join(known, "row", "left").collect()
+    field = spark.sparkContext.broadcast(fit_field(sorted(mark_frequent(r["bits"], r["hashes"], r["frequent"]) for r in trained)))
 
-    sample = bounded_share(docs, F.col(key), MAX_TRAIN)
-    rows = map_texts(sample, [], features, [T.StructField("bits", T.ArrayType(T.IntegerType()))], text).collect()
-    field = spark.sparkContext.broadcast(fit_field(sorted(r["bits"] for r in rows)))
+    marked = rows.join(marks, "row", "left").select("keep", *COUNTS, "bits", "sizes", "hashes", "frequent")
+    kept = marked.schema.fields[: 1 + len(COUNTS)]
+    names = [*(f.name for f in kept), "content_share"]
 
-    def judge():
+    def judge(batches):
         weights, move = field.value
         moves = move.tolist()
         emitted: dict[int, list[float]] = {}
 
-        def content(lines: list[bytes]) -> float:
-            bits, sizes = line_features(lines, frequent.value)
+        def content(bits: list[int], sizes: list[int]) -> float:
             if not bits:
                 return 0.0
             for b in bits:
@@ -238,20 +289,12 @@ def label_quality(docs: DataFrame, keep: list, key: str = "doc_id", text: str =
             marks = viterbi([emitted[b] for b in bits], moves)
             return sum(s for s, m in zip(sizes, marks) if not m) / max(1, sum(sizes))
 
-        def work(texts):
-            out = []
-            for text in texts:
-                text = text or b""
-                lines, words = text.split(b"\n"), text.split()
-                out.append((*base_counts(text, lines, words), content(lines)))
-            columns = list(zip(*out)) if out else [()] * 6
-            return [*(pa.array(c, pa.int64()) for c in columns[:5]), pa.array(columns[5], pa.float64())]
-
-        return work
+        for batch in batches:
+            lists = zip(*(batch.column(c).to_pylist() for c in ("bits", "sizes", "hashes", "frequent")))
+            shares = [content(mark_frequent(b, h, f), s) for b, s, h, f in lists]
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(shares, pa.float64())], names=names)
 
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    fields = [*(T.StructField(n, T.LongType()) for n in names), T.StructField("content_share", T.DoubleType())]
-    judged = map_texts(docs, keep, judge, fields, text)
+    judged = marked.mapInArrow(judge, T.StructType([*kept, T.StructField("content_share", T.DoubleType())])).select("keep.*", *COUNTS, "content_share")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     judged = judged.withColumn("base_failed", failed)
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("content_share") >= CONTENT_SHARE))
