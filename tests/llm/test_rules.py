@@ -1,11 +1,13 @@
 import itertools
 import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 
 from tidewire.llm import rules
+from tidewire.llm.components import components
+from tidewire.llm.simhash import near_pairs
 
 
 def brute(text):
@@ -95,10 +97,32 @@ def test_the_bar_of_frequent_lines_does_not_follow_the_corpus(spark, monkeypatch
     for hot in (1, 20_000):  # all by shuffle, all by broadcast
         monkeypatch.setattr(rules, "HOT", hot)
         table = rules.read_lines(spark.createDataFrame(rows[:25] * 2, "doc_id long, text string"), ["doc_id"])
-        marks = rules.frequent_marks(table, rules.frequent_table(spark.createDataFrame(rows, "doc_id long, text string"))).collect()
+        marks = rules.frequent_marks(table, rules.frequent_table(rules.read_lines(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"]))).collect()
         assert len(marks) == 50 and len({r["row"] for r in marks}) == 50 and all(len(r["frequent"]) == 1 for r in marks)
 
 
+def test_every_line_of_a_shared_block_is_frequent(spark):
+    rng = random.Random(6)
+
+    def line(n=9):
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(n))
+
+    block = ["Share this page", "All rights reserved", "Cookie policy", "Terms of use"]
+    pages = [(i, "\n".join([line(), line(), *block, line()])) for i in range(40)]
+    base = [line(12) for _ in range(12)]
+    near = [(100 + i, "\n".join([*base, f"seen {i}"])) for i in range(60)]  # what copies share is not
+    table = rules.read_lines(spark.createDataFrame(pages + near, "doc_id long, text string"), ["doc_id"])
+    counts = {r["hash"]: r["n"] for r in rules.frequent_table(table).collect()}
+    assert set(rules.line_features([x.encode() for x in block])[2]) <= set(counts)
+    roots = dict(components(near_pairs(table.select("fingerprint").distinct())).collect())
+    want = defaultdict(set)
+    for r in table.collect():
+        for h in r["hashes"]:
+            want[h].add(roots.get(r["fingerprint"], r["fingerprint"]))
+    assert counts == {h: len(c) for h, c in want.items() if len(c) >= rules.FREQUENT_LEAST}
+    assert len(counts) == 4
+
+
 def test_awkward_rows(awkward, empty):
     rows = rules.label_quality(awkward, ["doc_id", awkward["text"].alias("t")]).collect()
     for r in rows:

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewire.llm.common import bounded_share, map_texts, read_table, stash
+from tidewire.llm.components import components
+from tidewire.llm.simhash import fingerprint, near_pairs
 
 #: The base rules: fewest words, words of a repeated window, and their largest share in percent.
 LEAST_WORDS, REPEAT_WINDOW, MOST_REPEATED = 20, 8, 30
@@ -20,7 +22,7 @@ LEAST_WORDS, REPEAT_WINDOW, MOST_REPEATED = 20, 8, 30
 CONTENT_SHARE = 0.5
 #: Documents that the field is trained on, chosen by a hash of their id; longest training sequence.
 MAX_TRAIN, MAX_LINES = 2_000, 64
-#: A line is frequent from so many surroundings on, however large the corpus is.
+#: A line is frequent from so many documents on, copies and near copies counted once, however large the corpus is.
 FREQUENT_LEAST = 20
 #: A frequent line with more than 1 in so many of their occurrences is joined by broadcast (there are fewer than
 #: HOT of them), the others by a shuffle, where none of them can fill a task.
@@ -192,30 +194,26 @@ def viterbi(emit: list[list[float]], move: list[list[float]]) -> list[int]:
     return out[::-1]
 
 
-def frequent_table(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(hash, n, occurrences) of the lines that are frequent in the whole corpus, counted once for each surrounding.
+def frequent_table(rows: DataFrame) -> DataFrame:
+    """(hash, n, occurrences) of the lines that are frequent in the whole corpus. rows: fingerprint, hashes.
 
-    A surrounding is how the lines before and after begin: lines that only copies of one text share stay
-    between the same neighbours, while boilerplate turns up between different ones.
+    n counts the documents with the line, those of one component of near duplicates once: lines that only
+    copies of one text share are not frequent, wherever they stand; a block of boilerplate on different
+    pages is, with every line of it.
     """
-    lines = F.filter(F.split(F.col(text), "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-
-    def start(x):
-        return F.substring_index(x, " ", 2)
-
-    def placed(line, i):
-        around = F.xxhash64(start(F.get(F.col("lines"), i - 1)), start(F.get(F.col("lines"), i + 1)))
-        return F.struct(F.xxhash64(line).alias("hash"), around.alias("around"))
-
-    found = docs.select(lines.alias("lines")).select(F.inline(F.transform("lines", placed)))
-    found = found.groupBy("hash", "around").agg(F.count("*").alias("occurrences"))
+    nodes = stash(rows.select("fingerprint").distinct())
+    roots = stash(components(near_pairs(nodes)))
+    lines = rows.select("fingerprint", F.array_distinct("hashes").alias("hashes"))
+    lines = lines.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
+    found = lines.select(F.coalesce("root", "fingerprint").alias("root"), F.explode("hashes").alias("hash"))
+    found = found.groupBy("hash", "root").agg(F.count("*").alias("occurrences"))
     counts = found.groupBy("hash").agg(F.count("*").alias("n"), F.sum("occurrences").alias("occurrences"))
     return counts.where(F.col("n") >= FREQUENT_LEAST)
 
 
 def frequent_lines(docs: DataFrame, text: str = "text") -> list[int]:
     """The hashes of frequent_table() in the driver, for small tables."""
-    return [r["hash"] for r in frequent_table(docs, text).select("hash").collect()]
+    return [r["hash"] for r in frequent_table(read_lines(docs, [F.lit(0)], text)).select("hash").collect()]
 
 
 def frequent_marks(rows: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -232,8 +230,8 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def read_lines(docs: DataFrame, keep: list, text: str = "text") -> DataFrame:
-    """A written table with one row for each row of docs: row (its number), keep (a struct), COUNTS, and
-    bits, sizes and hashes of its lines with words."""
+    """A written table with one row for each row of docs: row (its number), keep (a struct), COUNTS, the
+    fingerprint of op10, and bits, sizes and hashes of its lines with words."""
 
     def make():
         def work(texts):
@@ -241,15 +239,15 @@ def read_lines(docs: DataFrame, keep: list, text: str = "text") -> DataFrame:
             for text in texts:
                 text = text or b""
                 lines, words = text.split(b"\n"), text.split()
-                out.append((*base_counts(text, lines, words), *line_features(lines)))
-            columns = list(zip(*out)) if out else [()] * 8
-            kinds = [pa.int64()] * 5 + [pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+                out.append((*base_counts(text, lines, words), fingerprint(text), *line_features(lines)))
+            columns = list(zip(*out)) if out else [()] * 9
+            kinds = [pa.int64()] * 6 + [pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64())]
             return [pa.array(c, k) for c, k in zip(columns, kinds)]
 
         return work
 
     many = [T.StructField(n, T.ArrayType(t)) for n, t in (("bits", T.IntegerType()), ("sizes", T.IntegerType()), ("hashes", T.LongType()))]
-    fields = [*(T.StructField(n, T.LongType()) for n in COUNTS), *many]
+    fields = [*(T.StructField(n, T.LongType()) for n in (*COUNTS, "fingerprint")), *many]
     rows = map_texts(docs, [F.struct(*keep).alias("keep")], make, fields, text)
     return stash(rows.withColumn("row", F.monotonically_increasing_id()))
 
@@ -264,7 +262,7 @@ def label_quality(docs: DataFrame, keep: list, key: str = "doc_id", text: str =
     """
     spark = docs.sparkSession
     rows = read_lines(docs, keep, text)
-    marks = stash(frequent_marks(rows, stash(frequent_table(docs, text))))
+    marks = stash(frequent_marks(rows, stash(frequent_table(rows))))
 
     sample = stash(bounded_share(rows, F.col("row"), MAX_TRAIN).select("row", "bits", "hashes"))
     known = marks.join(F.broadcast(sample.select("row")), "row", "left_semi")
