@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,6 +51,42 @@ def test_documents_and_edits(spark, awkward, empty):
     assert K.apply_edits(K.build_trees(K.add_redactions(empty), ["text", "edits"]), [], "edits").count() == 0
 
 
+def plain_edits(text):
+    """The edits, character by character: the longest local part that reaches an @, or the digits."""
+    local, host = re.compile(r"[A-Za-z0-9._%+-]"), re.compile(r"[A-Za-z0-9.-]")
+    first, newline, _ = text.partition("\n")
+    line = len(first) + 1 if newline and 1 <= len(re.findall(r"[^\x20\x09-\x0D]+", first)) <= 8 else 0
+    edits, at = [(0, line, "")] if line else [], 0
+    while at < len(text):
+        end = at
+        while end < len(text) and local.match(text[end]):
+            end += 1
+        stop = end + 1
+        while end > at and text[end : end + 1] == "@" and stop < len(text) and host.match(text[stop]) and stop - end <= 255:
+            stop += 1
+        if stop == end + 1:
+            stop = at
+            while stop < len(text) and "0" <= text[stop] <= "9" and stop - at < 64:
+                stop += 1
+            stop = stop if stop - at >= 9 else at
+        if stop > at:
+            if at >= line:
+                edits.append((at, stop, "[removed]"))
+            at = stop
+        else:
+            at += 1
+    return edits
+
+
+def test_edits_agree_with_a_plain_search(spark):
+    rng, pieces = random.Random(9), ["a", "b.c", "@", "@d.e", "_", "%", " ", "  ", "\n", "\t", "\r", "é", "1234567", "123456789", "7" * 70, "x" * 70, "h" * 260, "two words "]
+    texts = ["l" * 100 + "@b.c now", "a@b.c_d@e", "A title \nrest", "w" * 80 + "\nrest", "x@" + "h" * 300 + "@c", "@123456789_z@q", "one two three four five six seven eight nine\nrest"]
+    texts += ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 14))) for _ in range(600)]
+    rows = K.add_redactions(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for r in rows:
+        assert [tuple(e) for e in r["edits"]] == plain_edits(r["text"]), r["text"]
+
+
 def test_trees_take_edits_in_turn(spark):
     docs = spark.createDataFrame([(1, "one two three four five")], "doc_id long, text string")
     bad = K.build_trees(docs.withColumn("edits", F.expr("array(struct(5L as start, 2L as end, '' as new))")), ["text", "edits"])

@@ -209,9 +209,15 @@ def apply_edits(trees: DataFrame, keep: list, edits: str, text: str = "text", ra
 
 def add_redactions(docs: DataFrame, text: str = "text", out: str = "edits") -> DataFrame:
     """Add edits of the texts: long numbers and addresses at hosts give way to a mark, and a first line of
-    one to eight words goes if others follow."""
-    mask = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9.-]{1,255}|[0-9]{9,64}"
-    head = r"^[^\x20\x09-\x0D]{1,64}+(?:\x20[^\x20\x09-\x0D]{1,64}+){0,7}+\n"
+    one to eight words goes if others follow.
+
+    An address starts where no character of its class stands before, or where an address ended: the
+    patterns don't backtrack, and nothing is lost between adjacent addresses.
+    """
+    start = r"(?:\G(?<=@[A-Za-z0-9.-]{1,255})|(?<![A-Za-z0-9._%+-]))"
+    mask = start + r"[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]{1,255}|[0-9]{9,64}"
+    blank = r"[\x20\x09\x0B-\x0D]"
+    head = rf"^{blank}*+[^\x20\x09-\x0D]++(?:{blank}++[^\x20\x09-\x0D]++){{0,7}}+{blank}*+\n"
     docs = add_spans(docs, text, mask, r"@|[0-9]{9}", "__mask")
     line = F.length(F.regexp_extract(F.col(text), head, 0)).cast("long")
     docs = docs.withColumn("__line", F.coalesce(line, F.lit(0).cast("long")))
