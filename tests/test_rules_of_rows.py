@@ -70,6 +70,44 @@ def test_interval_fold():
     assert seen == [(40, 0), (40, 0), (32, 0), (32, 603), (round(32 * 2 ** (1 / 8), 3), 603)]
 
 
+def greedy(sizes, n):
+    filled, out = [0] * n, []
+    for size in sizes:
+        least = filled.index(min(filled))
+        filled[least] += size
+        out.append(least)
+    return out, filled
+
+
+def test_deal_is_the_greedy_rule():
+    rng = random.Random(7)
+    for _ in range(500):
+        n = rng.randint(1, 6)
+        sizes = sorted((rng.choice([1, 1, 2, 3, 7, 40]) for _ in range(rng.randint(0, 80))), reverse=True)
+        filled, got = [0] * n, []
+        for size in sorted(set(sizes), reverse=True):
+            starts, turns = crawl.deal(filled, size, sizes.count(size))
+            assert len(starts) <= n
+            for rank in range(sizes.count(size)):
+                run = sum(x <= rank for x in starts) - 1
+                got.append(turns[run][(rank - starts[run]) % len(turns[run])])
+        assert (got, filled) == greedy(sizes, n)
+
+
+def test_packing_is_greedy_for_small_domains_too(spark):
+    rng = random.Random(8)
+    names = ["big"] * 4000 + ["mid"] * 900 + [f"d{i}" for i in range(900) for _ in range(rng.randint(1, 3))]
+    rng.shuffle(names)
+    first, stories = {}, {}
+    for i, name in enumerate(names):
+        first.setdefault(name, i)
+        stories[name] = stories.get(name, 0) + 1
+    order = sorted(stories, key=lambda d: (-stories[d], -first[d]))
+    want = dict(zip(order, greedy([stories[d] for d in order], 3)[0]))
+    out = crawl.pack_domains(spark.createDataFrame(list(zip(names, range(len(names)))), "domain string, pos int").repartition(7), 3).collect()
+    assert {r["domain"]: r["batch"] for r in out} == want and len(out) == len(want)
+
+
 def test_packing(spark):
     rows = [("b", 0), ("c", 1), ("a", 2), ("a", 3), ("a", 4), ("b", 5), ("c", 6)]
     out = crawl.pack_domains(spark.createDataFrame(rows, "domain string, pos int"), 2).collect()

@@ -81,42 +81,60 @@ def domain_counts(df: DataFrame, domain: str = "domain", pos: str = "pos") -> Da
     return df.groupBy(F.col(domain).alias("domain")).agg(F.count("*").alias("stories"), F.min(pos).alias("first_pos"))
 
 
-#: A domain is packed by itself if it has more than one in so many of a batch's even share of stories.
+#: Not used any more, as all domains are packed by the rule; a test still sets it.
 HEAD = 1_000
 
 
+def deal(filled: list[int], size: int, count: int) -> tuple[list[int], list[list[int]]]:
+    """Hand `count` domains of one size to the least filled batches in turn; `filled` is brought up to date.
+
+    Gives the ranks at which runs start, and the batches that take turns in each run. Batches within one size
+    of the least filled get one each, in order of (fill, number), and again until another batch is as low; so
+    there is at most one run for each batch, however many domains there are.
+    """
+    starts, turns, done = [], [], 0
+    while done < count:
+        low = min(filled)
+        turn = sorted((b for b, f in enumerate(filled) if f < low + size), key=lambda b: (filled[b], b))
+        above = [f for f in filled if f >= low + size]
+        given = count - done
+        if above:
+            given = min(given, (min(above) - low) // size * len(turn))
+        starts.append(done)
+        turns.append(turn)
+        for i, b in enumerate(turn):
+            filled[b] += size * (given // len(turn) + (i < given % len(turn)))
+        done += given
+    return starts, turns
+
+
 def pack_domains(df: DataFrame, n: int = 20, domain: str = "domain", pos: str = "pos") -> DataFrame:
     """(domain, stories, batch): largest domains first into the least filled of n batches, domains whole.
 
     Among equals the later first-seen domain goes first, and the lowest of equally filled batches. The fold
-    sees one row for each domain of some size, of which there are n * HEAD at most however many stories
-    there are; the small ones behind them go by a hash of their name, in proportion to the room that the
-    batches have left.
+    sees one row for each size, of which there are about sqrt(2 * stories) at most; the domains of a size
+    take their batches by their rank in it, which comes from a range partitioning and sums of its parts.
     """
-    counts = stash(domain_counts(df, domain, pos))
-    total = counts.agg(F.sum("stories")).first()[0] or 0
-    large = F.col("stories") * (n * HEAD) >= total
-
-    def fold_counts(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["stories", "first_pos"], ascending=[False, False])
-        filled, batch = [0] * n, []
-        for size in frame["stories"]:
-            least = filled.index(min(filled))
-            filled[least] += size
-            batch.append(least)
-        return frame.assign(batch=batch)[["domain", "stories", "batch"]]
-
-    head = counts.where(large).withColumn("__all", F.lit(0)).groupBy("__all").applyInPandas(lambda f: fold_counts(f), "domain string, stories bigint, batch int")
-    head = stash(head)
-    filled = {r["batch"]: r["stories"] for r in head.groupBy("batch").agg(F.sum("stories").alias("stories")).collect()}
-    room = [max(0.0, total / n - filled.get(k, 0)) for k in range(n)]
-    u = F.shiftrightunsigned(F.xxhash64("domain"), 11) / F.lit(float(1 << 53)) * F.lit(sum(room))
-    batch, edge = F.lit(n - 1), sum(room)
-    for k in range(n - 1, -1, -1):
-        batch = F.when(u < F.lit(edge), F.lit(k)).otherwise(batch)
-        edge -= room[k]
-    tail = counts.where(~large).select("domain", "stories", batch.alias("batch"))
-    return head.unionByName(tail)
+    counts = domain_counts(df, domain, pos).repartitionByRange(F.col("stories").desc(), F.col("first_pos").desc(), "domain")
+    counts = counts.sortWithinPartitions(F.col("stories").desc(), F.col("first_pos").desc(), "domain")
+    local = stash(counts.withColumn("__at", F.monotonically_increasing_id())).withColumn("__part", F.shiftright("__at", 33))
+    parts = local.groupBy("stories", "__part").agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
+    before = Window.partitionBy("stories").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = stash(parts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))))
+
+    def fold_sizes(frame: pd.DataFrame) -> pd.DataFrame:
+        filled, out = [0] * n, []
+        for size, count in frame.sort_values("stories", ascending=False)[["stories", "count"]].itertuples(index=False):
+            out.append((size, *deal(filled, int(size), int(count))))
+        return pd.DataFrame(out, columns=["stories", "starts", "turns"])
+
+    sizes = parts.groupBy("stories").agg(F.sum("__n").alias("count")).withColumn("__all", F.lit(0))
+    runs = sizes.groupBy("__all").applyInPandas(lambda f: fold_sizes(f), "stories bigint, starts array<bigint>, turns array<array<int>>")
+    plan = parts.join(stash(runs), "stories").select("stories", "__part", "__first", "__before", "starts", "turns")
+    ranked = local.join(plan, ["stories", "__part"]).withColumn("__rank", F.col("__before") + F.col("__at") - F.col("__first"))
+    ranked = ranked.withColumn("__run", F.size(F.filter("starts", lambda x: x <= F.col("__rank"))) - 1)
+    turn, step = F.get("turns", F.col("__run")), F.col("__rank") - F.get("starts", F.col("__run"))
+    return ranked.select("domain", "stories", F.get(turn, (step % F.size(turn)).cast("int")).alias("batch"))
 
 
 def attach_batch(df: DataFrame, packed: DataFrame, domain: str = "domain") -> DataFrame:
