@@ -34,3 +34,14 @@ def test_query(spark, sf_dir, con, name):
 @pytest.mark.parametrize("name", sorted(set(queries.queries()) - set(queries.oracle_sql())))
 def test_query_without_twin(spark, sf_dir, name):
     assert queries.queries()[name](spark, sf_dir).count() > 0
+
+
+@pytest.mark.parametrize("name", ["o49_metadata_json", "o66_reindex_copy", "o96_incremental_reindex"])
+def test_whole_table_forms(con, name):
+    """They give all that the forms over a part of the table give, and more on a larger table."""
+    con.execute("CREATE OR REPLACE TEMP VIEW documents AS SELECT * FROM '/root/testdata/sf0.01/documents.parquet'")
+    try:
+        part, whole = (set(con.execute(queries.oracle_sql()[n]).fetchall()) for n in (name, f"{name}_all"))
+    finally:
+        con.execute("DROP VIEW temp.documents")
+    assert part < whole

@@ -91,12 +91,26 @@ def o66_reindex_copy(spark, sf_dir):
     return I.reindex_copy(odd.dropDuplicates(["doc_id"]), even, where="language = 'en'", max_docs=200).select("doc_id", "language")
 
 
+def o66_reindex_copy_all(spark, sf_dir):
+    """The same without a limit; of rows that share an id, the first."""
+    even, odd = halves(spark, sf_dir)
+    return I.reindex_copy(odd.groupBy("doc_id").agg(F.min_by("language", "seq").alias("language")), even, where="language = 'en'").select("doc_id", "language")
+
+
 def o96_incremental_reindex(spark, sf_dir):
     even, odd = halves(spark, sf_dir)
     since, until = F.to_timestamp(F.lit("2024-01-01 00:01:00")), F.to_timestamp(F.lit("2024-01-01 00:10:00"))
     return I.incremental_reindex(odd, even, since, until, ["doc_id", "seq", "language", "indexed_date"]).select("doc_id", "seq", "language")
 
 
+def o96_incremental_reindex_all(spark, sf_dir):
+    """The window from the first to the last indexed_date of the table."""
+    even, odd = halves(spark, sf_dir)
+    window = index_docs(spark, sf_dir).agg(F.min("indexed_date").alias("since"), F.max("indexed_date").alias("until"))
+    odd = odd.crossJoin(F.broadcast(window))
+    return I.incremental_reindex(odd, even, F.col("since"), F.col("until"), ["doc_id", "seq", "language", "indexed_date"]).select("doc_id", "seq", "language")
+
+
 def o96_run_window(spark, sf_dir):
     """The window that follows from a log of runs, one a day, made of events."""
     e = read_table(spark, sf_dir, "events")
@@ -116,7 +130,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         o36_to_index_doc, o37_resolve_pub_date, o38_resolve_indexed_date, o75_field_counts, o61_create_only, o14_write_index, o62_delete_by_urls, o62_delete_stats,
-        o50_recompute_domain, o66_reindex_copy, o96_incremental_reindex, o96_run_window, o85_scan_in_order,
+        o50_recompute_domain, o66_reindex_copy, o66_reindex_copy_all, o96_incremental_reindex, o96_incremental_reindex_all, o96_run_window, o85_scan_in_order,
     )
 }
 
@@ -146,6 +160,10 @@ SELECT (SELECT count(*) FROM normal WHERE kind = 'i' AND normalized IN (SELECT n
     "o66_reindex_copy": f"""WITH {INDEX_DOCS}, o AS (SELECT DISTINCT ON (doc_id) doc_id, language FROM docs WHERE seq % 2 = 1 ORDER BY doc_id, seq), c AS (SELECT * FROM o WHERE language = 'en' ORDER BY doc_id LIMIT 200)
 SELECT doc_id, language FROM c WHERE doc_id NOT IN (SELECT doc_id FROM docs WHERE seq % 2 = 0)""",
     "o96_incremental_reindex": f"""WITH {INDEX_DOCS} SELECT doc_id, seq, language FROM docs WHERE seq % 2 = 1 AND indexed_date > TIMESTAMP '2024-01-01 00:01:00' AND indexed_date <= TIMESTAMP '2024-01-01 00:10:00'
+ AND doc_id NOT IN (SELECT doc_id FROM docs WHERE seq % 2 = 0)""",
+    "o66_reindex_copy_all": f"""WITH {INDEX_DOCS}, o AS (SELECT DISTINCT ON (doc_id) doc_id, language FROM docs WHERE seq % 2 = 1 ORDER BY doc_id, seq)
+SELECT doc_id, language FROM o WHERE language = 'en' AND doc_id NOT IN (SELECT doc_id FROM docs WHERE seq % 2 = 0)""",
+    "o96_incremental_reindex_all": f"""WITH {INDEX_DOCS} SELECT doc_id, seq, language FROM docs WHERE seq % 2 = 1 AND indexed_date > (SELECT min(indexed_date) FROM docs) AND indexed_date <= (SELECT max(indexed_date) FROM docs)
  AND doc_id NOT IN (SELECT doc_id FROM docs WHERE seq % 2 = 0)""",
     "o96_run_window": "SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS since, '2024-06-01 10:00:00' AS until FROM events",
     "o85_scan_in_order": f"WITH {INDEX_DOCS} SELECT doc_id, strftime(indexed_date, '%Y-%m-%d %H:%M:%S') AS indexed FROM docs ORDER BY indexed_date, doc_id",

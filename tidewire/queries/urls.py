@@ -89,7 +89,11 @@ def o48_metric_names(spark, sf_dir):
 
 
 def o49_metadata_json(spark, sf_dir):
-    d = read_table(spark, sf_dir, "documents").where(F.col("doc_id") % 2 == 0)
+    return o49_metadata_json_all(spark, sf_dir).where(F.col("doc_id") % 2 == 0)
+
+
+def o49_metadata_json_all(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents")
     none = F.lit(None).cast("string")
     doc = X.metadata_json([F.col("doc_id").alias("id"), F.col("lang").alias("language"), none.alias("via")])
     return d.select("doc_id", doc.alias("metadata"))
@@ -110,7 +114,7 @@ NORMAL = """ports AS (SELECT *, regexp_extract(hp, ':([0-9]+)$', 1) AS port FROM
   list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*\\?([^#]*)', 1), '&'), lambda p: p <> '' AND NOT starts_with(p, 'utm_'))) AS q FROM ports),
  normal AS (SELECT page_id, url, front || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS normalized FROM fronts)"""
 
-QUERIES = {f.__name__: f for f in (o20_check_url, o22_non_news_join, o24_filter_domains, o27_classify_redirects, o28_redirects_registered, o44_url_functions, o45_story_id, o46_names, o21_url_fqdn, o47_file_key, o58_split_object_url, o48_metric_names, o49_metadata_json, o59_error_columns)}
+QUERIES = {f.__name__: f for f in (o20_check_url, o22_non_news_join, o24_filter_domains, o27_classify_redirects, o28_redirects_registered, o44_url_functions, o45_story_id, o46_names, o21_url_fqdn, o47_file_key, o58_split_object_url, o48_metric_names, o49_metadata_json, o49_metadata_json_all, o59_error_columns)}
 
 ORACLES = {
     "o20_check_url": f"WITH {ODD_URLS}, {sql_parts('url', 'odd')} SELECT page_id, nullif(host, '') AS fqdn, scheme, coalesce({sql_check('url')}, 'ok') AS status FROM parts",
@@ -150,5 +154,6 @@ SELECT event_id, CASE WHEN regexp_matches(name, '^\\d{4}[_-]\\d\\d[_-]\\d\\d') T
  CASE WHEN page_id % 4 <> 0 THEN regexp_extract(url, '^[^:]+://[^/]*/?(.*)$', 1) END AS object_key FROM pages""",
     "o48_metric_names": "SELECT 'stories.app_a' || (user_id % 3) || '.status_' || event_type AS metric, count(*) AS n FROM events GROUP BY 1",
     "o49_metadata_json": """SELECT doc_id, '{"id":' || doc_id || ',"language":' || CASE WHEN lang IS NULL THEN 'null' ELSE '"' || lang || '"' END || ',"via":null}' AS metadata FROM documents WHERE doc_id % 2 = 0""",
+    "o49_metadata_json_all": """SELECT doc_id, '{"id":' || doc_id || ',"language":' || CASE WHEN lang IS NULL THEN 'null' ELSE '"' || lang || '"' END || ',"via":null}' AS metadata FROM documents""",
     "o59_error_columns": "SELECT doc_id, 'parser' AS who, substr(text, 1, 100) AS what, 'extract' AS place, source AS name FROM documents",
 }
