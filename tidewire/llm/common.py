@@ -90,6 +90,20 @@ def map_texts(
     return source.mapInArrow(run, schema)
 
 
+#: Draws are hashes of 63 bits, so that a share far below one in a million still picks rows.
+DRAW_BITS = 63
+
+
+def draw(*columns: Column | str) -> Column:
+    """A pseudo-random number of DRAW_BITS bits from the values of a row alone."""
+    return F.shiftrightunsigned(F.xxhash64(*columns), 64 - DRAW_BITS)
+
+
+def cut_of(bound: int, n: int) -> int:
+    """The draw below which about `bound` of n rows stand; at least one in n, whatever n is."""
+    return (1 << DRAW_BITS) - 1 if n <= bound else max(bound << DRAW_BITS, 1 << DRAW_BITS) // n
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str, held_out, bound: int) -> DataFrame:
     """text, label, weight of a bounded sample of labelled rows outside the held-out part.
 
@@ -100,24 +114,26 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, key: str, te
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("__label"))
     known = known.where(~held_out(F.col("doc_id")))
     counts = {r[0]: r[1] for r in known.groupBy("__label").count().collect()}
-    share = {y: min(1.0, bound / n) for y, n in counts.items()}
-    steps = 1 << 20
-    draw = F.pmod(F.xxhash64(F.lit("train"), "doc_id"), F.lit(steps))
-    cut = F.when(F.col("__label") == 1, F.lit(int(steps * share.get(1, 0)))).otherwise(F.lit(int(steps * share.get(0, 0))))
-    weight = F.when(F.col("__label") == 1, F.lit(1 / share.get(1, 1.0))).otherwise(F.lit(1 / share.get(0, 1.0)))
-    chosen = known.where(draw < cut).select(F.col("doc_id").alias("__id"), "__label", weight.alias("__weight"))
+    cut = {y: cut_of(bound, counts.get(y, 0)) for y in (0, 1)}
+    stands = {y: max(1.0, counts.get(y, 0) / bound) for y in (0, 1)}
+    positive = F.col("__label") == 1
+    chosen = known.where(draw(F.lit("train"), "doc_id") <= F.when(positive, F.lit(cut[1])).otherwise(F.lit(cut[0])))
+    weight = F.when(positive, F.lit(stands[1])).otherwise(F.lit(stands[0]))
+    chosen = chosen.select(F.col("doc_id").alias("__id"), "__label", weight.alias("__weight"))
     rows = docs.select(F.col(key).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(chosen), "__id")
     rows = rows.groupBy("__id", "__label", "__weight").agg(F.min("__text").alias("text"))
     return rows.select("text", F.col("__label").alias("label"), F.col("__weight").alias("weight"))
 
 
-def bounded_share(df: DataFrame, key: Column, bound: int) -> DataFrame:
-    """About `bound` rows at most, chosen by a hash; all rows if there are no more.
+def distinct_sample(df: DataFrame, value: str, bound: int, n: int | None = None) -> tuple[DataFrame, float]:
+    """Distinct values of a column, about `bound` of them at most, and how many each stands for.
 
-    The number of the row is part of the hash, as thousands of rows may share one key and text.
+    Chosen by a hash of the value alone, so any partitioning gives the same ones, and thousands of equal
+    rows count once. All are taken if there are no more than `bound`; never none of a table with rows. n:
+    the number of distinct values, estimated from sketches where it is not given.
     """
-    n = df.count()
-    if n <= bound:
-        return df
-    steps = 1 << 20
-    return df.where(F.pmod(F.xxhash64(F.lit("sample"), key, F.monotonically_increasing_id()), F.lit(steps)) < int(steps * bound / n))
+    rows = df.select(value).where(F.col(value).isNotNull())
+    if n is None:
+        n = rows.agg(F.approx_count_distinct(F.xxhash64(value), 0.02)).first()[0]
+    drawn = rows.withColumn("__draw", draw(F.lit("sample"), value)).where(F.col("__draw") <= F.lit(cut_of(bound, n)))
+    return drawn.dropDuplicates(["__draw"]).select(value), max(1.0, n / bound)
