@@ -45,6 +45,53 @@ def test_toxicity_on_held_out_rows(spark, tables):
     assert all(0 <= r["score"] <= 1 for r in out)
 
 
+#: The insults that the given tables were made with. The other toxic rows have words of certain beginnings.
+INSULTS = set("trash pathetic idiot worthless disgusting stupid clown scum loser moron".split())
+
+
+@pytest.mark.parametrize("sf, recall, clean", [("0.01", 0.9, 0.95), ("0.1", 0.9, 0.98)])
+def test_toxicity_of_the_given_tables(spark, sf, recall, clean):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train_on(docs, labels)
+    out = toxicity.score_documents(docs.join(labels, "doc_id", "left"), model, ["doc_id", "text", "toxic", toxicity.held_out(F.col("doc_id")).alias("held")])
+    rows = out.select("*", F.col("toxic").isNotNull().alias("known")).collect()
+    held = [r for r in rows if r["held"] and r["known"]]
+    assert np.mean([r["predicted"] for r in held if r["toxic"]]) >= recall
+    assert np.mean([not r["predicted"] for r in held if not r["toxic"]]) >= clean
+    insulting = [r for r in rows if INSULTS & set(toxicity.TOKEN.findall(r["text"].lower()))]
+    assert len(insulting) > 50 and np.mean([r["predicted"] for r in insulting]) >= 0.95
+
+
+def test_toxicity_scores_are_those_of_a_plain_sum(spark, tables):
+    docs, labels = tables
+    model = toxicity.train_on(docs, labels)
+    assert model.entries and any(model.weights[len(model.entries) : -1])
+    for r in toxicity.score_documents(docs.limit(150), model, ["text"]).collect():
+        words, odds = [w.lower() for w in toxicity.TOKEN.findall(r["text"])], model.weights[-1]
+        for entry, weight in zip(model.entries, model.weights):
+            often, stem = entry.split("|")
+            kind, letters = stem.split(":")
+            odds += weight * (sum(w == letters if kind == "w" else w.startswith(letters) for w in words) >= int(often))
+        for (_, pattern), weight in zip(toxicity.PATTERNS, model.weights[len(model.entries) :]):
+            odds += weight * bool(pattern.search(r["text"]))
+        assert abs(r["score"] - 1 / (1 + np.exp(-np.clip(odds, -30, 30)))) < 1e-9
+
+
+def test_label_model_of_a_tree_has_the_posterior_of_its_tables():
+    rng = np.random.default_rng(5)
+    votes = rng.random((500, toxicity.VOTERS)) < 0.4
+    votes[:, 3] = votes[:, 2] ^ (rng.random(500) < 0.1)
+    model = toxicity.fit_label_model(votes, rng.random(500) + 0.5, rounds=9)
+    assert model.parent[3] == 2 or model.parent[2] == 3
+    for v, p in zip(votes[:20], model.posterior(votes[:20])):
+        chance = np.array([1 - model.prior, model.prior])
+        for y in (0, 1):
+            for j, parent in enumerate(model.parent):
+                fires = model.given[y, int(parent >= 0 and v[parent]), j]
+                chance[y] *= fires if v[j] else 1 - fires
+        assert abs(p - chance[1] / chance.sum()) < 1e-6
+
+
 def test_toxicity_of_awkward_rows(spark, awkward, empty, labels):
     model = toxicity.train_on(awkward, labels)
     rows = toxicity.score_documents(awkward, model, ["doc_id"]).collect()

@@ -14,12 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewire.llm.common import crc_bucket, labelled_sample, map_texts, read_table, stash
-
-#: Labelled rows to learn from: so many of each class at most, chosen by a hash of their id.
-MAX_PER_CLASS = 10_000
-#: Entries of all lexicons together; documents of the toxic class that must hold an entry; its odds.
-MAX_ENTRIES, LEAST_DOCS, LEAST_RATIO = 2_000, 5, 20.0
+from tidewire.llm.common import crc_bucket, distinct_sample, labelled_sample, map_texts, read_table, stash
+
+#: Labelled rows to learn lexicons from, so many of each class at most, and texts without a label that the
+#: label model and the classifier learn from beside them. Chosen by hashes.
+MAX_PER_CLASS, MAX_UNLABELLED = 10_000, 10_000
+#: Entries of all lexicons together. An entry is scored by its log odds, half a document added on each side,
+#: less SURE standard errors and half the log of the number of toxic texts (as the Bayesian criterion charges
+#: a parameter), MARGIN at most; those above zero are entries, the best first.
+MAX_ENTRIES, SURE, MARGIN = 2_000, 1.0, 3.0
 THRESHOLD = 0.3
 #: Words remembered by a task with the entries that they match.
 REMEMBERED = 300_000
@@ -82,23 +85,30 @@ class Matcher:
 
 
 def learn_entries(train: DataFrame) -> list[str]:
-    """Words and beginnings of words that stand out in toxic texts, best first. Counted over all of train."""
+    """Words and beginnings of words that stand out in toxic texts, best first. Counted over all of train.
+
+    Rare entries pay by the width of their interval, so a few labels give a few sure entries and many give
+    the rarer ones too; there is no fixed number of documents below which nothing is learned.
+    """
 
     def count(batches):
         toxic, clean = Counter(), Counter()
         for batch in batches:
             for raw, label in zip(batch["text"].to_pylist(), batch["label"].to_pylist()):
                 (toxic if label else clean).update(entries_of(decode(raw)))
-        both = list(toxic.keys() | clean.keys())
+        both = list(toxic)  # what no toxic text of this task holds only counts against entries of others
+        both += [e for e in clean if e not in toxic]
         columns = {"entry": both, "toxic": [toxic[e] for e in both], "clean": [clean[e] for e in both]}
         kinds = {"entry": pa.string(), "toxic": pa.int64(), "clean": pa.int64()}
         yield pa.RecordBatch.from_pydict(columns, schema=pa.schema(kinds))
 
     sums = train.select(F.col("text").cast("binary").alias("text"), "label").mapInArrow(count, "entry string, toxic long, clean long")
-    sums = sums.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(F.col("toxic") >= LEAST_DOCS)
+    sums = sums.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where("toxic > 1")
     n = {r[0]: r[1] for r in train.groupBy("label").count().collect()}
-    ratio = (F.col("toxic") / max(1, n.get(1, 0))) / ((F.col("clean") + 0.5) / max(1, n.get(0, 0)))
-    best = sums.where(ratio >= LEAST_RATIO).orderBy((F.col("toxic") * F.log(ratio)).desc(), "entry").limit(MAX_ENTRIES)
+    toxic, clean = F.col("toxic") + 0.5, F.col("clean") + 0.5
+    odds = F.log(toxic / (n.get(1, 0) + 1.0)) - F.log(clean / (n.get(0, 0) + 1.0))
+    sure = odds - SURE * F.sqrt(1 / toxic + 1 / clean) - min(MARGIN, 0.5 * float(np.log(max(1, n.get(1, 0)))))
+    best = sums.where(sure > 0).orderBy((F.col("toxic") * sure).desc(), "entry").limit(MAX_ENTRIES)
     return [r["entry"] for r in best.select("entry").collect()]
 
 
@@ -116,38 +126,86 @@ VOTERS = LEXICONS + len(PATTERNS)
 
 @dataclass
 class LabelModel:
+    """A hidden class with voters on a tree: each voter's chance to fire depends on the class and on the vote
+    of its parent, the voter that it goes together with most beyond the class."""
+
     prior: float
     fires: np.ndarray  # (2, voters): how often a voter fires for each true class
-    trust: np.ndarray  # share of its evidence that each voter keeps, given those it repeats
+    parent: np.ndarray  # of each voter, -1 for none
+    given: np.ndarray  # (2, 2, voters): how often it fires for each class and vote of its parent
+    trust: np.ndarray  # share of its evidence that is its own, given all that it goes together with
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        gain = np.log(self.fires[1] / self.fires[0]), np.log((1 - self.fires[1]) / (1 - self.fires[0]))
-        odds = np.log(self.prior / (1 - self.prior)) + np.where(votes, gain[0], gain[1]) @ self.trust
+        votes = votes.astype(bool)
+        above = np.where(self.parent >= 0, votes[:, self.parent], False).astype(int)
+        at = np.arange(votes.shape[1])
+        odds = np.full(len(votes), np.log(self.prior / (1 - self.prior)))
+        for y, sign in ((1, 1), (0, -1)):
+            chance = self.given[y][above, at]
+            odds += sign * np.log(np.where(votes, chance, 1 - chance)).sum(axis=1)
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
+def _strongest_tree(votes: np.ndarray, shares: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Parents of the tree that keeps most of the voters' mutual information within the classes (Chow and
+    Liu 1968, with the class given), grown from the first voter."""
+    x, n = votes.astype(float), votes.shape[1]
+    told = np.zeros((n, n))
+    for q in shares:
+        total = max(q.sum(), 1e-9)
+        both = (x.T * q) @ x / total
+        one = np.diag(both)
+        for joint, free in (
+            (both, np.outer(one, one)),
+            (one[:, None] - both, np.outer(one, 1 - one)),
+            (one[None, :] - both, np.outer(1 - one, one)),
+            (1 - one[:, None] - one[None, :] + both, np.outer(1 - one, 1 - one)),
+        ):
+            joint = np.clip(joint, 1e-12, 1)
+            told += total * joint * np.log(joint / np.clip(free, 1e-12, 1))
+    parent, inside = np.full(n, -1), np.zeros(n, bool)
+    best, best_from = told[0].copy(), np.zeros(n, int)
+    inside[0] = True
+    for _ in range(n - 1):
+        k = int(np.where(inside, -np.inf, best).argmax())
+        inside[k], parent[k] = True, best_from[k]
+        closer = told[k] > best
+        best, best_from = np.where(closer, told[k], best), np.where(closer, k, best_from)
+    return parent
+
+
 def fit_label_model(votes: np.ndarray, weight: np.ndarray, rounds: int = 60) -> LabelModel:
     """Expectation maximisation over a hidden class; no label is looked at.
 
-    Each round re-estimates how often every voter fires for each class, and from the residuals how strongly
-    pairs of voters go together beyond the class; the evidence of voters that repeat each other is shared.
+    The first third of the rounds takes voters as independent within a class. Then the tree of their
+    correlations is set, and the other rounds estimate the prior, and how often each voter fires for each
+    class and vote of its parent.
     """
     votes = votes.astype(bool)
+    n = votes.shape[1]
     belief = np.clip(votes[:, :LEXICONS].sum(axis=1) * 0.3, 0.02, 0.98)
-    model = LabelModel(0.5, np.full((2, votes.shape[1]), 0.5), np.ones(votes.shape[1]))
-    for _ in range(rounds):
-        fires = []
-        for q in (weight * (1 - belief), weight * belief):
-            fires.append((q @ votes + 0.5) / (q.sum() + 1.0))
-        fires = np.clip(np.array(fires), 1e-4, 1 - 1e-4)
+    parent = np.full(n, -1)
+    for k in range(rounds):
+        shares = weight * (1 - belief), weight * belief
+        if k == rounds // 3:
+            parent = _strongest_tree(votes, shares)
+        above = np.where(parent >= 0, votes[:, parent], False)
+        fires = np.array([(q @ votes + 0.5) / (q.sum() + 1.0) for q in shares])
+        given = np.empty((2, 2, n))
+        for y, q in enumerate(shares):
+            for a in (0, 1):
+                held = above == bool(a)
+                # a vote that the parent rarely casts tells little: it is drawn to the voter's own rate
+                given[y, a] = (q @ (votes & held) + 2.0 * fires[y]) / (q @ held + 2.0)
+        given = np.clip(given, 1e-4, 1 - 1e-4)
         prior = float(np.clip((weight * belief).sum() / max(weight.sum(), 1e-9), 1e-4, 1 - 1e-4))
-        rest = votes - np.where((belief >= 0.5)[:, None], fires[1], fires[0])
-        scaled = rest * np.sqrt(weight / max(weight.sum(), 1e-9))[:, None]
-        cov = scaled.T @ scaled
-        size = np.sqrt(np.clip(np.diag(cov), 1e-9, None))
-        together = np.clip(cov / np.outer(size, size), 0, 1)
-        model = LabelModel(prior, fires, 1 / together.sum(axis=1).clip(1, None))
+        model = LabelModel(prior, np.clip(fires, 1e-4, 1 - 1e-4), parent, given, np.ones(n))
         belief = model.posterior(votes)
+    rest = votes - np.where((belief >= 0.5)[:, None], model.fires[1], model.fires[0])
+    scaled = rest * np.sqrt(weight / max(weight.sum(), 1e-9))[:, None]
+    cov = scaled.T @ scaled
+    size = np.sqrt(np.clip(np.diag(cov), 1e-9, None))
+    model.trust = 1 / np.clip(cov / np.outer(size, size), 0, 1).sum(axis=1).clip(1, None)
     return model
 
 
@@ -179,21 +237,38 @@ class ToxicityModel:
 
     def scorer(self):
         """From texts in bytes to scores."""
-        match, bias, w = Matcher(self.entries), self.weights[-1], self.weights
+        bias, w = self.weights[-1], self.weights
+        if not self.entries:
+            chance = float(1 / (1 + np.exp(-np.clip(bias, -30, 30))))
+            return lambda text: chance
+        match, patterns = Matcher(self.entries), self.patterns()
 
         def score(text: bytes | None) -> float:
-            hit = list(match(decode(text)))
+            read = decode(text)
+            hit = [*match(read), *patterns(read)]
             return float(1 / (1 + np.exp(-np.clip(bias + w[hit].sum(), -30, 30))))
 
         return score
 
+    def patterns(self):
+        """The patterns that a text shows, as features behind the entries."""
+        n, weighed = len(self.entries), [(k, p) for k, (_, p) in enumerate(PATTERNS) if self.weights[len(self.entries) + k] != 0]
+        return lambda text: [n + k for k, p in weighed if p.search(text)]
 
-def fit(train: DataFrame) -> ToxicityModel:
-    """From (text, label, weight): lexicons, votes, label model, classifier. No toxic row: all scores are 0."""
+
+def fit(train: DataFrame, unlabelled: DataFrame | None = None) -> ToxicityModel:
+    """From (text, label, weight): lexicons, votes, label model, classifier, the latter two from the texts
+    without a label (text, weight) too. Features of the classifier are entries and patterns.
+
+    Where the labels give no entry (no toxic row, or too few to stand out), all scores are the share of
+    toxic rows, or 0 without any.
+    """
     train = stash(train)
     entries = learn_entries(train)
     if not entries:
-        return ToxicityModel([], np.array([-30.0]), None, 0.0)
+        n = {r[0]: r[1] for r in train.groupBy("label").agg(F.sum("weight")).collect()}
+        share = n.get(1, 0.0) / max(1.0, sum(n.values()))
+        return ToxicityModel([], np.array([np.log(share / (1 - share)) if 0 < share < 1 else 30.0 if share else -30.0]), None, share)
 
     def vote(batches):
         match = Matcher(entries)
@@ -203,26 +278,34 @@ def fit(train: DataFrame) -> ToxicityModel:
             for raw in batch["text"].to_pylist():
                 text = decode(raw)
                 hit = sorted(match(text))
-                fired = {*voters[hit].tolist(), *(LEXICONS + k for k, (_, p) in enumerate(PATTERNS) if p.search(text))}
-                rows.append(hit)
-                votes.append(sorted(fired))
+                shown = [k for k, (_, p) in enumerate(PATTERNS) if p.search(text)]
+                rows.append(hit + [len(entries) + k for k in shown])
+                votes.append(sorted({*voters[hit].tolist(), *(LEXICONS + k for k in shown)}))
             arrays = [pa.array(rows, pa.list_(pa.int32())), pa.array(votes, pa.list_(pa.int32())), batch["weight"]]
             yield pa.RecordBatch.from_arrays(arrays, names=["hit", "fired", "weight"])
 
-    source = train.select(F.col("text").cast("binary").alias("text"), "weight")
-    seen = source.mapInArrow(vote, "hit array<int>, fired array<int>, weight double").collect()
+    source = train.select("text", "weight")
+    if unlabelled is not None:
+        source = source.unionByName(unlabelled.select("text", "weight"))
+    source = source.select(F.col("text").cast("binary").alias("text"), "weight")
+    seen = sorted(map(tuple, source.mapInArrow(vote, "hit array<int>, fired array<int>, weight double").collect()))
     votes = np.zeros((len(seen), VOTERS), bool)
-    for i, r in enumerate(seen):
-        votes[i, r["fired"]] = True
-    weight = np.array([r["weight"] for r in seen])
+    for i, (_, fired, _) in enumerate(seen):
+        votes[i, fired] = True
+    weight = np.array([r[2] for r in seen])
     labels = fit_label_model(votes, weight)
     target = labels.posterior(votes)
-    weights = fit_linear([r["hit"] for r in seen], target, weight, len(entries))
+    weights = fit_linear([r[0] for r in seen], target, weight, len(entries) + len(PATTERNS))
     return ToxicityModel(entries, weights, labels, float(target.mean()))
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel, keep: list, text: str = "text") -> DataFrame:
-    """The columns of `keep` with score and predicted, for every row of docs; null and empty texts too."""
+    """The columns of `keep` with score and predicted, for every row of docs.
+
+    Null, empty and wordless texts match nothing and get the bias as their score; equal texts get equal
+    scores, whatever their ids; an empty table gives no rows; columns that aren't in `keep` are ignored, so
+    names that clash with results do no harm.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
@@ -238,7 +321,12 @@ def held_out(doc_id):
 
 
 def train_on(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> ToxicityModel:
-    return fit(labelled_sample(docs, labels, "toxic", key, text, held_out, MAX_PER_CLASS))
+    """The model of a table: lexicons from its labelled rows, and beside them texts of all its rows but the
+    held-out ones, each text once, so copies and hot ids weigh no more than others."""
+    train = labelled_sample(docs, labels, "toxic", key, text, held_out, MAX_PER_CLASS)
+    open_ = docs.where(~held_out(F.col(key))).select(F.col(text).alias("text"))
+    sample, stands = distinct_sample(open_, "text", MAX_UNLABELLED)
+    return fit(train, sample.withColumn("weight", F.lit(stands)))
 
 
 def remove_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
