@@ -3,6 +3,7 @@ import re
 from collections import defaultdict
 
 import xxhash
+from pyspark.sql import functions as F
 
 from tidewire.llm import simhash
 from tidewire.llm.components import components
@@ -90,6 +91,19 @@ def test_pigeonring_keeps_every_pair_within_the_distance(spark):
     df = spark.createDataFrame(rows, "a long, b long")
     held = [simhash.chain_holds(df["a"], df["b"], s).alias(f"s{s}") for s in range(4)]
     assert all(any(r) for r in df.select(*held).collect())
+    for segments in simhash.LEVELS:
+        keys = [F.transform(simhash.ring_keys(df[c], segments), lambda k: F.struct(k["tag"], k["key"])) for c in "ab"]
+        meets = F.arrays_overlap(*keys) & (F.size(F.array_distinct(keys[0])) == segments * segments // 2)
+        held = [simhash.chain_holds(df["a"], df["b"], s, segments).alias(f"s{s}") for s in range(segments)]
+        assert all(r[0] and any(r[1:]) for r in df.select(meets, *held).collect())
+
+
+def test_the_last_level_has_small_buckets(spark):
+    rng = random.Random(11)
+    prints = [rng.getrandbits(8) << 40 | rng.getrandbits(4) for _ in range(3000)]
+    df = spark.createDataFrame([(p,) for p in set(prints)], "fingerprint long")
+    keyed = df.select(F.inline(simhash.ring_keys(F.col("fingerprint"), simhash.LEVELS[-1])))
+    assert keyed.groupBy("tag", "key").count().agg(F.max("count")).first()[0] <= 256
 
 
 def test_awkward_rows(awkward, empty):

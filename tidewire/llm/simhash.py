@@ -18,10 +18,9 @@ from tidewire.llm.components import components
 BITS, SHINGLE, SEED = 64, 3, 42
 #: Fingerprints link at so many differing bits or fewer.
 DISTANCE = 2
-#: The ring's segments, of 16 bits each.
-SEGMENTS = 4
-WIDTH = BITS // SEGMENTS
-#: Members of one bucket that are compared pair by pair; denser buckets go through balls of radius 1.
+#: Segments of the ring, level by level: the members of a bucket of over DENSE go to the next level, whose more
+#: and finer segments give longer keys (32, 48, 56 bits). A bucket of the last has 256 fingerprints at most.
+LEVELS = (4, 8, 16)
 DENSE = 32
 
 
@@ -51,60 +50,76 @@ def with_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text")
     return map_texts(docs, keep, _fingerprints, [T.StructField("fingerprint", T.LongType())], text)
 
 
-def segment(fp: Column, i: int) -> Column:
-    return F.shiftrightunsigned(fp, WIDTH * (i % SEGMENTS)).bitwiseAND(F.lit((1 << WIDTH) - 1))
+def mask(segments: int, width: int) -> int:
+    """The bits of the first segments, as a signed number."""
+    ones = (1 << segments * width) - 1
+    return ones - (ones >> 63 << 64)
 
 
-def ring_keys(fp: Column) -> Column:
+def turned(fp: Column, bits: int) -> Column:
+    """The ring turned, so that the segment which starts at this bit is the first."""
+    return fp if bits == 0 else F.shiftrightunsigned(fp, bits).bitwiseOR(F.shiftleft(fp, BITS - bits))
+
+
+def ring_keys(fp: Column, segments: int) -> Column:
     """Keys of which linked fingerprints share one, under the chain that starts at the same segment.
 
     On a ring of m segments with tau differences in all, some chain of consecutive segments keeps every
-    prefix of length l within floor(l * tau / m) differences (pigeonring principle). For 4 segments and 2
-    differences the budgets are 0, 1, 1, 2: the first segment agrees, and of the next two at least one
-    does. A key is the first segment with one of the next two.
+    prefix of length l within floor(l * tau / m) differences (pigeonring principle). For 2 differences the
+    budgets are 0 up to l = m/2 - 1 and 1 up to l = m - 1: the first m/2 - 1 segments agree, and of the next
+    m/2 all but one do. A key is the turned ring without its last segment and without one of those.
     """
-    keys = []
-    for start in range(SEGMENTS):
-        for step in (1, 2):
-            pair = F.shiftleft(segment(fp, start), WIDTH).bitwiseOR(segment(fp, start + step))
-            keys.append(F.struct(F.lit(start).alias("start"), F.shiftleft(pair, 3).bitwiseOR(F.lit(start * 2 + step - 1)).alias("key")))
+    width, half, keys = BITS // segments, segments // 2, []
+    for start in range(segments):
+        ring = turned(fp, start * width)
+        for out in range(half - 1, segments - 1):
+            kept = mask(segments - 1, width) & ~(mask(1, width) << out * width)
+            tag = F.lit(start * half + out - half + 1)
+            keys.append(F.struct(F.lit(start).alias("start"), tag.alias("tag"), ring.bitwiseAND(F.lit(kept)).alias("key")))
     return F.array(*keys)
 
 
-def chain_holds(a: Column, b: Column, start: int) -> Column:
+def chain_holds(a: Column, b: Column, start: int, segments: int = LEVELS[0]) -> Column:
     """All prefixes of the chain from `start` are within their budgets."""
-    total, within = F.lit(0), F.lit(True)
-    for length in range(1, SEGMENTS):
-        i = start + length - 1
-        total = total + F.bit_count(segment(a, i).bitwiseXOR(segment(b, i)))
-        within = within & (total <= length * DISTANCE // SEGMENTS)
+    width, within = BITS // segments, F.lit(True)
+    apart = turned(a.bitwiseXOR(b), start * width)
+    for length in range(1, segments):
+        budget = length * DISTANCE // segments
+        if budget < (length + 1) * DISTANCE // segments:  # the last prefix under a budget implies those before
+            within = within & (F.bit_count(apart.bitwiseAND(F.lit(mask(length, width)))) <= budget)
     return within
 
 
 def near_pairs(prints: DataFrame) -> DataFrame:
-    """Edges (u, v), u < v, between distinct fingerprints (column fingerprint) that connect exactly those
-    which links connect. Buckets of up to DENSE members give every linked pair; in denser ones each
-    fingerprint names the 65 values within one bit of it: two are linked exactly if they name a common
-    value, and a value has at most 65 who name it, so a star on each value is exact and never quadratic.
+    """All linked pairs (u, v), u < v, of distinct fingerprints (column fingerprint), some more than once.
+
+    A pair within DISTANCE shares a key at every level. Where that bucket has DENSE members or fewer, or the
+    level is the last, the pair meets there: the chain is checked first, then the full distance. Where it
+    is denser both go to the next level, so no link is lost and no bucket is compared in all pairs but
+    those of bounded size.
     """
-    keyed = prints.select("fingerprint", F.inline(ring_keys(F.col("fingerprint"))))
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = keyed.join(sizes, "key")
-    sparse = members.where(F.col("n") <= DENSE)
-    a, b = sparse.alias("a"), sparse.select("key", F.col("fingerprint").alias("other")).alias("b")
-    chain = F.lit(False)
-    for start in range(SEGMENTS):
-        chain = chain | ((F.col("start") == start) & chain_holds(F.col("fingerprint"), F.col("other"), start))
-    full = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("other"))) <= DISTANCE
-    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("fingerprint") < F.col("other")) & chain & full)
-    pairs = pairs.select(F.col("fingerprint").alias("u"), F.col("other").alias("v"))
-
-    dense = members.where(F.col("n") > DENSE).select("fingerprint").distinct()
-    flips = F.array(F.lit(0).cast("long"), *[F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(BITS)])
-    named = dense.select("fingerprint", F.explode(F.transform(flips, lambda x: F.col("fingerprint").bitwiseXOR(x))).alias("value"))
-    stars = named.groupBy("value").agg(F.array_sort(F.collect_set("fingerprint")).alias("all")).where(F.size("all") > 1)
-    stars = stars.select(F.get("all", F.lit(0)).alias("u"), F.explode(F.slice("all", 2, BITS + 1)).alias("v"))
-    return pairs.unionByName(stars)
+    out = None
+    for level, segments in enumerate(LEVELS):
+        last = level == len(LEVELS) - 1
+        keyed = prints.select("fingerprint", F.inline(ring_keys(F.col("fingerprint"), segments)))
+        sizes = keyed.groupBy("tag", "key").agg(F.count("*").alias("n")).where("n > 1")
+        members = keyed.join(sizes, ["tag", "key"])
+        met = members if last else members.where(F.col("n") <= DENSE)
+        a, b = met.alias("a"), met.select("tag", "key", F.col("fingerprint").alias("other")).alias("b")
+        mine, other = F.col("fingerprint"), F.col("other")
+        chain = F.lit(False)
+        for start in range(segments):
+            chain = chain | ((F.col("start") == start) & chain_holds(mine, other, start, segments))
+        full = F.bit_count(mine.bitwiseXOR(other)) <= DISTANCE
+        pairs = a.join(b, (F.col("a.tag") == F.col("b.tag")) & (F.col("a.key") == F.col("b.key")) & (mine < other) & chain & full)
+        pairs = pairs.select(mine.alias("u"), other.alias("v"))
+        out = pairs if out is None else out.unionByName(pairs)
+        if last:
+            break
+        prints = stash(members.where(F.col("n") > DENSE).select("fingerprint").distinct())
+        if prints.isEmpty():
+            break
+    return out
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
