@@ -129,3 +129,21 @@ def test_awkward_rows(awkward, empty):
         assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == brute(r["t"])
         assert r["kept"] is not None and (r["n_words"] or (r["base_failed"] and not r["kept"] and r["content_share"] == 0))
     assert rules.label_quality(empty, ["doc_id"]).count() == 0
+
+
+def test_training_reads_whole_texts_and_no_partitioning_matters(spark, monkeypatch):
+    monkeypatch.setattr(rules, "MAX_TRAIN", 40)
+    rng = random.Random(8)
+    rows = [(i, "\n".join(f"{rng.choice('abcdef')} {i} {k} words stand here ." for k in range(rng.randint(1, 300)))) for i in range(60)] + [(70, None), (71, "")]
+    df = spark.createDataFrame(rows * 2, "doc_id long, text string")
+    found = []
+    for part in (1, 7):
+        table = rules.read_lines(df.repartition(part), ["doc_id"])
+        got = rules.training_sequences(table, rules.frequent_table(table))
+        assert all(0 < len(s) <= rules.MAX_LINES for s in got) and 10 <= len(got) <= 90
+        found.append(sorted(got))
+    assert found[0] == found[1]
+    last = 1 << rules.FEATURES.index("last")
+    assert any(s[-1] & last and not s[0] & 1 << rules.FEATURES.index("first") for s in found[0])
+    out = [{(r["doc_id"], r["content_share"], r["kept"]) for r in rules.label_quality(df.repartition(p), ["doc_id"]).collect()} for p in (1, 7)]
+    assert out[0] == out[1]

@@ -4,6 +4,7 @@ content or boilerplate (Viterbi decoding), and the share of content decides whet
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewire.llm.common import bounded_share, map_texts, read_table, stash
+from tidewire.llm.common import distinct_sample, map_texts, read_table, stash
 from tidewire.llm.components import components
 from tidewire.llm.simhash import fingerprint, near_pairs
 
@@ -20,7 +21,8 @@ from tidewire.llm.simhash import fingerprint, near_pairs
 LEAST_WORDS, REPEAT_WINDOW, MOST_REPEATED = 20, 8, 30
 #: Content must hold so much of a text's characters in lines with words.
 CONTENT_SHARE = 0.5
-#: Documents that the field is trained on, chosen by a hash of their id; longest training sequence.
+#: Sequences that the field is trained on, chosen by a hash of what they hold, and their lines: texts are cut
+#: into such sequences from end to end, so lines from anywhere in a text can be among them.
 MAX_TRAIN, MAX_LINES = 2_000, 64
 #: A line is frequent from so many documents on, copies and near copies counted once, however large the corpus is.
 FREQUENT_LEAST = 20
@@ -109,11 +111,11 @@ def line_features(lines: list[bytes]) -> tuple[list[int], list[int], list[int]]:
     return bits, sizes, hashes
 
 
-def mark_frequent(bits: list[int], hashes: list[int], frequent: list[int] | None) -> list[int]:
+def mark_frequent(bits: list[int], hashes: list[int], frequent: set[int] | list[int] | None) -> list[int]:
     """The bits with FREQUENT for the hashes in `frequent`."""
     if not frequent:
         return bits
-    known = set(frequent)
+    known = frequent if isinstance(frequent, set) else set(frequent)
     return [b | (h in known) << FREQUENT for b, h in zip(bits, hashes)]
 
 
@@ -153,27 +155,36 @@ def _expectations(emit: np.ndarray, move: np.ndarray, mask: np.ndarray) -> tuple
 
 def fit_field(sequences: list[list[int]], rounds: int = 150, rate: float = 2.0, ridge: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
     """Weights (features, 2) and transitions (2, 2) by gradient ascent on the likelihood of the known labels,
-    with the open ones summed out."""
-    sequences = [s[:MAX_LINES] for s in sequences if s]
+    with the open ones summed out. Sequences over MAX_LINES are cut; equal ones are taken once, with their
+    number as a weight, and those of about the same length go through the sums together."""
     weights, move = np.zeros((len(FEATURES), 2)), np.zeros((2, 2))
-    if not sequences:
+    often = Counter(tuple(s[i : i + MAX_LINES]) for s in sequences for i in range(0, len(s), MAX_LINES))
+    if not often:
         return weights, move
-    steps = max(map(len, sequences))
-    bits = np.zeros((len(sequences), steps), np.int64)
-    real = np.zeros((len(sequences), steps), bool)
-    for i, s in enumerate(sequences):
-        bits[i, : len(s)], real[i, : len(s)] = s, True
-    x, known = expand(bits), seeds(bits)
-    free = np.ones((*bits.shape, 2))
-    held = np.stack([known != 1, known != 0], axis=2).astype(float)
-    both = (real[:, 1:] & real[:, :-1])[..., None, None]
-    total = real.sum()
+    by_length: dict[int, list] = {}
+    for s, n in sorted(often.items()):
+        by_length.setdefault((len(s) - 1).bit_length(), []).append((s, n))
+    groups = []
+    for rows in by_length.values():
+        steps = max(len(s) for s, _ in rows)
+        bits, real, weigh = np.zeros((len(rows), steps), np.int64), np.zeros((len(rows), steps)), np.array([float(n) for _, n in rows])
+        for i, (s, n) in enumerate(rows):
+            bits[i, : len(s)], real[i, : len(s)] = s, n
+        known = seeds(bits)
+        held = np.stack([known != 1, known != 0], axis=2).astype(float)
+        both = (real[:, 1:] > 0) * weigh[:, None]
+        groups.append((expand(bits), held, np.ones_like(held), real[..., None], both[..., None, None]))
+    total = sum(real.sum() for *_, real, _ in groups)
     for _ in range(rounds):
-        emit = x @ weights
-        one1, two1 = _expectations(emit, move, held)
-        one0, two0 = _expectations(emit, move, free)
-        weights += rate * (np.einsum("nsf,nsl->fl", x, (one1 - one0) * real[..., None]) / total - ridge * weights)
-        move += rate * (((two1 - two0) * both).sum(axis=(0, 1)) / total - ridge * move)
+        up, go = np.zeros_like(weights), np.zeros_like(move)
+        for x, held, free, real, both in groups:
+            emit = x @ weights
+            one1, two1 = _expectations(emit, move, held)
+            one0, two0 = _expectations(emit, move, free)
+            up += np.tensordot(x, (one1 - one0) * real, axes=((0, 1), (0, 1)))
+            go += ((two1 - two0) * both).sum(axis=(0, 1))
+        weights += rate * (up / total - ridge * weights)
+        move += rate * (go / total - ridge * move)
     return weights, move
 
 
@@ -252,6 +263,18 @@ def read_lines(docs: DataFrame, keep: list, text: str = "text") -> DataFrame:
     return stash(rows.withColumn("row", F.monotonically_increasing_id()))
 
 
+def training_sequences(rows: DataFrame, frequent: DataFrame) -> list[list[int]]:
+    """The features of about MAX_TRAIN sequences of lines from all texts, FREQUENT among them. Both tables
+    that come to the driver are bounded by the sample. rows: bits, hashes."""
+    pieces = F.sequence(F.lit(0), F.ceil(F.size("bits") / MAX_LINES).cast("int") - 1)
+    piece = F.transform(pieces, lambda i: F.struct(*[F.slice(F.col(c), i * MAX_LINES + 1, F.lit(MAX_LINES)).alias(c) for c in ("bits", "hashes")]))
+    cut = rows.where(F.size("bits") > 0).select(F.explode(piece).alias("piece"))
+    sample = stash(distinct_sample(cut, "piece", MAX_TRAIN)[0].select("piece.*"))
+    seen = sample.select(F.explode("hashes").alias("hash")).distinct()
+    known = {r["hash"] for r in frequent.select("hash").join(F.broadcast(seen), "hash", "left_semi").collect()}
+    return [mark_frequent(r["bits"], r["hashes"], known) for r in sample.collect()]
+
+
 def label_quality(docs: DataFrame, keep: list, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The columns of `keep` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     content_share and kept, for every row of docs.
@@ -262,12 +285,9 @@ def label_quality(docs: DataFrame, keep: list, key: str = "doc_id", text: str =
     """
     spark = docs.sparkSession
     rows = read_lines(docs, keep, text)
-    marks = stash(frequent_marks(rows, stash(frequent_table(rows))))
-
-    sample = stash(bounded_share(rows, F.col("row"), MAX_TRAIN).select("row", "bits", "hashes"))
-    known = marks.join(F.broadcast(sample.select("row")), "row", "left_semi")
-    trained = sample.join(known, "row", "left").collect()
-    field = spark.sparkContext.broadcast(fit_field(sorted(mark_frequent(r["bits"], r["hashes"], r["frequent"]) for r in trained)))
+    frequent = stash(frequent_table(rows))
+    marks = stash(frequent_marks(rows, frequent))
+    field = spark.sparkContext.broadcast(fit_field(training_sequences(rows, frequent)))
 
     marked = rows.join(marks, "row", "left").select("keep", *COUNTS, "bits", "sizes", "hashes", "frequent")
     kept = marked.schema.fields[: 1 + len(COUNTS)]
