@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewire.llm.common import crc_bucket, map_texts, read_table
+from tidewire.llm.common import DRAW_BITS, crc_bucket, draw, map_texts, read_table
 
 #: Size of the vectors, letters of an n-gram, seed of the letters' vectors.
 DIMENSION, GRAM, SEED = 1024, 3, 20
@@ -78,14 +78,19 @@ def held_out(doc_id):
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", bound: int = MAX_PER_LANG) -> tuple[list[str], np.ndarray]:
     """Languages and their prototypes: the sums of their training texts' profiles, from which the common
-    direction of all prototypes is taken away. Tasks sum what they see; Spark sums the sums."""
+    direction of all prototypes is taken away. Tasks sum what they see; Spark sums the sums.
+
+    A language learns from about `bound` different texts at most, chosen by a hash of the text, so copies
+    and hot ids count once. A table without a known language gives no prototype.
+    """
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & ~held_out(F.col("id")))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    steps = 1 << 20
-    share = F.least(F.lit(1.0), F.lit(float(bound)) / F.col("n"))
+    drawn = draw(F.lit("train"), "text")
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text"), 0.02).alias("n"))
+    cut = F.least(F.lit(1.0), F.lit(float(bound)) / F.col("n")) * float(1 << DRAW_BITS)
     few = sizes.count() <= MAX_BROADCAST
-    rows = rows.join(F.broadcast(sizes) if few else sizes, "lang").where(F.pmod(F.xxhash64(F.lit("train"), "id"), F.lit(steps)) < share * steps)
+    rows = rows.join(F.broadcast(sizes) if few else sizes, "lang").withColumn("draw", drawn).where(F.col("draw") <= cut)
+    rows = rows.dropDuplicates(["lang", "draw"])
 
     def bundle(batches):
         sums: dict[str, np.ndarray] = {}
@@ -118,7 +123,9 @@ def _centred(sums: np.ndarray) -> np.ndarray:
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list, text: str = "text") -> DataFrame:
     """The columns of `keep` with lang_pred and score (the best cosine, from -1..1 to 0..1) for every row.
 
-    Null texts and texts without a letter get `und` and 0, and so do all if no language was learned.
+    Null texts and texts without a letter get `und` and 0, and so do all if no language was learned. Equal
+    texts get equal answers, whatever their ids; of languages with equal cosines the first by name is taken;
+    an empty table gives no rows; columns that aren't in `keep` are ignored, clashing names too.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
