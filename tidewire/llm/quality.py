@@ -183,7 +183,12 @@ def held_out(doc_id):
 
 
 def score_quality(docs: DataFrame, model: RuleEnsemble, keep: list, text: str = "text") -> DataFrame:
-    """The columns of `keep` with score and predicted, for every row of docs; null and empty texts too."""
+    """The columns of `keep` with score and predicted, for every row of docs.
+
+    Null and empty texts have statistics of 0 and a score like any other; equal texts get equal scores,
+    whatever their ids; a statistic that ties with a rule's limit is not above it; an empty table gives no
+    rows; columns that aren't in `keep` are ignored, so names that clash with results do no harm.
+    """
     scored = with_statistics(docs, keep, text).withColumn("score", model.score())
     return scored.drop(*(f"__{s}" for s in STATISTICS)).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
