@@ -13,12 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewire.llm.common import read_table
+from tidewire.llm.common import read_table, stash
 
 #: Words of a window, and the share of hit words from which a document is contaminated.
 WINDOW, SHARE = 13, 20
-#: Words of one suffix array, and of the benchmark items searched in one pass.
-SHARD_WORDS, BLOCK_WORDS = 2_000_000, 2_000_000
+#: Words of one suffix array, and of the benchmark items searched in one pass: a block with its ranks, some
+#: 20 bytes a word for each power of two up to its longest item, is broadcast.
+SHARD_WORDS, BLOCK_WORDS = 2_000_000, 500_000
+#: Item names that leave a task in one Arrow batch.
+BATCH_NAMES = 200_000
 
 #: Bytes to words: A-Z in lower case, other ASCII than letters and digits to spaces.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -42,10 +45,16 @@ class Block:
 
     vocabulary: dict[bytes, int]
     ids: np.ndarray
-    item: np.ndarray  # of each word, its row in `names`; -1 for the zeros
     left: np.ndarray  # words from here to the item's end
-    names: list[str | None]
+    names: np.ndarray  # different names in order
     least: int  # words of the shortest window
+    ranks: list[np.ndarray]  # by level j: the order of the 2 ** j words from each place; 0 at the zeros
+    tables: list[np.ndarray]  # by level j > 0: the sorted pairs of ranks that its own ranks number
+    order: np.ndarray  # the suffixes of all items in order, to their full length
+    at: np.ndarray  # a start of each different window
+    size: np.ndarray  # and its words
+    bearers: np.ndarray  # names that have the windows, one window behind the other
+    first: np.ndarray  # where those of each window begin
 
     @staticmethod
     def of(rows: list[tuple[str | None, list[bytes]]]) -> Block:
@@ -55,14 +64,81 @@ class Block:
             ids += [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words] + [0]
             item += [k] * len(words) + [-1]
             left += [*range(len(words), -1, -1)]
+        ids, item, left = np.array(ids, np.int64), np.array(item, np.int64), np.array(left, np.int64)
         least = min((min(WINDOW, len(w)) for _, w in rows), default=WINDOW)
-        return Block(vocabulary, np.array(ids, np.int32), np.array(item, np.int32), np.array(left, np.int64), [n for n, _ in rows], least)
-
-    def windows(self) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and lengths: suffixes of WINDOW words at least, and the whole of shorter items."""
-        first = np.r_[True, self.item[1:] != self.item[:-1]] & (self.item >= 0)
-        starts = np.flatnonzero((self.item >= 0) & ((self.left >= WINDOW) | first))
-        return starts, np.minimum(self.left[starts], WINDOW)
+        names = sorted({n for n, _ in rows if n is not None})
+        number = {n: i for i, n in enumerate(names)}
+        named = np.array([number.get(n, -1) for n, _ in rows], np.int64)
+
+        ranks, tables, reach = [ids], [np.zeros(0, np.int64)], 1
+        while reach < (left.max() if len(left) else 0):
+            behind = np.where(left > reach, np.r_[ranks[-1][reach:], np.zeros(min(reach, len(ids)), np.int64)][: len(ids)], 0)
+            table, rank = np.unique(pair(ranks[-1], behind)[ids > 0], return_inverse=True)
+            ranks.append(np.zeros(len(ids), np.int64))
+            ranks[-1][ids > 0] = rank + 1
+            tables.append(table)
+            reach *= 2
+        real = np.flatnonzero(ids > 0)
+        order = real[np.argsort(ranks[-1][real], kind="stable")]
+
+        starts = np.flatnonzero((ids > 0) & ((left >= WINDOW) | np.r_[True, ids[:-1] == 0][: len(ids)]))
+        size = np.minimum(left[starts], WINDOW)
+        level = np.array([int(n).bit_length() - 1 for n in range(WINDOW + 1)])[size]  # two windows of this power cover it
+        own, end = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        for j in np.unique(level):
+            rows_ = np.flatnonzero(level == j)
+            own[rows_], end[rows_] = ranks[j][starts[rows_]], ranks[j][starts[rows_] + size[rows_] - (1 << j)]
+        by_window = np.lexsort([end, own, size])
+        starts, size, key = starts[by_window], size[by_window], np.array([size, own, end]).T[by_window]
+        new = np.r_[True, (key[1:] != key[:-1]).any(axis=1)][: len(key)]
+        window = np.cumsum(new) - 1
+        bearer = named[item[starts]]
+        both = np.unique(np.array([window, bearer]).T[bearer >= 0].reshape(-1, 2), axis=0)
+        first = np.searchsorted(both[:, 0], np.arange(int(new.sum()) + 1))
+        return Block(vocabulary, ids, left, np.array(names, object), least, ranks, tables, order, starts[new], size[new], both[:, 1], first)
+
+    def ranks_of(self, ids: np.ndarray) -> list[np.ndarray]:
+        """Ranks of other words under this block, 0 where no item has them. ids: word numbers and zeros."""
+        out, reach = [ids], 1
+        for table in self.tables[1:]:
+            behind = np.r_[out[-1][reach:], np.zeros(min(reach, len(ids)), np.int64)][: len(ids)]
+            sought = pair(out[-1], behind)
+            at = np.minimum(np.searchsorted(table, sought), max(len(table) - 1, 0))
+            out.append(np.where((out[-1] > 0) & (behind > 0) & (table[at] == sought), at + 1, 0))
+            reach *= 2
+        return out
+
+    def agree(self, ranks: list[np.ndarray], place: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Words that agree from each place of a text (with its ranks) and each place of the block on."""
+        long = np.zeros(len(place), np.int64)
+        for j in range(len(ranks) - 1, -1, -1):
+            p, q = place + long, at + long
+            inside = (p < len(ranks[j])) & (q < len(self.ids))
+            mine = ranks[j][np.where(inside, p, 0)]
+            same = inside & (mine > 0) & (mine == self.ranks[j][np.where(inside, q, 0)])
+            long += same << j
+        return long
+
+    def longest(self, ids: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Words of the longest match of each place with any suffix of the block, which stands next to it in
+        the order of the suffixes. ids ends with a 0."""
+        if not len(place) or not len(self.order):
+            return np.zeros(len(place), np.int64)
+        ranks = self.ranks_of(ids)
+        low, high = np.zeros(len(place), np.int64), np.full(len(place), len(self.order), np.int64)
+        while (low < high).any():
+            mid = (low + high) // 2
+            at = self.order[np.minimum(mid, len(self.order) - 1)]
+            long = self.agree(ranks, place, at)
+            before = self.ids[at + long] < ids[np.minimum(place + long, len(ids) - 1)]
+            open_ = low < high
+            low, high = np.where(open_ & before, mid + 1, low), np.where(open_ & ~before, mid, high)
+        near = [self.order[np.clip(low + d, 0, len(self.order) - 1)] for d in (-1, 0)]
+        return np.maximum(*(self.agree(ranks, place, at) for at in near))
+
+
+def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return a << 32 | b
 
 
 def suffix_array(ids: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
@@ -90,9 +166,10 @@ def _bound(ids: np.ndarray, order: np.ndarray, query: np.ndarray, at: np.ndarray
     return low
 
 
-def search(block: Block, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Occurrences of the block's windows in a shard (word numbers, 0 for words outside the vocabulary and
-    behind each document): arrays of places, lengths and item rows."""
+def search(block: Block, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Occurrences of the block's different windows in a shard (word numbers, 0 for words outside the
+    vocabulary and behind each document): arrays of places and windows. Windows of one length have ranges
+    of their own in the order of suffixes, so there are at most WINDOW times as many as words."""
     known = ids > 0
     ends = np.flatnonzero(~known)
     run = ends[np.searchsorted(ends, np.arange(len(ids)))] - np.arange(len(ids)) if len(ids) else np.zeros(0, np.int64)
@@ -100,27 +177,25 @@ def search(block: Block, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
     starts = np.flatnonzero(run >= block.least)
     padded = np.r_[ids, np.zeros(WINDOW, ids.dtype)]
     order = suffix_array(padded, starts, WINDOW)
-    at, size = block.windows()
-    low = _bound(padded, order, block.ids, at, size, False)
-    high = _bound(padded, order, block.ids, at, size, True)
+    low = _bound(padded, order, block.ids, block.at, block.size, False)
+    high = _bound(padded, order, block.ids, block.at, block.size, True)
     found = np.flatnonzero(high > low)
     count = (high - low)[found]
-    which = np.repeat(found, count)
-    rank = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low[found], count)
-    return order[rank], size[which], which
-
-
-def _longest(block: Block, ids: np.ndarray, place: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """Words that agree from each occurrence on: the longest verbatim match at this place."""
-    at = block.windows()[0][which]
-    long, open_ = np.zeros(len(place), np.int64), np.arange(len(place))
-    while open_.size:
-        d = long[open_]
-        inside = (place[open_] + d < len(ids)) & (d < block.left[at[open_]])
-        open_, d = open_[inside], d[inside]
-        same = ids[place[open_] + d] == block.ids[at[open_] + d]
-        open_ = open_[same]
-        long[open_] += 1
+    rank = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low[found], count)
+    return order[rank], np.repeat(found, count)
+
+
+def _longest(block: Block, ids: np.ndarray, place: np.ndarray, window: np.ndarray, covered: np.ndarray) -> np.ndarray:
+    """Words of the longest match at each occurrence: as far as some item goes on, or a whole short item.
+    covered: the hit places, which hold all of every match."""
+    long = block.size[window].copy()
+    full = np.flatnonzero(long == WINDOW)
+    if full.size:
+        # the hit words alone, a 0 behind each run of them
+        keep = np.flatnonzero(covered | np.r_[False, covered[:-1]])
+        sub = np.where(covered[keep], ids[keep], 0).astype(np.int64)
+        different, back = np.unique(place[full], return_inverse=True)
+        long[full] = np.maximum(WINDOW, block.longest(np.r_[sub, 0], np.searchsorted(keep, different))[back])
     return long
 
 
@@ -139,38 +214,55 @@ def _shards(texts: list, block: Block) -> Iterator[tuple[int, list[int], np.ndar
         yield first, sizes, np.concatenate(parts)
 
 
-def _match(block: Block, texts: list, before: list | None) -> list[pa.Array]:
+def _match(block: Block, texts: list, before: list | None) -> Iterator[tuple[int, int, list[pa.Array]]]:
+    """Results of the rows [from, to), some at a time, so that items of one batch are bounded."""
     n = len(texts)
-    words, longest, items, spans = [0] * n, [0] * n, [[] for _ in range(n)], [[] for _ in range(n)]
+    words, longest, spans, none = [0] * n, [0] * n, [[] for _ in range(n)], np.zeros(0, np.int64)
+    items = [none] * n
     for first, sizes, ids in _shards(texts, block):
         words[first : first + len(sizes)] = sizes
+        place, window = search(block, ids)
+        if not len(place):
+            continue
         begins = np.cumsum([0, *(s + 1 for s in sizes)])
-        place, size, which = search(block, ids)
+        mark = np.zeros(len(ids) + 1, np.int64)
+        np.add.at(mark, place, 1)
+        np.add.at(mark, place + block.size[window], -1)
+        covered = np.cumsum(mark[:-1]) > 0
+        edges = np.flatnonzero(np.diff(np.r_[0, covered.astype(np.int8), 0])).reshape(-1, 2)
+        for d, (a, b) in zip(np.searchsorted(begins, edges[:, 0], side="right") - 1, edges):
+            spans[first + d].append([int(a - begins[d]), int(b - begins[d])])
         doc = np.searchsorted(begins, place, side="right") - 1
-        row = block.item[block.windows()[0][which]] if len(which) else which
-        long = _longest(block, ids, place, which)
+        long = _longest(block, ids, place, window, covered)
         by_doc = np.argsort(doc, kind="stable")
-        cuts = np.flatnonzero(np.diff(doc[by_doc])) + 1
-        for own in np.split(by_doc, cuts) if len(doc) else []:
-            d = int(doc[own[0]])
-            at, mark = place[own] - begins[d], np.zeros(sizes[d] + 1, np.int32)
-            np.add.at(mark, at, 1)
-            np.add.at(mark, at + size[own], -1)
-            items[first + d] = sorted({block.names[r] for r in np.unique(row[own]) if block.names[r] is not None})
-            longest[first + d] = int(long[own].max())
-            edge = np.flatnonzero(np.diff(np.r_[0, (np.cumsum(mark) > 0).astype(np.int8), 0]))
-            spans[first + d] = edge.reshape(-1, 2).tolist()
-    for k, old in enumerate(before or []):
-        items[k] = sorted({*items[k], *old["items"]})
-        longest[k] = max(longest[k], old["longest_match"])
-        spans[k] = _union([*spans[k], *old["spans"]])
-    return [
-        pa.array(words, pa.int64()),
-        pa.array([sum(b - a for a, b in s) for s in spans], pa.int64()),
-        pa.array(items, pa.list_(pa.string())),
-        pa.array(longest, pa.int64()),
-        pa.array(spans, pa.list_(pa.list_(pa.int64()))),
-    ]
+        listed: dict[bytes, np.ndarray] = {}
+        for own in np.split(by_doc, np.flatnonzero(np.diff(doc[by_doc])) + 1):
+            d, held = first + int(doc[own[0]]), np.unique(window[own])
+            longest[d] = int(long[own].max())
+            key = held.tobytes()  # copies of a passage share one list
+            if key not in listed:
+                listed[key] = np.unique(np.concatenate([block.bearers[block.first[w] : block.first[w + 1]] for w in held]))
+            items[d] = listed[key]
+    begin = 0
+    while begin < n:
+        end, total = begin, 0
+        while end < n and (end == begin or total + len(items[end]) <= BATCH_NAMES):
+            total += len(items[end])
+            end += 1
+        names = [block.names[c].tolist() if len(c) else [] for c in items[begin:end]]
+        part_long, part_spans = longest[begin:end], spans[begin:end]
+        for k, old in enumerate((before or [])[begin:end]):
+            names[k] = sorted({*names[k], *old["items"]})
+            part_long[k] = max(part_long[k], old["longest_match"])
+            part_spans[k] = _union([*part_spans[k], *old["spans"]])
+        yield begin, end, [
+            pa.array(words[begin:end], pa.int64()),
+            pa.array([sum(b - a for a, b in s) for s in part_spans], pa.int64()),
+            pa.array(names, pa.list_(pa.string())),
+            pa.array(part_long, pa.int64()),
+            pa.array(part_spans, pa.list_(pa.list_(pa.int64()))),
+        ]
+        begin = end
 
 
 def _union(spans: list) -> list:
@@ -201,14 +293,18 @@ def blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text", bloc
 def find_matches(docs: DataFrame, benchmark: DataFrame, keep: list, text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """The columns of `keep` with n_words, n_hit, items, longest_match, spans, for every row of docs.
 
-    Tasks build a suffix array over each shard of their own texts and search every benchmark suffix in it,
-    so no text is shuffled. Benchmarks above block_words go in blocks, one pass over docs for each; spans
-    of the passes are united. Null and wordless documents have no words and no hits; null or wordless items
+    Tasks build a suffix array over each shard of their own texts and search every different benchmark
+    window in it, so no text is shuffled. spans are the hit words ([from, to) in words), longest_match the
+    words of the longest verbatim match that begins with a window. Benchmarks above block_words go in
+    blocks, one at a time, with a written table after each; spans of the passes are united. Null and wordless documents have no words and no hits; null or wordless items
     have no windows; an item without id hits but isn't listed; items with equal ids count once; an empty
     benchmark hits nothing; equal rows are judged each for itself; an empty table gives no rows.
     """
-    names, out = [f.name for f in HITS], None
+    names, out, shared = [f.name for f in HITS], None, None
     for block in blocks(benchmark, block_words=block_words):
+        if out is not None:
+            out = stash(out)
+            shared.unpersist()
         shared = docs.sparkSession.sparkContext.broadcast(block)
         if out is None:
             out = _pass(docs, keep, shared, text, False, names)
@@ -229,8 +325,9 @@ def _pass(docs: DataFrame, keep: list, shared, text: str, again: bool, names: li
         for batch in batches:
             texts = batch.column("__text_again")
             before = batch.select(names).to_pylist() if again else None
-            found = _match(block, texts.to_pylist(), before)
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fixed), *found, texts], names=schema.names)
+            for a, b, found in _match(block, texts.to_pylist(), before):
+                kept = [batch.column(f.name).slice(a, b - a) for f in fixed]
+                yield pa.RecordBatch.from_arrays([*kept, *found, texts.slice(a, b - a)], names=schema.names)
 
     return source.mapInArrow(run, schema)
 
