@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewire.llm import mixing, sharding
+from tidewire.llm.common import stash
 
 
 def test_key_law_and_gapless_slots(spark, awkward):
@@ -112,3 +113,38 @@ def test_curriculum_order_and_copies(spark, awkward, empty):
     assert words == plan.agg(F.sum("taken")).first()[0]
     assert plan.count() == awkward.count()
     assert mixing.curriculum(empty).count() == 0 and mixing.plan_mix(empty).count() == 0
+
+
+def test_equal_rows_share_no_window(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 50)
+    rows = [(7, "a hot row", "s")] * 400 + [(None, None, "s")] * 300 + [(None, "x y", None)] * 30 + [(1000 + i, "w " * (i % 9), "t") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    plan = mixing._plan(stash(docs.select(*mixing._sized(docs, "doc_id", "text", "source"))))
+    hot = [r for r in plan.collect() if r["doc_id"] == 7]
+    assert len(hot) == 5 and sum(r["__copies"] for r in hot) == 400
+    got = mixing.plan_mix(docs).collect()
+    assert Counter((r["doc_id"], r["size"]) for r in got) == Counter((i, len((t or "").split())) for i, t, _ in rows)
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r["source_size"]] += r["taken"]
+        target[r["source_size"]] = r["target"]
+        assert r["taken"] <= 2 * r["size"]
+    assert all(abs(taken[s] - target[s]) <= 1 for s in target)
+    places = [r["first_position"] for r in got if r["first_position"] is not None]
+    assert places == sorted(places) and all(r["first_position"] is None for r in got[len(places) :])
+    out = mixing.curriculum(docs)
+    assert sum(len((r["text"] or "").split()) for r in out.collect()) == sum(taken.values())
+
+
+def test_cut_texts_keep_their_white_space(spark):
+    text = "\n\ta  b\r\n c\n\nd e"
+    df = spark.createDataFrame([(n, text) for n in (1, 3, 5)], "n long, text string")
+    got = {r[0]: r[1] for r in df.select("n", mixing.first_words(F.col("text"), F.col("n"))).collect()}
+    assert got == {1: "\n\ta", 3: "\n\ta  b\r\n c", 5: text}
+
+
+def test_the_chosen_shard_is_the_best_draw(spark):
+    weights = {0: 1.0, 1: 2.5, 4: 0.5}
+    draws = [(F.log((F.shiftrightunsigned(F.xxhash64(F.lit("shard"), F.lit(s), F.col("id")), 11).cast("double") + 0.5) / 2.0**53) / w).alias(str(s)) for s, w in weights.items()]
+    for r in spark.range(500).select("id", sharding.rendezvous(F.col("id"), weights).alias("got"), *draws).collect():
+        assert r["got"] == max(weights, key=lambda s: r[str(s)])

@@ -14,6 +14,8 @@ from tidewire.llm.common import ORDER_BITS, WORD, hash_order, read_table, runnin
 WEIGHTS = (5, 2, 1)
 #: How often the mix is to hold all words together, and one source at most.
 SHARE, CEILING = 1.5, 2.0
+#: Copies of one row that are written out by one task in one go.
+CHUNK = 1_000
 #: Schedule of each weight over training time: (time, weight) knots, linear in between.
 SCHEDULES = (
     ((0.0, 1.5), (0.6, 1.0), (1.0, 0.5)),
@@ -52,7 +54,8 @@ def source_targets(sized: DataFrame, weights: Sequence[float] = WEIGHTS, share:
 
     Filling all sources by weight and resharing what stands over a ceiling ends at one common level: with
     the sources sorted by ceiling per weight, those below the level hold their ceiling and the rest share
-    what is left by weight. Rows here are sources, already summed.
+    what is left by weight. Rows here are sources, already summed, so the windows over all of them hold one
+    short row for each source.
     """
     sums = sized.groupBy("__source").agg(F.first("__name").alias("__name"), F.sum("size").alias("source_size"))
     all_rows = Window.partitionBy(F.lit(0))
@@ -75,72 +78,112 @@ def source_targets(sized: DataFrame, weights: Sequence[float] = WEIGHTS, share:
     return sums.select("__source", "source_size", target.alias("target"), "__class")
 
 
-def plan_mix(
-    docs: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    source: str = "source",
-    carry: Sequence[str] = (),
-    schedules: Sequence[Knots] = SCHEDULES,
-) -> DataFrame:
-    """doc_id, size, source_size, target, taken, first_position, positions and the columns of `carry`.
-
-    The documents of a source stand in a fixed hash order and are read in rounds until the target is met;
-    the document at the end is taken in part. taken is the number of words over all rounds, positions has
-    (round, words, position in 0..1) for each round that takes the document. Null texts and texts without
-    words have size 0, are never taken and have no position; null sources are one source, the last; equal
-    rows are taken each for itself; an empty table gives no rows.
-    """
-    sized = docs.select(
+def _sized(docs: DataFrame, key: str, text: str, source: str) -> list[Column]:
+    """What the plan of a row depends on, and the number of its input partition."""
+    return [
         F.col(key).alias("doc_id"),
-        *[F.col(c).alias(f"__carry_{i}") for i, c in enumerate(carry)],
         word_count(F.col(text)).alias("size"),
         F.col(source).alias("__name"),
         F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("-")).alias("__source"),
         hash_order(F.col(key), F.col(text)).alias("__order"),
-    )
-    if not carry:
-        sized = stash(sized)
+        F.spark_partition_id().alias("__part"),
+    ]
+
+
+def _plan(sized: DataFrame) -> DataFrame:
+    """A written table with one row for each set of equal rows of an input partition: doc_id, size, __source,
+    __order, __part, __copies, the columns of source_targets(), and __before, the words of the source that
+    stand before the first of the copies.
+
+    Equal rows are counted before anything is shuffled, so thousands of them are as many rows here as they
+    have partitions, and none of them meets the others in one window. sized: columns of _sized(), written.
+    """
     targets = source_targets(sized.select("__source", "__name", "size"))
-    rows = running_sum(sized.drop("__name"), ["__source"], ["__order", "doc_id", "size"], "size", "__before", width=ORDER_BITS, per_group=targets)
+    same = sized.groupBy("__source", "__order", "doc_id", "size", "__part").agg(F.count("*").alias("__copies"))
+    same = same.withColumn("__words", F.col("__copies") * F.col("size"))
+    bits = max(10, (sized.count() >> 16).bit_length())
+    order = ["__order", "doc_id", "size", "__part"]
+    return stash(running_sum(same, ["__source"], order, "__words", "__before", bits=bits, width=ORDER_BITS, per_group=targets).drop("__words"))
+
+
+def _rounds(schedules: Sequence[Knots]) -> Column:
+    """(round, words, position) for each round that takes a row, from the columns of _plan() and __copy."""
     whole = F.round(F.col("target")).cast("long")
     rounds = []
     for k in (0, 1):
-        start = F.col("source_size") * k + F.col("__before")
+        start = F.col("source_size") * k + F.col("__before") + F.col("__copy") * F.col("size")
         words = F.greatest(F.least(F.col("size"), whole - start), F.lit(0)).cast("long")
         share = (start + words / 2) / F.greatest(F.col("target"), F.lit(1.0))
         time = invert_demand(share, schedules[-1])
         for c in range(len(schedules) - 2, -1, -1):
             time = F.when(F.col("__class") % len(schedules) == c, invert_demand(share, schedules[c])).otherwise(time)
         rounds.append(F.struct(F.lit(k).alias("round"), words.alias("words"), time.alias("position")))
-    rows = rows.withColumn("positions", F.filter(F.array(*rounds), lambda x: x["words"] > 0))
+    return F.filter(F.array(*rounds), lambda x: x["words"] > 0)
+
+
+def plan_mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", schedules: Sequence[Knots] = SCHEDULES) -> DataFrame:
+    """doc_id, size, source_size, target, taken, first_position, positions for every row of docs, range-sorted
+    by first_position, rows that are not taken last.
+
+    The documents of a source stand in a fixed hash order and are read in rounds until the target is met;
+    the document at the end is taken in part. taken is the number of words over all rounds, positions has
+    (round, words, position in 0..1) for each round that takes the document. Null texts and texts without
+    words have size 0, are never taken and have no position; null sources are one source, the last; equal
+    rows are taken each for itself; an empty table gives no rows; other columns are ignored.
+    """
+    plan = _plan(stash(docs.select(*_sized(docs, key, text, source))))
+    # rows with many copies are dealt out in chunks over all tasks before they are written out one by one
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.col("__copies") - 1, F.lit(CHUNK).cast("long"))).alias("__from")
+    some = plan.where(F.col("__copies") <= CHUNK).withColumn("__from", F.lit(0).cast("long"))
+    many = plan.where(F.col("__copies") > CHUNK).select("*", chunk).repartition("__part", "__from", "__order")
+    one = F.sequence(F.col("__from"), F.least(F.col("__from") + CHUNK, F.col("__copies")) - 1)
+    rows = some.unionByName(many).withColumn("__copy", F.explode(one)).withColumn("positions", _rounds(schedules))
     taken = F.aggregate("positions", F.lit(0).cast("long"), lambda a, x: a + x["words"])
-    return rows.select(
-        "doc_id", "size", "source_size", "target", taken.alias("taken"),
-        F.get(F.col("positions"), 0)["position"].alias("first_position"), "positions", "__order",
-        *[F.col(f"__carry_{i}").alias(c) for i, c in enumerate(carry)],
-    )
+    first = F.get(F.col("positions"), 0)["position"]
+    rows = rows.select("doc_id", "size", "source_size", "target", taken.alias("taken"), first.alias("first_position"), "positions", "__order")
+    by = [F.col("first_position").asc_nulls_last(), F.col("__order")]
+    return rows.repartitionByRange(*by).sortWithinPartitions(*by).drop("__order")
 
 
 def first_words(text: Column, n: Column) -> Column:
-    return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lit(1), n.cast("int")), " ")
+    """The text up to the end of its n-th word, white space as it is."""
+    n = n.cast("int")
+    pieces = F.arrays_zip(
+        F.slice(F.split(text, WORD, -1), F.lit(1), n).alias("gap"), F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lit(1), n).alias("word")
+    )
+    return F.array_join(F.transform(pieces, lambda p: F.concat(p["gap"], p["word"])), "")
 
 
-def curriculum(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+def curriculum(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", written: bool = False) -> DataFrame:
     """The mix itself, with the columns of docs: one row for each time a document is taken, range-sorted by
-    position. A document that the end of its source's target cuts keeps its first words only."""
-    packed = docs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-    planned = plan_mix(packed, key, text, source, carry=["__row"])
-    copies = planned.select("__row", "size", "__order", F.explode("positions").alias("__at"))
+    position. A document that the end of its source's target cuts keeps its first words only.
+
+    Null and wordless texts are in no mix; the rest is as in plan_mix(). The plan is made over narrow rows;
+    whole rows move twice, to meet their plan and to their place in the order. written: docs is a written
+    table, whose partitions are the same in every pass.
+    """
+    docs = docs if written else stash(docs)
+    plan = _plan(stash(docs.select(*_sized(docs, key, text, source)))).withColumn("__id", _named("doc_id"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *_sized(docs, key, text, source))
+    packed = packed.where("size > 0").withColumn("__id", _named("doc_id")).drop("doc_id", "__name")
+    keys = ["__order", "__part", "__source", "__id", "size"]
+    copies = packed.join(plan.where("size > 0").drop("doc_id"), keys)
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("__order")) - 1
+    copies = copies.withColumn("__copy", nth).select("__row", "size", "__order", F.explode(_rounds(SCHEDULES)).alias("__at"))
     cut = F.when(F.col("__at")["words"] < F.col("size"), first_words(F.col("__row")[text], F.col("__at")["words"])).otherwise(F.col("__row")[text])
     columns = [cut.alias(c) if c == text else F.col("__row")[c].alias(c) for c in docs.columns]
     copies = copies.select(F.col("__at")["position"].alias("__position"), "__order", *columns)
     return copies.repartitionByRange("__position", "__order").sortWithinPartitions("__position", "__order").drop("__position", "__order")
 
 
+def _named(key: str) -> Column:
+    """An id as text that is never null."""
+    return F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("-"))
+
+
 def op6_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return plan_mix(docs).drop("positions", "__order")
+    return plan_mix(docs).drop("positions")
 
 
 QUERIES = {"op6_mix_curriculum": op6_mix_curriculum}
