@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -67,6 +68,59 @@ def test_trees_add_spans_and_keep_the_base(spark):
     assert len(rows[-1]["spans"]) > len(rows[-1]["base"])
 
 
+#: Formats that are not among those learned from; none for look-alikes.
+OTHER = (
+    ("email", "~~~~~ (at) ~~~~~~.com"), ("email", "~~~~.~~~ at ~~~~~~ dot net"), ("email", "~~~~~ [at] ~~~~ dot org"), ("email", "~~@ ~~~~~~~.de"), ("email", "~~~~~~ @ ~~~~ . com"),
+    ("ip", "& ,&, & ,&"), ("ip", "&[dot]&[dot]&[dot]&"), ("ip", "^^^:^^^^:^^:^^^^:^^^^:^^^^:^:^^^^"), ("ip", "fe80::^^^^:^^"), ("card", "####. ####. ####. ###*"), ("card", "#### / #### / #### / ###*"),
+    ("phone", "00%# %## ######"), ("phone", "0%###/######"), ("phone", "(0%##) ######"), ("phone", "0%# ### ## ##"), ("phone", "%## ### ####"), ("phone", "0%#-###-####"),
+    (None, "20##/0%/1# 1#"), (None, "%# %# %#"), (None, "%## ## %##"), (None, "~~~~ at ~~~~ dot"), (None, "~~~ at ~~~.And"), (None, "2#:1#:0#.###"), (None, "%#,###,###.##"), (None, "&, &, &, &, &"),
+    (None, "%-%%%-%####-%"), (None, "20##-20##"), (None, "0%.1#.20## 1#:2#"), (None, "%# x %# x %#"), (None, "^^^^^^^-^^^^^^^"), (None, "%### %### %### %### %###"),
+)
+
+
+def test_recall_and_precision_of_other_formats(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    model = pii.fit(docs)
+    assert set(model.thresholds) == set(pii.KINDS)
+    made = pii.made_texts(docs, "text", OTHER, seed="held out", bound=3000).withColumn("doc_id", F.monotonically_increasing_id())
+    rows = pii.find_personal_data(made, model, ["doc_id", "kind", "pattern", "start", F.length("value").alias("n")], "__text").collect()
+    real = [r for r in rows if r["kind"]]
+    hit = [any(s["start"] < r["start"] + r["n"] and r["start"] < s["end"] for s in r["spans"]) for r in real]
+    wrong = [len(r["spans"]) > 0 for r in rows if not r["kind"]]
+    recall, precision = sum(hit) / len(real), sum(hit) / (sum(hit) + sum(wrong))
+    assert recall >= 0.9 and precision >= 0.9, (recall, precision)
+    named = sum(any(s["kind"] == r["kind"] for s in r["spans"]) for r in real) / len(real)
+    assert named >= 0.85
+
+
+def test_spans_by_hand(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    real = ["call 0049 30 1234567 now", "tel 07700 900123", "2001:0db8:85a3:0000:0000:8a2e:0370:7334 up", "from 192,168,0,1 today", "jane@ example.com wrote", "john [at] mail [dot] org", "z" * 90 + " at example dot com"]
+    none = ["on 2024-01-02 10 he", "12 34 56 78 90", "see 1,234,567.89", "at home.Then we", ""]
+    df = spark.createDataFrame(list(enumerate(real + none)), "doc_id long, text string")
+    rows = {r["doc_id"]: len(r["spans"]) for r in pii.find_personal_data(df, pii.fit(docs), [F.col("doc_id")]).collect()}
+    assert [rows[i] for i in range(len(real))] == [1] * len(real)
+    assert all(rows[i] == 0 for i in range(len(real), len(rows)))
+
+
+def plain_greedy(spans):
+    kept = []
+    for less, start, end, nth in sorted((less, start, end, nth) for start, less, end, nth in spans):
+        if not any(k[1] < end and start < k[2] for k in kept):
+            kept.append((less, start, end, nth))
+    return sorted(kept)
+
+
+def test_overlaps_are_settled_by_score(spark):
+    rng = random.Random(3)
+    rows = [[(0, -0.9, 10, 0), (8, -0.8, 20, 1), (18, -0.7, 30, 2)], [(0, -0.7, 10, 0), (8, -0.8, 20, 1), (18, -0.9, 30, 2)], []]
+    for _ in range(200):
+        rows.append(sorted((s := rng.randrange(60), -rng.randrange(30, 100) / 100, s + rng.randint(1, 15), rng.randrange(4)) for _ in range(rng.randrange(14))))
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, s array<struct<start:long,less:double,end:long,nth:int>>")
+    for r in df.select("i", pii.greedy(F.col("s")).alias("kept")).collect():
+        assert sorted(tuple(k) for k in r["kept"]) == plain_greedy(rows[r["i"]])
+
+
 def test_awkward_rows(awkward, empty):
     rows = pii.find_personal_data(awkward, pii.fit(awkward), [F.col("doc_id")]).collect()
     assert len(rows) == awkward.count() and all(r["spans"] == [] for r in rows)
