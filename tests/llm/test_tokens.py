@@ -92,3 +92,38 @@ def test_trees_take_edits_in_turn(spark):
     bad = K.build_trees(docs.withColumn("edits", F.expr("array(struct(5L as start, 2L as end, '' as new))")), ["text", "edits"])
     with pytest.raises(Exception, match="overlaps or leaves"):
         K.apply_edits(bad, [], "edits").collect()
+
+
+def test_edits_at_one_place_stay_local():
+    of = K.counter()
+    text = "some words and more words here " * 3000
+    document = K.Document(K.Tree.of(*of.blocks(text)), text)
+    at, touched = len(text) // 2, []
+    for k in range(40):
+        touched.append(document.edit(at, at, f"another {k} thing is put in here " * 40, of))
+    assert document.tree.total == len(of.encoding.encode_ordinary(document.text()))
+    assert max(touched) < 3 * 40 * 35 and max(map(len, document.parts)) < 2000
+
+
+@pytest.mark.parametrize("block", [1, 3, 64])
+def test_many_edits_of_one_document(block, monkeypatch):
+    monkeypatch.setattr(K, "BLOCK", block)
+    of, rng = K.counter(), random.Random(block)
+    for _ in range(60):
+        text = "".join(rng.choice(PIECES) for _ in range(rng.choice([0, 10, 200])))
+        document = K.Document(K.Tree.of(*of.blocks(text)), text)
+        for _ in range(30):
+            a = rng.randint(0, len(text))
+            b, new = min(len(text), a + rng.choice([0, 1, 9, 60])), "".join(rng.choice(PIECES) for _ in range(rng.choice([0, 1, 8, 90])))
+            text = text[:a] + new + text[b:]
+            document.edit(a, b, new, of)
+            assert document.text() == text and document.tree.chars[1] == len(text)
+            assert document.tree.total == len(of.encoding.encode_ordinary(text))
+
+
+def test_bad_edits_are_a_disposition(spark):
+    docs = spark.createDataFrame([(1, "one two three", 5, 2), (2, "one two three", 3, 99), (3, "one two three", 0, 3), (4, None, 0, 1)], "doc_id long, text string, a long, b long")
+    trees = K.build_trees(docs.withColumn("edits", F.expr("array(struct(a as start, b as end, 'x' as new))")), ["doc_id", "text", "edits", F.lit(7).alias("n_reencoded")])
+    rows = {r["doc_id"]: r for r in K.apply_edits(trees, ["doc_id", "n_tokens"], "edits", mark=True).collect()}
+    assert {i: r["edits_ok"] for i, r in rows.items()} == {1: False, 2: False, 3: True, 4: False}
+    assert all(rows[i]["n_tokens_edited"] == rows[i]["n_tokens"] and rows[i]["n_reencoded"] == 0 for i in (1, 2, 4))

@@ -78,13 +78,17 @@ class Tree:
 
     @staticmethod
     def of(sizes: list[int], tokens: list[int]) -> Tree:
+        tree = Tree([], [])
+        tree.build(sizes, tokens)
+        return tree
+
+    def build(self, sizes: list[int], tokens: list[int]) -> None:
         n = 1
         while n < len(sizes):
             n *= 2
-        tree = Tree([0] * n + sizes + [0] * (n - len(sizes)), [0] * n + tokens + [0] * (n - len(tokens)))
+        self.chars, self.tokens, self.leaves = [0] * n + sizes + [0] * (n - len(sizes)), [0] * n + tokens + [0] * (n - len(tokens)), n
         for i in range(n - 1, 0, -1):
-            tree._sum(i)
-        return tree
+            self._sum(i)
 
     def _sum(self, i: int) -> None:
         self.chars[i] = self.chars[2 * i] + self.chars[2 * i + 1]
@@ -113,39 +117,87 @@ class Tree:
             i //= 2
 
 
-def apply_edit(tree: Tree, text: str, start: int, end: int, new: str, of: Counter) -> tuple[str, int]:
-    """The text with [start, end) replaced; the tree is brought up to date. Also the characters re-encoded.
+class Document:
+    """A tree with the text of each leaf beside it, so that an edit copies the leaves it touches only."""
+
+    def __init__(self, tree: Tree, text: str):
+        self.tree, self.parts, at = tree, [], 0
+        for n in tree.chars[tree.leaves :]:
+            self.parts.append(text[at : at + n])
+            at += n
+
+    def text(self) -> str:
+        return "".join(self.parts)
+
+    def edit(self, start: int, end: int, new: str, of: Counter) -> int:
+        """Replace [start, end), bring the tree up to date, and say how many characters were cut again.
+
+        Pre-tokens are cut from left to right, so a block that starts CONTEXT characters or more before the
+        edit starts where it did. From there the new text is cut until a cut falls on the old start of a
+        block behind the edit: all that follows is as it was. What a cut needs of the text behind it is
+        within CONTEXT of its end, so leaves are read one by one until that is there.
+        """
+        tree, parts = self.tree, self.parts
+        total = tree.chars[1]
+        if not total:
+            self._replace(0, tree.leaves, of.pattern.findall(new), of)
+            return len(new)
+        first, begin = tree.find(min(max(0, start - CONTEXT), total - 1))
+        read, upto, pieces = first, begin, []  # leaves before `read`, up to the old character `upto`, are in `held`
+        held: list[str] = []
+        while read < tree.leaves and (upto < end or read == first):
+            held.append(parts[read])
+            upto += tree.chars[tree.leaves + read]
+            read += 1
+        old = "".join(held)
+        now, shift = old[: start - begin] + new + old[end - begin :], len(new) - (end - start)
+        at, leaf, place = 0, first, begin  # `place`: the old block start behind the edit that the cuts may meet next
+        while True:
+            while leaf < read and (leaf == first or place < end or place - begin + shift < at):
+                place += tree.chars[tree.leaves + leaf]
+                leaf += 1
+            if leaf == read and read < tree.leaves and place - begin + shift < at:
+                now, upto, read = now + parts[read], upto + tree.chars[tree.leaves + read], read + 1
+                continue
+            if at == place - begin + shift:
+                break
+            piece = of.pattern.match(now, at)
+            while read < tree.leaves and (piece is None or piece.end() + CONTEXT > len(now)):
+                now, upto, read = now + parts[read], upto + tree.chars[tree.leaves + read], read + 1
+                piece = of.pattern.match(now, at)
+            pieces.append(piece[0])
+            at = piece.end()
+        self._replace(first, leaf, pieces, of)
+        return at
+
+    def _replace(self, first: int, leaf: int, pieces: list[str], of: Counter) -> None:
+        """Put pieces in place of the leaves [first, leaf). What is over two blocks' size is split, so that no
+        leaf grows with the number of edits; only then are sums built anew, no text is encoded again."""
+        cuts = range(0, len(pieces), BLOCK) if len(pieces) > 2 * BLOCK else range(min(1, len(pieces)))
+        size = BLOCK if len(pieces) > 2 * BLOCK else len(pieces)
+        fresh = [pieces[i : i + size] for i in cuts]
+        texts, counts = ["".join(p) for p in fresh], [sum(of.counts(p)) for p in fresh]
+        tree, parts = self.tree, self.parts
+        if len(fresh) <= leaf - first:
+            for k in range(first, leaf):
+                own = k - first < len(fresh)
+                text, n = (texts[k - first], counts[k - first]) if own else ("", 0)
+                if own or parts[k]:
+                    parts[k] = text
+                    tree.put(k, len(text), n)
+            return
+        tokens = tree.tokens[tree.leaves :]
+        held = [(t, n) for t, n in zip(parts[:first], tokens[:first]) if t] + list(zip(texts, counts)) + [(t, n) for t, n in zip(parts[leaf:], tokens[leaf:]) if t]
+        self.parts = [t for t, _ in held]
+        tree.build([len(t) for t in self.parts], [n for _, n in held])
+        self.parts += [""] * (tree.leaves - len(self.parts))
 
-    Pre-tokens are cut from left to right, so a block that starts CONTEXT characters or more before the
-    edit starts where it did. From there the new text is cut until a cut falls on the old start of a block
-    behind the edit: all that follows is as it was.
-    """
-    edited = text[:start] + new + text[end:]
-    if not text:
-        sizes, tokens = of.blocks(edited)
-        fresh = Tree.of([sum(sizes)], [sum(tokens)])
-        tree.chars, tree.tokens, tree.leaves = fresh.chars, fresh.tokens, fresh.leaves
-        return edited, len(edited)
-    shift = len(new) - (end - start)
-    first, begin = tree.find(min(max(0, start - CONTEXT), len(text) - 1))
-    leaf, place = first, begin  # the old block start behind the edit that the cuts may meet next
-    pieces, at = [], begin
-    while True:
-        while leaf < tree.leaves and (leaf == first or place < end or place + shift < at):
-            place += tree.chars[tree.leaves + leaf]
-            leaf += 1
-        if place >= len(text):
-            place, leaf = len(text), tree.leaves
-        if at == place + shift:
-            break
-        piece = of.pattern.match(edited, at)[0]
-        pieces.append(piece)
-        at += len(piece)
-    for between in range(first + 1, leaf):
-        if tree.chars[tree.leaves + between] or tree.tokens[tree.leaves + between]:
-            tree.put(between, 0, 0)
-    tree.put(first, at - begin, sum(of.counts(pieces)))
-    return edited, at - begin
+
+def apply_edit(tree: Tree, text: str, start: int, end: int, new: str, of: Counter) -> tuple[str, int]:
+    """One edit of a text: the new text, and the characters cut again. The tree is brought up to date."""
+    document = Document(tree, text)
+    n = document.edit(start, end, new, of)
+    return document.text(), n
 
 
 EDITS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("new", T.StringType())]))
@@ -159,7 +211,8 @@ STATE = [
 def build_trees(docs: DataFrame, keep: list, text: str = "text", ranks: str = RANKS) -> DataFrame:
     """The columns of `keep` with n_tokens and the nodes of each document's tree, for every row of docs.
 
-    Null and empty texts have 0 tokens and a tree of one empty leaf.
+    Null and empty texts have 0 tokens and a tree of one empty leaf; equal texts have equal trees; an empty
+    table gives no rows; columns that aren't in `keep` are ignored, so clashing names do no harm.
     """
 
     def make():
@@ -175,17 +228,29 @@ def build_trees(docs: DataFrame, keep: list, text: str = "text", ranks: str = RA
     return map_texts(docs, keep, make, STATE, text)
 
 
-def apply_edits(trees: DataFrame, keep: list, edits: str, text: str = "text", ranks: str = RANKS) -> DataFrame:
+def fit_together(edits: list, size: int) -> bool:
+    """Whether edits stand in order, without overlap, inside a text of so many characters."""
+    last = 0
+    for e in edits:
+        if e["start"] is None or e["end"] is None or not last <= e["start"] <= e["end"] <= size:
+            return False
+        last = e["end"]
+    return True
+
+
+def apply_edits(trees: DataFrame, keep: list, edits: str, text: str = "text", ranks: str = RANKS, mark: bool = False) -> DataFrame:
     """The columns of `keep` with n_tokens_edited, n_reencoded (characters) and the new trees, for every row.
 
     trees has the columns of build_trees, the text and `edits`, an array of (start, end, new) in code
     points of the text, in order of start and not overlapping; null or empty: nothing changes. Edits that
-    overlap or leave the text are an error.
+    overlap or leave the text are an error, or with `mark` a disposition: such a row keeps its tree and
+    count, and edits_ok is false. Equal rows are edited each for itself; an empty table gives no rows.
     """
     columns = ["tree_chars", "tree_tokens", edits]
     source = trees.select(*keep, *[F.col(c).alias(f"__{c}") for c in columns], F.col(text).cast("binary").alias("__text"))
     kept = source.schema.fields[: -len(columns) - 1]
     fields = [T.StructField("n_tokens_edited", T.LongType()), T.StructField("n_reencoded", T.LongType()), *STATE[1:]]
+    fields += [T.StructField("edits_ok", T.BooleanType())] if mark else []
     names = [f.name for f in (*kept, *fields)]
 
     def run(batches):
@@ -193,15 +258,19 @@ def apply_edits(trees: DataFrame, keep: list, edits: str, text: str = "text", ra
         for batch in batches:
             out = []
             for row in batch.select([f"__{c}" for c in columns] + ["__text"]).to_pylist():
-                now, tree, touched, shift, last = (row["__text"] or b"").decode("utf-8", "replace"), Tree(row["__tree_chars"], row["__tree_tokens"]), 0, 0, 0
-                for edit in row[f"__{edits}"] or []:
-                    start, end = edit["start"], edit["end"]
-                    if not last <= start <= end or end + shift > len(now):
-                        raise ValueError(f"edit {start}..{end} overlaps or leaves the text")
-                    now, n = apply_edit(tree, now, start + shift, end + shift, edit["new"] or "", of)
-                    touched, shift, last = touched + n, shift + len(edit["new"] or "") - (end - start), end
-                out.append((tree.total, touched, tree.chars, tree.tokens))
-            found = [pa.array([r[i] for r in out], pa.int64() if i < 2 else pa.list_(pa.int64())) for i in range(4)]
+                tree, touched, shift = Tree(row["__tree_chars"], row["__tree_tokens"]), 0, 0
+                asked = row[f"__{edits}"] or []
+                ok = fit_together(asked, tree.chars[1])
+                if not ok and not mark:
+                    raise ValueError("an edit overlaps or leaves the text")
+                if asked and ok:
+                    document = Document(tree, (row["__text"] or b"").decode("utf-8", "replace"))
+                    for edit in asked:
+                        touched += document.edit(edit["start"] + shift, edit["end"] + shift, edit["new"] or "", of)
+                        shift += len(edit["new"] or "") - (edit["end"] - edit["start"])
+                out.append((tree.total, touched, tree.chars, tree.tokens, ok))
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.bool_()][: len(fields)]
+            found = [pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *found], names=names)
 
     return source.mapInArrow(run, T.StructType([*kept, *fields]))
@@ -218,14 +287,14 @@ def add_redactions(docs: DataFrame, text: str = "text", out: str = "edits") -> D
     mask = start + r"[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]{1,255}|[0-9]{9,64}"
     blank = r"[\x20\x09\x0B-\x0D]"
     head = rf"^{blank}*+[^\x20\x09-\x0D]++(?:{blank}++[^\x20\x09-\x0D]++){{0,7}}+{blank}*+\n"
-    docs = add_spans(docs, text, mask, r"@|[0-9]{9}", "__mask")
+    docs = add_spans(docs, text, mask, r"@|[0-9]{9}", "__redact")
     line = F.length(F.regexp_extract(F.col(text), head, 0)).cast("long")
-    docs = docs.withColumn("__line", F.coalesce(line, F.lit(0).cast("long")))
-    masks = F.transform("__mask", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit("[removed]").alias("new")))
-    masks = F.coalesce(F.filter(masks, lambda e: e["start"] >= F.col("__line")).cast(EDITS), F.array().cast(EDITS))
-    first = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("__line").alias("end"), F.lit("").alias("new"))).cast(EDITS)
-    docs = docs.withColumn(out, F.when(F.col("__line") > 0, F.concat(first, masks)).otherwise(masks))
-    return docs.drop("__mask", "__mask_hits", "__mask_gaps", "__line")
+    docs = docs.withColumn("__redact_line", F.coalesce(line, F.lit(0).cast("long")))
+    masks = F.transform("__redact", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit("[removed]").alias("new")))
+    masks = F.coalesce(F.filter(masks, lambda e: e["start"] >= F.col("__redact_line")).cast(EDITS), F.array().cast(EDITS))
+    first = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("__redact_line").alias("end"), F.lit("").alias("new"))).cast(EDITS)
+    docs = docs.withColumn(out, F.when(F.col("__redact_line") > 0, F.concat(first, masks)).otherwise(masks))
+    return docs.drop("__redact", "__redact_hits", "__redact_gaps", "__redact_line")
 
 
 def op8_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,7 +303,7 @@ def op8_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     trees = build_trees(add_redactions(docs), ["doc_id", "text", "edits"])
     keep = ["doc_id", "n_tokens", F.coalesce(F.size("edits"), F.lit(0)).cast("long").alias("n_edits")]
-    return apply_edits(trees, keep, "edits").drop("tree_chars", "tree_tokens")
+    return apply_edits(trees, keep, "edits", mark=True).drop("tree_chars", "tree_tokens")
 
 
 QUERIES = {"op8_edit_aware_counts": op8_edit_aware_counts}
