@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-#: Fixed values of the exchange formats.
+#: The mark of a story whose page is to tell its URL, where a Config gives no other. Data of another system that
+#: holds such rows has a mark of its own: set need_canonical_url to it.
 NEED_CANONICAL_URL = "http://example.invalid/need_canonical_url"
+#: Fixed values of the exchange formats.
 BAD_HOSTS = ("localhost", "127.0.0.1")
 SCHEMES = ("http", "https")
 RETRY_CODES = (408, 429, 500, 502, 503, 504, 522, 524)

@@ -48,9 +48,9 @@ def _cut(raw: Column, n: int) -> Column:
 
 def truncate_utf8(text: Column, n: int = 32_766, nfc: Column | None = None) -> Column:
     """Texts of up to n bytes as they are; longer ones cut to n bytes at a character. nfc: the normal form
-    of the text, from which long ones are cut."""
+    of the text, from which long ones are cut. Null stays null."""
     raw = F.encode(F.coalesce(nfc, text) if nfc is not None else text, "UTF-8")
-    return F.when(utf8_bytes(text) <= n, text).when(F.octet_length(raw) <= n, raw.cast("string")).otherwise(_cut(raw, n))
+    return F.when(text.isNull(), text).when(utf8_bytes(text) <= n, text).when(F.octet_length(raw) <= n, raw.cast("string")).otherwise(_cut(raw, n))
 
 
 @F.pandas_udf(T.StringType())

@@ -129,6 +129,22 @@ def classify_redirects(chain: Column, excluded: Sequence[str], limit: int = 30)
     return F.get(F.filter(F.transform(chain, fault), lambda x: x.isNotNull()), F.lit(0))
 
 
+#: Codes of responses that name another URL.
+REDIRECTS = (301, 302, 303, 307, 308)
+
+
+def classify_redirects_registered(df: DataFrame, listed: DataFrame, public_suffixes: Sequence[str], url: str = "url", location: str = "location", status: str = "status") -> DataFrame:
+    """Add target (location made absolute), registered (its registered domain) and dropped: a redirect, by its
+    code, to a domain of `listed` (column registered). The list may be long, so it is joined; other codes
+    and rows without a location go through."""
+    listed = listed.select(F.col("registered").alias("__listed")).distinct()
+    rows = df.withColumn("target", resolve(F.col(url), F.col(location)))
+    rows = rows.withColumn("registered", registered_domain(host(F.col("target")), public_suffixes))
+    moved = F.coalesce(F.col(status).isin(*REDIRECTS), F.lit(False))
+    rows = rows.join(listed, rows["registered"] == listed["__listed"], "left")
+    return rows.withColumn("dropped", moved & F.col("__listed").isNotNull()).drop("__listed")
+
+
 def resolve(base: Column, target: Column) -> Column:
     """A redirect target made absolute: //host/path and /path and path forms."""
     root = F.concat(scheme(base), F.lit("://"), netloc(base))

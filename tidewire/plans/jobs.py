@@ -11,6 +11,7 @@ from tidewire.functions import text as X
 from tidewire.functions import urls as U
 from tidewire.operators import classify as C
 from tidewire.operators import crawl, dedup, index, parse
+from tidewire.shared import stash
 from tidewire.sources import warc
 
 
@@ -25,28 +26,87 @@ def check_stage(df: DataFrame, cfg: Config, url: str = "url") -> DataFrame:
     return C.disposed(df, U.check_url(F.col(url), cfg.excluded_domains), passed="checked")
 
 
-def parse_stage(df: DataFrame, cfg: Config, batch_ts: Column) -> DataFrame:
-    """From (url, html, raw_encoding, http_encoding) to content, in order of the contract."""
+def parse_stage(df: DataFrame, cfg: Config, batch_ts: Column, need_url: bool = False) -> DataFrame:
+    """From (url, html, raw_encoding, http_encoding) to content, in order of the contract. need_url: the page
+    itself is to tell the URL, which then takes the place of the mark."""
     df = carry_on(df, parse.decode_html)
     df = carry_on(df, lambda x: parse.extract_content(x, batch_ts, cfg.public_suffixes, least=cfg.min_text_chars))
-    return carry_on(df, C.gate_parsed)
+    if not need_url:
+        return carry_on(df, C.gate_parsed)
+    df = carry_on(df, C.gate_parsed, need_url=True, sentinel=cfg.need_canonical_url, excluded=cfg.excluded_domains)
+    return carry_on(df, C.adopt_canonical_url, cfg.need_canonical_url, cfg.excluded_domains, cfg.public_suffixes)
 
 
 def index_stage(df: DataFrame, known: DataFrame, cfg: Config, batch_ts: Column, order: str) -> DataFrame:
-    """Dates, truncation and create-only dispositions of passing rows; the document's fields in place."""
+    """Gates, dates, truncation and create-only dispositions of passing rows; the document's fields in place.
 
-    def documents(x: DataFrame) -> DataFrame:
+    Rows without data, URL or text go to quarantine; a feed's date that can't be read is tried again (retry);
+    long texts are cut from their composed normal form; the rest is created, or a duplicate.
+    """
+
+    def dated(x: DataFrame) -> DataFrame:
         if "pub_date" not in x.columns:
             x = x.withColumn("pub_date", F.lit(None).cast("string"))
         x = index.resolve_pub_date(x)
+        again = F.col("pub_date_status") == "retry"
+        return C.disposed(x, F.when(again, "bad-pub-date"), passed="dated", retry=again)
+
+    def documents(x: DataFrame) -> DataFrame:
         x = x.withColumn("indexed_date", index.resolve_indexed_date(F.col("parsed_date"), batch_ts))
         for name in ("text_content", "article_title"):
-            x = x.withColumn(name, X.truncate_utf8(F.col(name), cfg.max_field_bytes))
+            x = X.with_normal_form(x, name, cfg.max_field_bytes, "__nfc")
+            x = x.withColumn(name, X.truncate_utf8(F.col(name), cfg.max_field_bytes, F.col("__nfc"))).drop("__nfc")
         x = x.withColumn("doc_id", U.doc_id(F.col("url")))
         x = index.create_only(x, known, [order])
         return x.withColumn("action", F.when(F.col("disposition") == "created", "pass").otherwise("discard"))
 
-    return carry_on(df, documents)
+    return carry_on(carry_on(carry_on(df, C.gate_index), dated), documents)
+
+
+def _fields(df: DataFrame, spec: str, **names: str) -> Column:
+    """A part of a story from columns of the same names (or the given ones), null where there is none."""
+    out = []
+    for name, kind in (f.rsplit(" ", 1) for f in spec.split(", ")):
+        source = names.get(name, name)
+        out.append((F.col(source) if source in df.columns else F.lit(None)).cast(kind).alias(name))
+    return F.struct(*out)
+
+
+def to_stories(df: DataFrame) -> DataFrame:
+    """The four parts of a story from the flat columns of a job."""
+    return df.select(
+        _fields(df, schema.RSS_ENTRY).alias("rss_entry"),
+        _fields(df, schema.RAW_HTML, encoding="raw_encoding").alias("raw_html"),
+        _fields(df, schema.HTTP_METADATA, final_url="url", encoding="http_encoding", response_code="status" if "status" in df.columns else "response_code").alias("http_metadata"),
+        _fields(df, schema.CONTENT_METADATA).alias("content_metadata"),
+    )
+
+
+def archive_created(out: DataFrame, archive: str | None, batch_ts: Column, cfg: Config) -> DataFrame:
+    """The dispositions of a job, as a written table, and its created stories in archives below `archive`;
+    without a path nothing is written and the dispositions stay a plan."""
+    if archive is None:
+        return out
+    out = stash(out)
+    archive_stories(to_stories(out.where("disposition = 'created'")), archive, batch_ts, cfg)
+    return out
+
+
+def captured_job(queued: DataFrame, responses: DataFrame, known: DataFrame, cfg: Config, batch_ts: Column, order: str, archive: str | None = None) -> DataFrame:
+    """Queued rows (url, disposition, action) with captured responses (url, status, body, …) through fetch
+    results, parsing and the index into archives."""
+    held = responses.withColumnRenamed("url", "__url")
+    fetched = carry_on(queued, lambda x: C.classify_fetch(x.join(held, x["url"] == held["__url"], "left").drop("__url"), cfg.max_html_bytes))
+    fetched = fetched.withColumn("html", F.col("body")).withColumns({"raw_encoding": F.col("encoding"), "http_encoding": F.lit(None).cast("string")}).drop("encoding", "body")
+    return archive_created(index_stage(parse_stage(fetched, cfg, batch_ts), known, cfg, batch_ts, order), archive, batch_ts, cfg)
+
+
+def crawl_feed_job(entries: DataFrame, responses: DataFrame, known: DataFrame, cfg: Config, batch_ts: Column, order: str = "link", archive: str | None = None) -> DataFrame:
+    """Entries of feed files and feed rows (link, pub_date, …, disposition), as their readers give them, with
+    captured responses, to the index and archives: every entry has exactly one disposition."""
+    queued = entries.withColumn("url", F.col("link")).withColumn("action", F.when(F.col("disposition") == "queuing", "pass").otherwise("discard"))
+    queued = carry_on(queued, lambda x: check_stage(x, cfg))
+    return captured_job(queued, responses, known, cfg, batch_ts, order, archive)
 
 
 def feed_job(stories: DataFrame, known: DataFrame, cfg: Config, batch_ts: Column, order: str) -> DataFrame:
@@ -54,25 +114,42 @@ def feed_job(stories: DataFrame, known: DataFrame, cfg: Config, batch_ts: Column
     return index_stage(parse_stage(check_stage(stories, cfg), cfg, batch_ts), known, cfg, batch_ts, order)
 
 
-def history_job(rows: DataFrame, objects: DataFrame, known: DataFrame, cfg: Config, batch_ts: Column) -> DataFrame:
-    """Rows of historical files (file, pos, url, dlid, fetch_timestamp) with the bodies of their objects."""
-    queued = dedup.dedup_urls_history(rows, cfg.excluded_domains)
-    fetched = carry_on(queued, lambda x: dedup.fetch_objects(x.withColumn("key", F.col("dlid").try_cast("bigint")), objects, most=cfg.max_html_bytes))
+def history_job(
+    rows: DataFrame, objects: DataFrame, known: DataFrame, cfg: Config, batch_ts: Column, versions: DataFrame | None = None,
+    overlap: tuple[int, int] = (0, -1), archive: str | None = None, need_url: bool = False,
+) -> DataFrame:
+    """Rows of historical files (file, pos, url, dlid, fetch_timestamp) with the bodies of their objects (key,
+    body, modified_at).
+
+    versions (key, version_id, listed, last_modified): rows whose key lies in `overlap` take the first
+    version of their epoch, by their collect_date; objects then have a version_id, null for the only one.
+    need_url: rows have the mark for a URL, which the page tells; they are not sifted by URL.
+    """
+    if need_url:
+        digits = F.coalesce(F.col("dlid").rlike("^[0-9]+$"), F.lit(False))
+        queued = C.disposed(rows, F.when(~digits, "bad-dlid"), passed="queuing")
+    else:
+        queued = dedup.dedup_urls_history(rows, cfg.excluded_domains)
+    queued = queued.withColumn("key", F.col("dlid").try_cast("bigint"))
+    one = F.col("key").cast("string")
+    if versions is not None:
+        queued = carry_on(queued, lambda x: dedup.pick_object_version(x, versions, cfg.epochs, overlap, ["listed"]))
+        one = F.concat_ws("@", one, F.col("version_id").cast("string"))
+        objects = objects.withColumn("object", F.concat_ws("@", F.col("key").cast("string"), F.col("version_id").cast("string")))
+    else:
+        objects = objects.withColumn("object", F.col("key").cast("string"))
+    fetched = carry_on(queued.withColumn("object", one), lambda x: dedup.fetch_objects(x, objects, "object", cfg.max_html_bytes))
     none = F.lit(None).cast("string")
-    fetched = fetched.withColumn("html", F.col("body")).drop("body").withColumns({"raw_encoding": none, "http_encoding": none})
-    return index_stage(parse_stage(fetched, cfg, batch_ts), known, cfg, batch_ts, "pos")
+    fetched = fetched.withColumn("html", F.col("body")).drop("body", "object").withColumns({"raw_encoding": none, "http_encoding": none})
+    return archive_created(index_stage(parse_stage(fetched, cfg, batch_ts, need_url), known, cfg, batch_ts, "pos"), archive, batch_ts, cfg)
 
 
-def url_list_job(rows: DataFrame, responses: DataFrame, known: DataFrame, cfg: Config, batch_ts: Column) -> DataFrame:
+def url_list_job(rows: DataFrame, responses: DataFrame, known: DataFrame, cfg: Config, batch_ts: Column, archive: str | None = None) -> DataFrame:
     """Rows of URL files (file, pos, url) with captured responses (url, status, body, …)."""
-    queued = dedup.dedup_urls_csv(rows, cfg.excluded_domains)
-    held = responses.withColumnRenamed("url", "__url")
-    fetched = carry_on(queued, lambda x: C.classify_fetch(x.join(held, x["url"] == held["__url"], "left").drop("__url"), cfg.max_html_bytes))
-    fetched = fetched.withColumn("html", F.col("body")).withColumns({"raw_encoding": F.col("encoding"), "http_encoding": F.lit(None).cast("string")}).drop("encoding", "body")
-    return index_stage(parse_stage(fetched, cfg, batch_ts), known, cfg, batch_ts, "pos")
+    return captured_job(dedup.dedup_urls_csv(rows, cfg.excluded_domains), responses, known, cfg, batch_ts, "pos", archive)
 
 
-def batch_feed_job(rows: DataFrame, responses: DataFrame, known: DataFrame, cfg: Config, batch_ts: Column, batches: int = 20) -> DataFrame:
+def batch_feed_job(rows: DataFrame, responses: DataFrame, known: DataFrame, cfg: Config, batch_ts: Column, batches: int = 20, archive: str | None = None) -> DataFrame:
     """Feed rows (pos, url, domain) packed into batches by domain, then as url_list_job, by the older tests."""
     packed = crawl.attach_batch(rows, crawl.pack_domains(rows, batches))
     held = responses.withColumnRenamed("url", "__url")
@@ -80,7 +157,7 @@ def batch_feed_job(rows: DataFrame, responses: DataFrame, known: DataFrame, cfg:
     joined = joined.withColumn("size", F.octet_length("body"))
     fetched = C.classify_fetch_batch(joined, cfg.excluded_domains, cfg.max_html_bytes)
     fetched = fetched.withColumn("html", F.col("body")).withColumns({"raw_encoding": F.col("encoding"), "http_encoding": F.lit(None).cast("string")}).drop("encoding", "body")
-    return index_stage(parse_stage(fetched, cfg, batch_ts), known, cfg, batch_ts, "pos")
+    return archive_created(index_stage(parse_stage(fetched, cfg, batch_ts), known, cfg, batch_ts, "pos"), archive, batch_ts, cfg)
 
 
 def archive_stories(stories: DataFrame, path: str, batch_ts: Column, cfg: Config) -> DataFrame:

@@ -39,10 +39,9 @@ def o27_classify_redirects(spark, sf_dir):
 def o28_redirects_registered(spark, sf_dir):
     p, k = read_table(spark, sf_dir, "pages"), F.col("page_id") % 4
     target = F.when(k == 0, F.concat(F.lit("//"), U.netloc(F.col("url")), F.lit("/moved"))).when(k == 1, F.lit("/top")).when(k == 2, F.lit("next")).otherwise(F.col("url"))
-    rows = p.withColumn("target", U.resolve(F.col("url"), target)).withColumn("registered", U.registered_domain(U.host(F.col("target")), SUFFIXES))
     listed = spark.createDataFrame([(d,) for d in FIXTURE.excluded_domains], "registered string")
-    dropped = rows.join(listed.withColumn("dropped", F.lit(True)), "registered", "left")
-    return dropped.select("page_id", "target", "registered", F.coalesce("dropped", F.lit(False)).alias("dropped"))
+    rows = p.withColumns({"location": target, "status": F.lit(301)})
+    return U.classify_redirects_registered(rows, listed, SUFFIXES).select("page_id", "target", "registered", "dropped")
 
 
 def o44_url_functions(spark, sf_dir):

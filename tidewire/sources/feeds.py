@@ -53,8 +53,9 @@ def iso_to_rfc(stamp: Column) -> Column:
 
 
 def read_feed_entries(entries: DataFrame, last: int, count: int, host: str, excluded: Sequence[str] = ()) -> DataFrame:
-    """The next `count` feed rows behind id `last`, as rss_entry fields with their disposition."""
-    rows = entries.where(F.col("id") > last).orderBy("id").limit(count)
+    """The next `count` feed rows behind id `last`, as rss_entry fields with their disposition. Rows without
+    an id come last, as bad-id."""
+    rows = entries.where(F.col("id").isNull() | (F.col("id") > last)).orderBy(F.col("id").asc_nulls_last()).limit(count)
     status = F.when(F.col("id").isNull(), "bad-id").when(F.col("url").isNull(), "no-url").otherwise(U.check_url(F.col("url"), excluded))
     return rows.select(
         "id", F.col("url").alias("link"), "title", "domain", iso_to_rfc(F.col("published_at")).alias("pub_date"), F.col("feed_url").alias("source_url"),
@@ -66,7 +67,7 @@ def read_feed_entries(entries: DataFrame, last: int, count: int, host: str, excl
 HISTORY = "collect_date string, stories_id string, media_id string, downloads_id string, feeds_id string, language string, url string"
 
 
-def read_history_csv(spark: SparkSession, paths: str | Sequence[str], schema: str = HISTORY, require_url: bool = True) -> DataFrame:
+def read_history_csv(spark: SparkSession, paths: str | Sequence[str], schema: str = HISTORY, require_url: bool = True, mark: str = NEED_CANONICAL_URL) -> DataFrame:
     """Rows of historical CSV files: link is the download's id, final_url the URL or, if none is asked for,
     the mark that the page is to tell it."""
     rows = spark.read.csv(paths, schema=schema, header=True).select("*", F.col("_metadata.file_name").alias("file"))
@@ -74,7 +75,7 @@ def read_history_csv(spark: SparkSession, paths: str | Sequence[str], schema: st
     return rows.select(
         "file", F.col("downloads_id").alias("link"), optional_int(F.col("feeds_id")).alias("source_feed_id"), optional_int(F.col("media_id")).alias("source_source_id"),
         stamp.alias("fetch_timestamp"), (F.col("language") if "language" in rows.columns else F.lit(None).cast("string")).alias("language"),
-        (F.col("url") if require_url else F.lit(NEED_CANONICAL_URL)).alias("final_url"),
+        (F.col("url") if require_url else F.lit(mark)).alias("final_url"),
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import io
 import json
 from collections.abc import Iterator
 
@@ -11,6 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PARTS = ("rss_entry", "http_metadata", "content_metadata")
+
+from tidewire.shared import stash
+
 END = b"\r\n\r\n"
 MANY = 5_000
 
@@ -74,12 +78,14 @@ def to_records(stories: DataFrame, now: Column, software: str = "tidewire") -> D
 def write_warc(stories: DataFrame, path: str, now: Column, prefix: str = "archive", max_rows: int = MANY, raise_errors: bool = True) -> DataFrame:
     """Write the stories that can be archived below path, one folder per archive, gzipped; gives
     (archive, stories, bytes) of what was written. The text sink's line end closes each story's records."""
-    bad = to_records(stories.withColumns({"archive_row": F.lit(1), "archive": F.lit("")}), now).where("record is null")
-    if raise_errors and (first := bad.select("disposition").first()):
+    # stories are judged and laid out once, in a written table: their numbers are those of all that follows
+    no_row = {"archive_row": F.lit(1), "archive": F.lit("")}
+    if raise_errors and (first := to_records(stories.withColumns(no_row), now).where("record is null").select("disposition").first()):
         raise ValueError(first["disposition"])
-    good = to_records(stories.withColumns({"archive_row": F.lit(1), "archive": F.lit("")}), now).where("record is not null").drop("record", "archive", "archive_row", "disposition")
-    laid = to_records(archive_layout(good, now, prefix, rows=max_rows), now)
-    lines = laid.select(F.col("record").cast("string").alias("value"), "archive")
+    parts = [c for c in stories.columns if c in ("rss_entry", "raw_html", "http_metadata", "content_metadata")]
+    good = stories.select(*parts).where(target_uri().isNotNull() & (F.coalesce(F.octet_length("raw_html.html"), F.lit(0)) > 0))
+    laid = stash(archive_layout(good, now, prefix, rows=max_rows))
+    lines = to_records(laid, now).select(F.col("record").cast("string").alias("value"), "archive")
     lines.write.option("lineSep", "\r\n").option("compression", "gzip").partitionBy("archive").text(path)
     files = stories.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz").load(path).select("path", "length")
     sizes = files.select(F.regexp_extract("path", r"archive=([^/]+)/", 1).alias("archive"), "length").groupBy("archive").agg(F.sum("length").alias("bytes"))
@@ -87,15 +93,19 @@ def write_warc(stories: DataFrame, path: str, now: Column, prefix: str = "archiv
 
 
 def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers in lower case, body) of each record of an archive."""
-    at = 0
-    while (at := data.find(b"WARC/1.", at)) >= 0:
-        split = data.index(END, at)
-        head = dict(line.split(": ", 1) for line in data[at:split].decode("utf-8", "replace").split("\r\n")[1:] if ": " in line)
-        head = {k.lower(): v for k, v in head.items()}
-        size = int(head.get("content-length", 0))
-        yield head, data[split + 4 : split + 4 + size]
-        at = split + 4 + size
+    """(headers in lower case, body) of each record of an archive, gzipped (in one stream or a stream for each
+    record) or plain. Records are read one by one: no more than one is held beside the archive as it is."""
+    raw = io.BytesIO(data)
+    stream = io.BufferedReader(gzip.GzipFile(fileobj=raw)) if data[:2] == b"\x1f\x8b" else raw
+    while line := stream.readline():
+        if not line.startswith(b"WARC/1."):
+            continue
+        head = {}
+        while (line := stream.readline()).strip():
+            name, colon, value = line.decode("utf-8", "replace").rstrip("\r\n").partition(": ")
+            if colon:
+                head[name.lower()] = value
+        yield head, stream.read(int(head.get("content-length", 0)))
 
 
 STORY = "file string, target_uri string, warc_date string, html binary, metadata string"
@@ -104,7 +114,7 @@ STORY = "file string, target_uri string, warc_date string, html binary, metadata
 def _stories(name: str, data: bytes) -> Iterator[tuple]:
     """Responses with the metadata record behind that refers to them."""
     held = None
-    for head, body in records(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
+    for head, body in records(data):
         if head.get("warc-type") == "response":
             held = head, body.split(END, 1)[-1]
         elif head.get("warc-type") == "metadata" and held and head.get("warc-refers-to") == held[0].get("warc-record-id"):
@@ -149,7 +159,7 @@ def pair_records(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             for name, data in zip(batch["path"].to_pylist(), batch["content"].to_pylist()):
-                heads = [h for h, _ in records(gzip.decompress(data))]
+                heads = [h for h, _ in records(data)]
                 arrays = [pa.array([name] * len(heads))] + [pa.array([h.get(k) for h in heads], pa.string()) for k in ("warc-type", "warc-record-id", "warc-refers-to")]
                 yield pa.RecordBatch.from_arrays(arrays, names=["file", "kind", "id", "refers_to"])
 
