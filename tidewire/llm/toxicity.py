@@ -40,6 +40,19 @@ PATTERNS = (
     ("addressing", re.compile(r"(?i)\byou(?:'re| are| all)?\s+(?:an?\s+)?\w+!")),
     ("masked_word", re.compile(r"\b\w[*@#$%]{2,}\w*")),
 )
+#: Signs of which a text must hold one for a pattern to be in it.
+NEEDS = {"exclaiming": "!", "addressing": "!", "masked_word": "*@#$%"}
+
+
+def shown_patterns(text: str, numbers=range(len(PATTERNS))) -> list[int]:
+    """Those of the patterns (by number) that a text shows."""
+    out = []
+    for k in numbers:
+        name, pattern = PATTERNS[k]
+        needs = NEEDS.get(name)
+        if (needs is None or any(sign in text for sign in needs)) and pattern.search(text):
+            out.append(k)
+    return out
 
 
 def decode(text: bytes | None) -> str:
@@ -252,8 +265,8 @@ class ToxicityModel:
 
     def patterns(self):
         """The patterns that a text shows, as features behind the entries."""
-        n, weighed = len(self.entries), [(k, p) for k, (_, p) in enumerate(PATTERNS) if self.weights[len(self.entries) + k] != 0]
-        return lambda text: [n + k for k, p in weighed if p.search(text)]
+        n, weighed = len(self.entries), [k for k in range(len(PATTERNS)) if self.weights[len(self.entries) + k] != 0]
+        return lambda text: [n + k for k in shown_patterns(text, weighed)]
 
 
 def fit(train: DataFrame, unlabelled: DataFrame | None = None) -> ToxicityModel:
@@ -278,7 +291,7 @@ def fit(train: DataFrame, unlabelled: DataFrame | None = None) -> ToxicityModel:
             for raw in batch["text"].to_pylist():
                 text = decode(raw)
                 hit = sorted(match(text))
-                shown = [k for k, (_, p) in enumerate(PATTERNS) if p.search(text)]
+                shown = shown_patterns(text)
                 rows.append(hit + [len(entries) + k for k in shown])
                 votes.append(sorted({*voters[hit].tolist(), *(LEXICONS + k for k in shown)}))
             arrays = [pa.array(rows, pa.list_(pa.int32())), pa.array(votes, pa.list_(pa.int32())), batch["weight"]]
