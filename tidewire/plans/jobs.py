@@ -160,8 +160,9 @@ def batch_feed_job(rows: DataFrame, responses: DataFrame, known: DataFrame, cfg:
     return archive_created(index_stage(parse_stage(fetched, cfg, batch_ts), known, cfg, batch_ts, "pos"), archive, batch_ts, cfg)
 
 
-def archive_stories(stories: DataFrame, path: str, batch_ts: Column, cfg: Config) -> DataFrame:
-    return warc.write_warc(stories, path, batch_ts, max_rows=cfg.archive_rows, raise_errors=False)
+def archive_stories(stories: DataFrame, path: str, batch_ts: Column, cfg: Config, mode: str = "error") -> DataFrame:
+    """Stories to archives of archive_rows stories at most; those that can't be archived are left out."""
+    return warc.write_warc(stories, path, batch_ts, max_rows=cfg.archive_rows, raise_errors=False, mode=mode)
 
 
 def archive_replay(spark: SparkSession, path: str, known: DataFrame, cfg: Config, batch_ts: Column) -> DataFrame:

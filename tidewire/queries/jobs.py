@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from tidewire import schema
 from tidewire.config import FIXTURE
+from tidewire.functions import urls as U
 from tidewire.operators import crumbs as B
 from tidewire.plans import jobs as J
 from tidewire.queries.base import INDEX_DOCS, index_docs, stories
 from tidewire.queries.crumbs import LINES, messages
 from tidewire.queries.dedup import file_rows
 from tidewire.queries.sources import archived, now
+from tidewire.sources import feeds, warc
 from tidewire.shared import new_path, read_table
 from tidewire.streaming import jobs as S
 
@@ -144,11 +146,67 @@ def o98_stream_pipeline(spark, sf_dir):
     return B.disposition_counts(spark.read.parquet(path), F.lit("stream"))
 
 
+def o94_stream_archives(spark, sf_dir):
+    """Micro-batches of stories to archives, read back: each story is in one archive."""
+    path = new_path(spark)
+
+    def write(batch, to):
+        rows = batch.select("url", F.encode("html", "UTF-8").alias("html"), F.lit("utf-8").alias("raw_encoding"), F.lit(1.7e9).alias("fetch_timestamp"))
+        J.archive_stories(J.to_stories(rows), to, now(), FIXTURE, mode="overwrite")
+
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    S.micro_batch_archive(json_stream(spark, pages, 3, "page_id"), path, new_path(spark), write, S.ALL).awaitTermination()
+    back = warc.read_warc(spark, path, schema.PARTS)
+    return back.select(F.col("http_metadata.final_url").alias("url"), F.md5("raw_html.html").alias("digest"))
+
+
+def o90_feed_cursor(spark, sf_dir):
+    """Pulls of feed rows that go on where the last one ended; a dry run moves nothing."""
+    e, state = read_table(spark, sf_dir, "events"), new_path(spark)
+    entries = e.select(F.col("event_id").alias("id"), F.concat(F.lit("http://u.example.com/"), F.col("event_id").cast("string")).alias("url"), *[F.lit(None).cast("string").alias(c) for c in ("title", "domain", "published_at", "feed_url")], F.col("user_id").alias("feed_id"), F.col("user_id").alias("sources_id"))
+    out = None
+    for pull, (count, dry) in enumerate(((100, False), (70, True), (70, False), (1_000_000, False))):
+        rows = feeds.resume_entries(spark, entries, state, count, "api", dry_run=dry)
+        rows = rows.agg(F.lit(pull).alias("pull"), F.count("*").alias("entries"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def o98_stream_to_index(spark, sf_dir):
+    """Captured stories through check, parse, import and archive in micro-batches: the documents made."""
+    rows, path = captured(spark, sf_dir).withColumn("html", F.col("html").cast("string")), new_path(spark)
+
+    def stages(batch, known):
+        return J.feed_job(batch.withColumn("html", F.encode("html", "UTF-8")), known, FIXTURE, now(), "page_id")
+
+    def archive(created, to):
+        J.archive_stories(J.to_stories(created), to, now(), FIXTURE, mode="overwrite")
+
+    S.stream_to_index(json_stream(spark, rows, 3, "page_id", 2), stages, path, no_index(spark), new_path(spark), archive).awaitTermination()
+    made = spark.read.parquet(f"{path}/rows").where("disposition = 'created'")
+    back = warc.read_warc(spark, f"{path}/archives", schema.PARTS).select(U.doc_id(F.col("content_metadata.url")).alias("doc_id"))
+    both = made.select("doc_id").join(back.withColumn("archived", F.lit(1)), "doc_id", "full")
+    return both.agg(F.count("*").alias("documents"), F.countDistinct("doc_id").alias("distinct_ids"), F.sum("archived").alias("archived"))
+
+
+def j1_feed_to_archive(spark, sf_dir):
+    """Feed rows with captured responses to the index and archives; dispositions by what was planted."""
+    p, k = read_table(spark, sf_dir, "pages"), F.col("page_id") % 10
+    url = F.concat(F.lit("http://site.example.com/"), F.col("page_id").cast("string"))
+    good = F.lit("Sun, 30 Apr 2023 23:08:47 -0000")
+    body = F.concat(F.lit("<html><head><title>t</title></head><body><p>"), F.repeat(F.lit("words of a story that is long enough. "), 20), F.col("page_id").cast("string"), F.lit("</p></body></html>"))
+    entries = p.select(F.col("page_id").alias("pos"), F.when(k != 0, url).alias("link"), F.when(k == 3, F.lit("yesterday")).otherwise(good).alias("pub_date"), F.when(k == 0, "bad").otherwise("queuing").alias("disposition"))
+    held = p.where(k != 0).select(url.alias("url"), F.when(k == 1, 404).when(k == 2, 503).otherwise(200).alias("status"), F.when(k == 4, F.lit("image/png")).otherwise(F.lit("text/html")).alias("content_type"), F.lit(None).cast("string").alias("encoding"), F.encode(F.when(k == 5, F.lit("")).otherwise(body), "UTF-8").alias("body"), F.lit(None).cast("string").alias("error_class"))
+    out = J.crawl_feed_job(entries, held, no_index(spark), FIXTURE, now(), "pos", new_path(spark))
+    return out.select("pos", "disposition", "action")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         j1_flagship, j1_dispositions, o100_stage_protocol, j2_history, j3_archive_replay, j4_url_list, j5_batch_feed, j6_dump_reload,
-        o95_stream_dedup_index, o97_crumb_stream, o94_micro_batch_archive, o90_cursor_resume, o98_stream_pipeline,
+        o95_stream_dedup_index, o97_crumb_stream, o94_micro_batch_archive, o90_cursor_resume, o98_stream_pipeline, o94_stream_archives, o90_feed_cursor,
+        o98_stream_to_index, j1_feed_to_archive,
     )
 }
 
@@ -157,5 +215,11 @@ ORACLES = {
     "o95_stream_dedup_index": f"WITH {INDEX_DOCS} SELECT DISTINCT doc_id FROM docs WHERE seq % 2 = 1 AND doc_id NOT IN (SELECT doc_id FROM docs WHERE seq % 2 = 0)",
     "o97_crumb_stream": f"WITH {LINES} SELECT status, feed_id, sum(c)::BIGINT AS total FROM rows WHERE kind = 'crumb' GROUP BY status, feed_id",
     "o94_micro_batch_archive": "SELECT source, count(*)::BIGINT AS stories FROM documents GROUP BY source",
+    "o94_stream_archives": "SELECT url, md5(encode(html)) AS digest FROM pages",
+    "o90_feed_cursor": """WITH e AS (SELECT event_id AS id, row_number() OVER (ORDER BY event_id) AS r FROM events WHERE event_id > 0),
+ p AS (SELECT * FROM (VALUES (0, 0, 100), (1, 100, 70), (2, 100, 70), (3, 170, 1000000)) t(pull, skip, n))
+SELECT pull::INTEGER AS pull, count(id) AS entries, min(id) AS first_id, max(id) AS last_id FROM p LEFT JOIN e ON r > skip AND r <= skip + n GROUP BY pull""",
+    "j1_feed_to_archive": """SELECT page_id AS pos, CASE page_id % 10 WHEN 0 THEN 'bad' WHEN 1 THEN 'http-404' WHEN 2 THEN 'http-5xx' WHEN 3 THEN 'bad-pub-date' WHEN 4 THEN 'not-text' WHEN 5 THEN 'no-html' ELSE 'created' END AS disposition,
+ CASE WHEN page_id % 10 IN (2, 3) THEN 'retry' WHEN page_id % 10 IN (0, 1, 4, 5) THEN 'discard' ELSE 'pass' END AS action FROM pages""",
     "o90_cursor_resume": "SELECT event_type, count(*)::BIGINT AS events FROM events GROUP BY 1",
 }

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.config import NEED_CANONICAL_URL
 from tidewire.functions import urls as U
+from tidewire.shared import stash
 
 ITEM = "link string, title string, domain string, pubDate string, source struct<_VALUE:string,_url:string,_mcFeedId:string,_mcSourceId:string>"
 
@@ -64,6 +66,23 @@ def read_feed_entries(entries: DataFrame, last: int, count: int, host: str, excl
     )
 
 
+def resume_entries(spark: SparkSession, entries: DataFrame, state: str, count: int, host: str, excluded: Sequence[str] = (), dry_run: bool = False) -> DataFrame:
+    """The next `count` feed rows behind the id where the last pull ended, from a table of such ids at `state`;
+    its first pull starts behind 0. A dry run leaves the table as it is. The rows are a written table, so that
+    they are those whose last id is kept; rows without an id come again with each pull."""
+    try:
+        last = spark.read.schema("last bigint").parquet(state).agg(F.max("last")).first()[0] or 0
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        last = 0
+    rows = stash(read_feed_entries(entries, last, count, host, excluded))
+    end = rows.agg(F.max("id").alias("last")).where("last is not null")
+    if not dry_run:
+        end.coalesce(1).write.mode("append").parquet(state)
+    return rows
+
+
 HISTORY = "collect_date string, stories_id string, media_id string, downloads_id string, feeds_id string, language string, url string"
 
 

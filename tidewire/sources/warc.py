@@ -75,7 +75,7 @@ def to_records(stories: DataFrame, now: Column, software: str = "tidewire") -> D
     return stories.withColumns({"disposition": F.coalesce(bad, F.lit("archived")), "record": F.when(bad.isNull(), F.concat(first, response, F.lit(END), metadata, F.lit(b"\r\n")))})
 
 
-def write_warc(stories: DataFrame, path: str, now: Column, prefix: str = "archive", max_rows: int = MANY, raise_errors: bool = True) -> DataFrame:
+def write_warc(stories: DataFrame, path: str, now: Column, prefix: str = "archive", max_rows: int = MANY, raise_errors: bool = True, mode: str = "error") -> DataFrame:
     """Write the stories that can be archived below path, one folder per archive, gzipped; gives
     (archive, stories, bytes) of what was written. The text sink's line end closes each story's records."""
     # stories are judged and laid out once, in a written table: their numbers are those of all that follows
@@ -86,7 +86,7 @@ def write_warc(stories: DataFrame, path: str, now: Column, prefix: str = "archiv
     good = stories.select(*parts).where(target_uri().isNotNull() & (F.coalesce(F.octet_length("raw_html.html"), F.lit(0)) > 0))
     laid = stash(archive_layout(good, now, prefix, rows=max_rows))
     lines = to_records(laid, now).select(F.col("record").cast("string").alias("value"), "archive")
-    lines.write.option("lineSep", "\r\n").option("compression", "gzip").partitionBy("archive").text(path)
+    lines.write.mode(mode).option("lineSep", "\r\n").option("compression", "gzip").partitionBy("archive").text(path)
     files = stories.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz").load(path).select("path", "length")
     sizes = files.select(F.regexp_extract("path", r"archive=([^/]+)/", 1).alias("archive"), "length").groupBy("archive").agg(F.sum("length").alias("bytes"))
     return layout_counts(laid).select("archive", "stories").join(sizes, "archive", "left").withColumn("status", F.lit("written"))

@@ -3,8 +3,9 @@ trigger says otherwise."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,23 +32,50 @@ def _batch_path(path: str, number: int) -> str:
     return f"{path}/batch={number}"
 
 
+def earlier_batches(spark: SparkSession, path: str, schema, number: int, columns: Sequence[str]) -> DataFrame | None:
+    """Columns of what batches before this one have written; None if there is nothing yet."""
+    try:
+        rows = spark.read.schema(schema).option("basePath", path).parquet(path).where(F.col("_metadata.file_path").rlike(r"/batch=\d+/"))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None
+    number_of = F.regexp_extract(F.col("_metadata.file_path"), r"/batch=(\d+)/", 1).cast("int")
+    return rows.where(number_of < number).select(*columns)
+
+
 def stream_dedup_index(stream: DataFrame, index_path: str, seed: DataFrame, checkpoint: str, order: list[str], trigger: dict | None = None):
     """Create-only writes for ever: a batch goes to its own folder of the index, so that doing it again gives
-    the same; no watermark, as duplicates are refused however late."""
+    the same; no watermark, as duplicates are refused however late. Of the index only the keys are read, and
+    of these only the ones that the batch has are made distinct and joined."""
     columns = seed.columns
 
     def step(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        known = seed.select("doc_id")
-        try:
-            older = spark.read.schema(seed.schema).option("basePath", index_path).parquet(index_path).where(F.col("_metadata.file_path").rlike(r"/batch=\d+/"))
-            number_of = F.regexp_extract(F.col("_metadata.file_path"), r"/batch=(\d+)/", 1).cast("int")
-            known = known.unionByName(older.where(number_of < number).select("doc_id"))
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        new = I.create_only(batch, known, order).where("disposition = 'created'").select(*columns)
-        new.write.mode("overwrite").parquet(_batch_path(index_path, number))
+        known, older = seed.select("doc_id"), earlier_batches(batch.sparkSession, index_path, seed.schema, number, ["doc_id"])
+        new = I.create_only(batch, known if older is None else known.unionByName(older), order)
+        new.where("disposition = 'created'").select(*columns).write.mode("overwrite").parquet(_batch_path(index_path, number))
+
+    return run_batches(stream, checkpoint, step, trigger)
+
+
+def stream_to_index(
+    stream: DataFrame, stages: Callable[[DataFrame, DataFrame], DataFrame], path: str, known: DataFrame, checkpoint: str,
+    archive: Callable[[DataFrame, str], None] | None = None, trigger: dict | None = None,
+):
+    """Stories to the index and to archives, batch by batch: stages(batch, known) gives every row its
+    disposition. Rows go to path/rows, archives of the created ones to path/archives, a folder for each
+    batch; the created rows of earlier batches are known to later ones."""
+    rows = f"{path}/rows"
+
+    def step(batch: DataFrame, number: int) -> None:
+        older = earlier_batches(batch.sparkSession, rows, "doc_id string, disposition string", number, ["doc_id", "disposition"])
+        seen = known.select("doc_id")
+        if older is not None:
+            seen = seen.unionByName(older.where("disposition = 'created'").select("doc_id"))
+        stages(batch, seen).write.mode("overwrite").parquet(_batch_path(rows, number))
+        if archive is not None:
+            done = batch.sparkSession.read.parquet(_batch_path(rows, number))
+            archive(done.where("disposition = 'created'"), _batch_path(f"{path}/archives", number))
 
     return run_batches(stream, checkpoint, step, trigger)
 
