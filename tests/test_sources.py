@@ -1,4 +1,5 @@
 import gzip
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -38,6 +39,37 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.pair_records(spark, path).count() == 7
 
 
+def test_a_gzip_member_for_each_record(spark, tmp_path):
+    stories, path = some_stories(spark), tmp_path / "w"
+    warc.write_warc(stories.repartition(2), str(path), now(), max_rows=3)
+    files = list(path.rglob("*.warc.gz"))
+    assert files and all(f.parent.relative_to(path).as_posix() == "2024/01/02" for f in files) and not (path / "_temporary").exists()
+    for f in files:
+        rest, members = f.read_bytes(), 0
+        while rest:
+            one = zlib.decompressobj(wbits=31)
+            assert one.decompress(rest).startswith(b"WARC/1.0\r\n") and one.eof
+            rest, members = one.unused_data, members + 1
+        assert members == len([*warc.records(open(f, "rb", buffering=0))])
+    with pytest.raises(FileExistsError):
+        warc.write_warc(stories, str(path), now())
+    warc.write_warc(stories.limit(2), str(path), now(), mode="overwrite")
+    assert warc.read_warc(spark, str(path), schema.PARTS).count() == 2
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    """One gzip stream over all records, a plain file, a truncated tail of blank lines, an empty archive."""
+    warc.write_warc(some_stories(spark).coalesce(1), str(tmp_path / "w"), now())
+    data = gzip.decompress(next((tmp_path / "w").rglob("*.gz")).read_bytes())
+    other = tmp_path / "o o"
+    other.mkdir()
+    (other / "one stream.gz").write_bytes(gzip.compress(data))
+    (other / "plain.gz").write_bytes(data.rstrip())
+    (other / "empty.gz").write_bytes(b"")
+    back = warc.read_warc(spark, str(other), schema.PARTS).groupBy("rss_entry.link").count().collect()
+    assert sorted(r["count"] for r in back) == [2] * 7
+
+
 def test_stories_that_cannot_be_archived(spark, tmp_path):
     bad = some_stories(spark, 2).withColumn("raw_html", F.lit(None).cast(f"struct<{schema.RAW_HTML}>"))
     with pytest.raises(ValueError, match="no-html"):

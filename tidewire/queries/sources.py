@@ -18,16 +18,17 @@ def now():
 
 
 def feed_files(spark, sf_dir):
-    """A feed file for each of a few groups of pages."""
+    """Feed files of about a thousand pages each."""
     p, k = read_table(spark, sf_dir, "pages"), F.col("page_id")
     esc = F.replace(F.col("url"), F.lit("&"), F.lit("&amp;"))
     link = F.when(k % 13 == 0, F.lit("<link></link>")).otherwise(F.concat(F.lit("<link> "), esc, F.lit(" </link>")))
     source = F.concat(F.lit('<source url="http://f.example.com/" mcFeedId="'), k.cast("string"), F.lit('" mcSourceId="'), F.when(k % 3 == 0, F.lit("x")).otherwise((k % 7).cast("string")), F.lit('">f</source>'))
     item = F.concat(F.lit("<item>"), link, F.lit("<title>t"), k.cast("string"), F.lit("</title><domain></domain><pubDate>Sun, 30 Apr 2023 23:08:47 -0000</pubDate>"), source, F.lit("</item>"))
-    files = p.groupBy((k % 5).alias("n")).agg(F.array_join(F.collect_list(item), "").alias("items"))
+    buckets = p.count() // 1_000 + 5
+    files = p.groupBy((k % buckets).alias("n")).agg(F.array_join(F.collect_list(item), "").alias("items"))
     body = F.concat(F.lit("<rss><channel><lastBuildDate>Mon, 01 May 2023 00:10:00 +0000</lastBuildDate>"), "items", F.lit("</channel></rss>"))
     path = new_path(spark)
-    files.select(body.alias("value"), "n").repartition(5, "n").write.option("compression", "gzip").partitionBy("n").text(path)
+    files.select(body.alias("value"), "n").repartition("n").write.option("compression", "gzip").partitionBy("n").text(path)
     return f"{path}/*/*.gz"
 
 
@@ -73,7 +74,7 @@ def o06_url_list(spark, sf_dir):
 
 def o10_expand_inputs(spark, sf_dir):
     path, names = new_path(spark), new_path(spark)
-    read_table(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_id").repartition(1, "day").write.partitionBy("day").csv(path)
+    read_table(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_id").repartition("day").write.partitionBy("day").csv(path)
     found = inputs.expand_inputs(spark, path, pattern="*.csv")
     found.select("path").write.text(names)
     back = inputs.expand_inputs(spark, names, indirect=True)
@@ -127,6 +128,12 @@ def o16_archive_layout(spark, sf_dir):
     return warc.layout_counts(laid).select("stories", F.col("last_row").cast("bigint").alias("last_row"))
 
 
+def o16_archive_layout_all(spark, sf_dir):
+    """The layout over the table's own partitions: every row is in one archive of 3,000 rows at most."""
+    laid = warc.layout_counts(warc.archive_layout(read_table(spark, sf_dir, "events"), now(), rows=3_000))
+    return laid.agg(F.sum("stories").alias("stories"), F.sum(F.col("last_row")).cast("bigint").alias("last_rows"), F.sum((F.col("stories") > 3_000).cast("int")).alias("too_large"))
+
+
 def o64_pair_records(spark, sf_dir):
     path, _ = archived(spark, sf_dir)
     return warc.pair_records(spark, path).groupBy((F.col("response_id") == F.col("metadata_id")).alias("same")).agg(F.count("*").alias("pairs"))
@@ -161,7 +168,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         o01_daily_feed, o02_daily_feed_simple, o03_feed_entries, o04_history_csv, o05_url_csv, o06_url_list, o10_expand_inputs, o11_expand_dates, o12_pending_inputs,
-        o13_object_versions, o07_warc_round_trip, o15_o78_archive_stats, o16_archive_layout, o64_pair_records, o17_disk_round_trip, o18_write_url_list, o101_source_protocol,
+        o13_object_versions, o07_warc_round_trip, o15_o78_archive_stats, o16_archive_layout, o16_archive_layout_all, o64_pair_records, o17_disk_round_trip, o18_write_url_list, o101_source_protocol,
     )
 }
 
@@ -186,6 +193,7 @@ SELECT 'plain' AS mode, name FROM p UNION ALL SELECT 'cleanup', name FROM l WHER
     "o07_warc_round_trip": "SELECT url AS link, md5(encode(html)) AS digest, 'utf-8' AS encoding, (1.7e9 + page_id)::DOUBLE AS fetched, strftime(to_timestamp(1700000000 + page_id) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%S') AS parsed_date, page_id % 9 AS feed FROM pages",
     "o15_o78_archive_stats": "SELECT 'written' AS status, count(*)::BIGINT AS stories FROM pages",
     "o16_archive_layout": "SELECT count(*) AS stories, count(*) AS last_row FROM (SELECT (row_number() OVER (ORDER BY event_id) - 1) // 3000 AS c FROM events) GROUP BY c",
+    "o16_archive_layout_all": "SELECT count(*) AS stories, count(*) AS last_rows, 0::BIGINT AS too_large FROM events",
     "o64_pair_records": "SELECT false AS same, count(*) AS pairs FROM pages",
     "o18_write_url_list": """SELECT strftime(ts, '%Y-%m-%d') AS archive, count(*) AS urls, count(DISTINCT CASE WHEN event_id % 31 = 0 THEN 'http://localhost/x' WHEN event_id % 41 = 0 THEN 'http://[::1/' WHEN event_id % 43 = 0 THEN 'f' ELSE user_id::VARCHAR END) AS distinct_urls
 FROM events WHERE event_id % 31 = 0 OR event_id % 37 <> 0 GROUP BY 1""",

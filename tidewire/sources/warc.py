@@ -1,20 +1,27 @@
-"""Web archives: written and laid out with columns, read with a generator over records."""
+"""Web archives: records are built and laid out with columns; tasks write and read them one record at a time.
+
+Paths are local or of a scheme that pyarrow's file systems know (s3, gs, hdfs, abfs), as tasks open archives themselves.
+"""
 
 from __future__ import annotations
 
 import gzip
 import io
 import json
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterable, Iterator
+from datetime import datetime
+from typing import BinaryIO
 
 import pyarrow as pa
+from pyarrow import fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PARTS = ("rss_entry", "http_metadata", "content_metadata")
-
 from tidewire.shared import stash
 
+PARTS = ("rss_entry", "http_metadata", "content_metadata")
 END = b"\r\n\r\n"
 MANY = 5_000
 
@@ -55,9 +62,9 @@ def target_uri(df_url: str = "content_metadata.original_url") -> Column:
     return F.coalesce(*[F.nullif(F.col(n), F.lit("")) for n in names])
 
 
-def to_records(stories: DataFrame, now: Column, software: str = "tidewire") -> DataFrame:
-    """Add record: the response and metadata records of a story, with a warcinfo record in front of the first
-    of an archive; null with disposition no-url or no-html for stories that can't be archived."""
+def to_records(stories: DataFrame, now: Column) -> DataFrame:
+    """Add response and metadata: the records of a story, each with its closing blank lines; null with
+    disposition no-url or no-html for stories that can't be archived."""
     uri, html = target_uri(), F.col("raw_html.html")
     code = F.col("http_metadata.response_code")
     when = F.coalesce(F.timestamp_seconds(F.floor("http_metadata.fetch_timestamp")), now)
@@ -67,36 +74,110 @@ def to_records(stories: DataFrame, now: Column, software: str = "tidewire") -> D
     http = F.concat(_bytes(F.concat(status, F.lit("\r\nContent-Type: text/html; encoding="), encoding, F.lit("\r\n\r\n"))), html)
     own = _uuid(uri, date, F.lit("response"))
     meta = _bytes(F.to_json(F.struct(*PARTS), {"ignoreNullFields": "false"}))
-    info = _record("warcinfo", [("WARC-Date", F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss'Z'")), ("WARC-Record-ID", _uuid(F.col("archive"))), ("Content-Type", F.lit("application/warc-fields"))], _bytes(F.lit(f"software: {software}\r\nformat: WARC File Format 1.0\r\n")))
     response = _record("response", [("WARC-Target-URI", uri), ("WARC-Date", date), ("WARC-Record-ID", own), ("Content-Type", F.lit("application/http; msgtype=response"))], http)
     metadata = _record("metadata", [("WARC-Target-URI", uri), ("WARC-Refers-To", own), ("WARC-Date", date), ("WARC-Record-ID", _uuid(uri, date, F.lit("metadata"))), ("Content-Type", F.lit("application/json"))], meta)
-    first = F.when(F.col("archive_row") == 0, F.concat(info, F.lit(END))).otherwise(F.lit(b""))
     bad = F.when(uri.isNull(), "no-url").when(F.coalesce(F.octet_length(html), F.lit(0)) == 0, "no-html")
-    return stories.withColumns({"disposition": F.coalesce(bad, F.lit("archived")), "record": F.when(bad.isNull(), F.concat(first, response, F.lit(END), metadata, F.lit(b"\r\n")))})
+    ended = {name: F.when(bad.isNull(), F.concat(record, F.lit(END))) for name, record in (("response", response), ("metadata", metadata))}
+    return stories.withColumns({"disposition": F.coalesce(bad, F.lit("archived")), **ended})
+
+
+def _info(archive: str, stamp: str, software: str) -> bytes:
+    """The warcinfo record in front of an archive."""
+    body = f"software: {software}\r\nformat: WARC File Format 1.0\r\n"
+    date = datetime.strptime(stamp, STAMP).strftime("%Y-%m-%dT%H:%M:%SZ")
+    own = uuid.uuid5(uuid.NAMESPACE_URL, archive)
+    return f"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Date: {date}\r\nWARC-Record-ID: <urn:uuid:{own}>\r\nContent-Type: application/warc-fields\r\nContent-Length: {len(body)}\r\n\r\n{body}\r\n\r\n".encode()
+
+
+def storage(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path as Spark gives it, and the path within it."""
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+
+
+STAMP = "%Y%m%d%H%M%S"
+TEMPORARY = "_temporary"
+WRITTEN = "archive string, stories long, bytes long"
+
+
+def _write_archives(rows: Iterable[tuple[str, bytes, bytes]], path: str, prefix: str, host: str, most: int, software: str) -> Iterator[tuple[str, int, int]]:
+    """Write a partition's (stamp, response, metadata) as archives of `most` stories, one gzip member for each
+    record; gives (archive, stories, bytes). Names follow from the partition, and an archive is moved to its
+    place when it is whole: a task that runs again, or twice, leaves the same files."""
+    store, root = storage(path)
+    task = TaskContext.get()
+    draft = f"{root}/{TEMPORARY}/{task.taskAttemptId()}.warc.gz"
+    serial, stories, size, out, name, key = 0, 0, 0, None, "", ""
+
+    def add(record: bytes) -> int:
+        member = gzip.compress(record, mtime=0)
+        out.write(member)
+        return len(member)
+
+    def finish() -> tuple[str, int, int]:
+        out.close()
+        store.create_dir(key.rpartition("/")[0])
+        store.move(draft, f"{key}.gz")
+        return name, stories, size
+
+    for stamp, response, metadata in rows:
+        if out is None:
+            name = f"{prefix}-{stamp}-{task.partitionId()}-{serial}-{host}.warc"
+            key = f"{root}/{stamp[:4]}/{stamp[4:6]}/{stamp[6:8]}/{name}"
+            store.create_dir(f"{root}/{TEMPORARY}")
+            out, stories = store.open_output_stream(draft, compression=None), 0
+            size = add(_info(name, stamp, software))
+        size += add(response) + add(metadata)
+        stories += 1
+        if stories == most:
+            yield finish()
+            serial, out = serial + 1, None
+    if out is not None:
+        yield finish()
+
+
+def _fresh(path: str, mode: str) -> None:
+    """Make way for archives below path: `error` refuses a folder with anything in it, `overwrite` empties it."""
+    store, root = storage(path)
+    held = store.get_file_info(pafs.FileSelector(root, allow_not_found=True))
+    if mode not in ("error", "overwrite"):
+        raise ValueError(f"mode {mode}: archives are written with error or overwrite")
+    if held and mode == "error":
+        raise FileExistsError(path)
+    if held:
+        store.delete_dir_contents(root)
+
+
+def write_warc(stories: DataFrame, path: str, now: Column, prefix: str = "archive", max_rows: int = MANY, raise_errors: bool = True, mode: str = "error", host: str = "spark", software: str = "tidewire") -> DataFrame:
+    """Write the stories that can be archived below path as YYYY/MM/DD/name.warc.gz, a new archive after max_rows
+    stories of a partition; gives (archive, stories, bytes, status) of what was written, kept in a written table.
+    Stories are read once, or once more before any is written where raise_errors asks for their judgement."""
+    judged = to_records(stories, now)
+    if raise_errors and (first := judged.where("disposition <> 'archived'").select("disposition").first()):
+        raise ValueError(first["disposition"])
+    _fresh(path, mode)
+    rows = judged.where("disposition = 'archived'").select(F.date_format(now, "yyyyMMddHHmmss").alias("stamp"), "response", "metadata")
 
+    def run(batches):
+        records = (tuple(v.as_py() for v in row) for batch in batches for row in zip(*batch.columns))
+        for done in _write_archives(records, path, prefix, host, max_rows, software):
+            yield pa.RecordBatch.from_pylist([dict(zip(("archive", "stories", "bytes"), done))])
 
-def write_warc(stories: DataFrame, path: str, now: Column, prefix: str = "archive", max_rows: int = MANY, raise_errors: bool = True, mode: str = "error") -> DataFrame:
-    """Write the stories that can be archived below path, one folder per archive, gzipped; gives
-    (archive, stories, bytes) of what was written. The text sink's line end closes each story's records."""
-    # stories are judged and laid out once, in a written table: their numbers are those of all that follows
-    no_row = {"archive_row": F.lit(1), "archive": F.lit("")}
-    if raise_errors and (first := to_records(stories.withColumns(no_row), now).where("record is null").select("disposition").first()):
-        raise ValueError(first["disposition"])
-    parts = [c for c in stories.columns if c in ("rss_entry", "raw_html", "http_metadata", "content_metadata")]
-    good = stories.select(*parts).where(target_uri().isNotNull() & (F.coalesce(F.octet_length("raw_html.html"), F.lit(0)) > 0))
-    laid = stash(archive_layout(good, now, prefix, rows=max_rows))
-    lines = to_records(laid, now).select(F.col("record").cast("string").alias("value"), "archive")
-    lines.write.mode(mode).option("lineSep", "\r\n").option("compression", "gzip").partitionBy("archive").text(path)
-    files = stories.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz").load(path).select("path", "length")
-    sizes = files.select(F.regexp_extract("path", r"archive=([^/]+)/", 1).alias("archive"), "length").groupBy("archive").agg(F.sum("length").alias("bytes"))
-    return layout_counts(laid).select("archive", "stories").join(sizes, "archive", "left").withColumn("status", F.lit("written"))
+    try:
+        return stash(rows.mapInArrow(run, WRITTEN)).withColumn("status", F.lit("written"))
+    finally:
+        store, root = storage(path)
+        if store.get_file_info(f"{root}/{TEMPORARY}").type == pafs.FileType.Directory:
+            store.delete_dir(f"{root}/{TEMPORARY}")
 
 
-def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+def records(source: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers in lower case, body) of each record of an archive, gzipped (in one stream or a stream for each
-    record) or plain. Records are read one by one: no more than one is held beside the archive as it is."""
-    raw = io.BytesIO(data)
-    stream = io.BufferedReader(gzip.GzipFile(fileobj=raw)) if data[:2] == b"\x1f\x8b" else raw
+    record) or plain. No more than one record is held."""
+    stream = io.BufferedReader(source)
+    if stream.peek(2)[:2] == b"\x1f\x8b":
+        stream = io.BufferedReader(gzip.GzipFile(fileobj=stream))
     while line := stream.readline():
         if not line.startswith(b"WARC/1."):
             continue
@@ -109,12 +190,14 @@ def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 STORY = "file string, target_uri string, warc_date string, html binary, metadata string"
+HEAD = "file string, kind string, id string, refers_to string"
+BATCH_ROWS, BATCH_BYTES = 200, 16 << 20
 
 
-def _stories(name: str, data: bytes) -> Iterator[tuple]:
+def _stories(name: str, source: BinaryIO) -> Iterator[tuple]:
     """Responses with the metadata record behind that refers to them."""
     held = None
-    for head, body in records(data):
+    for head, body in records(source):
         if head.get("warc-type") == "response":
             held = head, body.split(END, 1)[-1]
         elif head.get("warc-type") == "metadata" and held and head.get("warc-refers-to") == held[0].get("warc-record-id"):
@@ -122,48 +205,51 @@ def _stories(name: str, data: bytes) -> Iterator[tuple]:
             held = None
 
 
-def read_warc(spark: SparkSession, path: str, part_schemas: dict[str, str], pattern: str = "*.gz") -> DataFrame:
-    """Stories of archives: raw_html, the parts in the metadata record by their schemas, parsed_date from the
-    metadata or the record's date; raw_html's encoding is the one of http_metadata. A task per file."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
+def _heads(name: str, source: BinaryIO) -> Iterator[tuple]:
+    for head, _ in records(source):
+        yield name, head.get("warc-type"), head.get("warc-record-id"), head.get("warc-refers-to")
+
+
+def _scan(spark: SparkSession, path: str, pattern: str, rows_of: Callable[[str, BinaryIO], Iterator[tuple]], schema: str) -> DataFrame:
+    """Rows of archives. Spark lists and shares out the files; a task reads each as a stream and hands on
+    bounded batches, whatever the size of the archive."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path).select("path")
+    kinds = [pa.binary() if c.endswith("binary") else pa.string() for c in schema.split(", ")]
+    names = [c.split(" ")[0] for c in schema.split(", ")]
+
+    def batch_of(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     def run(batches):
-        for batch in batches:
-            for name, data in zip(batch["path"].to_pylist(), batch["content"].to_pylist()):
-                out: list[tuple] = []
-                for story in _stories(name, data):
-                    out.append(story)
-                    if len(out) == 200:
-                        yield _batch(out)
-                        out = []
-                if out:
-                    yield _batch(out)
-
-    rows = files.select("path", "content").mapInArrow(run, STORY)
+        for name in (n for batch in batches for n in batch["path"].to_pylist()):
+            store, place = storage(name)
+            rows, size = [], 0
+            with store.open_input_stream(place, compression=None) as source:
+                for row in rows_of(name, source):
+                    rows.append(row)
+                    size += sum(len(v) for v in row if v is not None)
+                    if len(rows) == BATCH_ROWS or size > BATCH_BYTES:
+                        yield batch_of(rows)
+                        rows, size = [], 0
+            if rows:
+                yield batch_of(rows)
+
+    return files.mapInArrow(run, schema)
+
+
+def read_warc(spark: SparkSession, path: str, part_schemas: dict[str, str], pattern: str = "*.gz") -> DataFrame:
+    """Stories of archives: raw_html, the parts in the metadata record by their schemas, parsed_date from the
+    metadata or the record's date; raw_html's encoding is the one of http_metadata."""
     schema = ", ".join(f"{k} struct<{v}>" for k, v in part_schemas.items())
-    rows = rows.withColumn("m", F.from_json("metadata", schema))
+    rows = _scan(spark, path, pattern, _stories, STORY).withColumn("m", F.from_json("metadata", schema))
     raw = F.struct(F.col("html"), F.col("m.http_metadata.encoding").alias("encoding")).alias("raw_html")
     parsed = F.coalesce("m.content_metadata.parsed_date", F.regexp_replace("warc_date", "Z$", "")).alias("parsed_date")
     return rows.select("file", "target_uri", "warc_date", raw, *[F.col(f"m.{k}") for k in part_schemas], parsed)
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.string(), pa.string(), pa.string(), pa.binary(), pa.string())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["file", "target_uri", "warc_date", "html", "metadata"])
-
-
 def pair_records(spark: SparkSession, path: str) -> DataFrame:
     """(file, response_id, metadata_id) by a join on what a metadata record refers to."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz").load(path)
-
-    def run(batches):
-        for batch in batches:
-            for name, data in zip(batch["path"].to_pylist(), batch["content"].to_pylist()):
-                heads = [h for h, _ in records(data)]
-                arrays = [pa.array([name] * len(heads))] + [pa.array([h.get(k) for h in heads], pa.string()) for k in ("warc-type", "warc-record-id", "warc-refers-to")]
-                yield pa.RecordBatch.from_arrays(arrays, names=["file", "kind", "id", "refers_to"])
-
-    rows = files.select("path", "content").mapInArrow(run, "file string, kind string, id string, refers_to string")
+    rows = _scan(spark, path, "*.gz", _heads, HEAD)
     left = rows.where("kind = 'response'").select("file", F.col("id").alias("response_id"))
     right = rows.where("kind = 'metadata'").select("file", F.col("refers_to").alias("response_id"), F.col("id").alias("metadata_id"))
     return left.join(right, ["file", "response_id"])
