@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,17 +67,29 @@ def running_sum(
     return joined.withColumn(out, total.cast("long")).drop("__bucket", "__start")
 
 
+def parts_of(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """A batch in parts whose last column has about `most` bytes, or one longer value."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False)
+    upto, at = np.cumsum(sizes), 0
+    while at < len(sizes):
+        end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + most, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def map_texts(
     df: DataFrame,
     keep: Sequence[str | Column],
     make: Callable[[], Callable[[list], list[pa.Array]]],
     fields: Sequence[T.StructField],
     text: str = "text",
+    most: int | None = None,
 ) -> DataFrame:
     """Pass the texts through Python in Arrow batches, as UTF-8 bytes (None for null), and add `fields`.
 
     make() runs once for each task and returns what turns the texts of one batch into arrays. The columns
     of `keep` go through untouched; nothing else of df does, so columns with clashing names do no harm.
+    most: batches with more bytes of text are passed on in parts of that size, or of one longer text.
     """
     source = df.select(*keep, F.col(text).cast("binary").alias("__text"))
     schema = T.StructType([*source.schema.fields[:-1], *fields])
@@ -83,7 +97,7 @@ def map_texts(
 
     def run(batches):
         work = make()
-        for batch in batches:
+        for batch in batches if most is None else (part for b in batches for part in parts_of(b, most)):
             texts = batch.column(batch.num_columns - 1).to_pylist()
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *work(texts)], names=names)
 
