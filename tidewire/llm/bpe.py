@@ -27,7 +27,7 @@ from tidewire.llm.common import map_texts, read_table
 #: A tokenizer file that every executor has.
 WORDS = "/opt/tokenizers/word_bpe_49k.json"
 #: Bytes of text that are encoded together, and the words and bytes of words that a task remembers.
-BLOCK_BYTES, REMEMBERED, REMEMBERED_BYTES = 16 << 20, 600_000, 32 << 20
+BLOCK_BYTES, REMEMBERED, REMEMBERED_BYTES = 4 << 20, 250_000, 16 << 20
 #: Letters beyond ASCII that are composed, letters in every version of Unicode, and lower-case one by one.
 LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
 #: Words of ASCII and these letters; the others go through the tokenizer file's own normal form and split.
@@ -200,7 +200,7 @@ class Vocabulary:
         self.mark = re.compile(b"(" + b"|".join(re.escape(m) for m in sorted(self.marks, key=len, reverse=True)) + b")") if self.marks else None
         names = {i: t for t, i in model["vocab"].items()} | {m["id"]: m["content"] for m in spec["added_tokens"]}
         self.names = pa.array([names.get(i) for i in range(1 + max(names))], pa.string())
-        own = Tokenizer.from_file(path)
+        own = Tokenizer.from_str(json.dumps(spec | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": []}))
         self.normal, self.split = own.normalizer.normalize_str, own.pre_tokenizer.pre_tokenize_str
         self.letters = byte_letters()
 
@@ -291,24 +291,40 @@ class Encoder:
 IDS = T.ArrayType(T.IntegerType(), False)
 
 
-def encode(docs: DataFrame, keep: list[str | Column], text: str = "text", path: str = WORDS, out: str = "ids") -> DataFrame:
-    """The columns of `keep` with the numbers of each text's tokens, for every row of docs.
+def spell(tokens: pa.Array, ids: pa.Array, ends: np.ndarray) -> pa.Array:
+    """The texts of lists of numbers: their tokens with a blank between. What has no token is passed over."""
+    good = pc.fill_null(pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(tokens))), False)
+    taken = tokens.take(pc.if_else(good, ids, None))
+    if taken.null_count:
+        stands = taken.is_valid().to_numpy(zero_copy_only=False)
+        ends, taken = np.concatenate([[0], np.cumsum(stands)])[ends], taken.drop_null()
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), taken), " ")
 
-    Null, empty and wordless texts have no numbers (an empty array); marks written out in a text are their own
-    number; equal texts have equal numbers; long texts are encoded whole; an empty table gives no rows; columns
-    that aren't in `keep` are ignored, so clashing names do no harm. The tokenizer file lies on every executor.
+
+def encode(docs: DataFrame, keep: list[str | Column], text: str = "text", path: str = WORDS, out: str = "ids", decoded: str | None = None) -> DataFrame:
+    """The columns of `keep` with the numbers of each text's tokens, for every row of docs, and under the name
+    `decoded`, if one is given, what the numbers decode to, in the same pass.
+
+    Null, empty and wordless texts have no numbers (an empty array) and decode to the empty text; marks written
+    out in a text are their own number; equal texts have equal numbers; long texts are encoded whole; an empty
+    table gives no rows; columns that aren't in `keep` are ignored, so clashing names do no harm. The tokenizer
+    file lies on every executor.
     """
 
     def make():
-        encoder = Encoder(vocabulary(path))
+        of = vocabulary(path)
+        encoder = Encoder(of)
 
         def work(texts):
             ids, ends = encoder.encode(texts)
-            return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))]
+            numbers = pa.array(ids, pa.int32())
+            made = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), numbers)
+            return [made] if decoded is None else [made, spell(of.names, numbers, ends)]
 
         return work
 
-    return map_texts(docs, keep, make, [T.StructField(out, IDS)], text, BLOCK_BYTES)
+    fields = [T.StructField(out, IDS)] + ([] if decoded is None else [T.StructField(decoded, T.StringType())])
+    return map_texts(docs, keep, make, fields, text, BLOCK_BYTES)
 
 
 def decode(rows: DataFrame, keep: list[str | Column], ids: str = "ids", path: str = WORDS, out: str = "decoded") -> DataFrame:
@@ -325,15 +341,8 @@ def decode(rows: DataFrame, keep: list[str | Column], ids: str = "ids", path: st
         tokens = vocabulary(path).names
         for batch in batches:
             held = batch.column(batch.num_columns - 1)
-            flat = held.flatten()
-            good = pc.fill_null(pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(tokens))), False)
-            taken = tokens.take(pc.if_else(good, flat, None))
             sizes = pc.fill_null(pc.list_value_length(held), 0).to_numpy(zero_copy_only=False)
-            ends = np.concatenate([[0], np.cumsum(sizes)])
-            if taken.null_count:
-                stands = taken.is_valid().to_numpy(zero_copy_only=False)
-                ends, taken = np.concatenate([[0], np.cumsum(stands)])[ends], taken.drop_null()
-            texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), taken), " ")
+            texts = spell(tokens, held.flatten(), np.concatenate([[0], np.cumsum(sizes)]))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pc.if_else(held.is_valid(), texts, None)], names=names)
 
     return source.mapInArrow(run, schema)
@@ -342,8 +351,7 @@ def decode(rows: DataFrame, keep: list[str | Column], ids: str = "ids", path: st
 def op11_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 for every row: digests of the numbers of the whole text and
     of the text that they decode to. Null and wordless texts have no tokens and the digests of the empty text."""
-    ids = encode(read_table(spark, sf_dir, "documents"), ["doc_id"])
-    texts = decode(ids, ["doc_id", "ids"])
+    texts = encode(read_table(spark, sf_dir, "documents"), ["doc_id"], decoded="decoded")
     written = F.array_join(F.col("ids").cast("array<string>"), " ")
     return texts.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(written, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
