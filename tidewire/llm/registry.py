@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("toxicity", "rules", "decontaminate", "quality", "language", "mixing", "pii", "tokens", "sharding", "simhash", "bpe", "runs")
+MODULES = ("toxicity", "rules", "decontaminate", "quality", "language", "mixing", "pii", "tokens", "sharding", "simhash", "bpe", "runs", "alignment")
 
 
 def _all(kind: str) -> dict:
