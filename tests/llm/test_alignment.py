@@ -44,10 +44,14 @@ class Plain:
                 at += len(names[i])
             spans.append(own)
         cuts = sorted({e for _, e, _ in spans[0]} & {e for _, e, _ in spans[1]})
-        groups, last = [], 0
-        for cut in cuts:
-            groups.append("|".join(",".join(str(i) for s, e, i in own if last <= s and e <= cut) for own in spans))
-            last = cut
+        place = {cut: k for k, cut in enumerate(cuts)}
+        parts = [([], []) for _ in cuts]
+        for side, own in enumerate(spans):
+            at = 0
+            for _, e, i in own:
+                parts[at][side].append(str(i))
+                at += e in place
+        groups = ["|".join(map(",".join, p)) for p in parts]
         links = [(i, j) for s, e, i in spans[0] for t, f, j in spans[1] if s < f and t < e] if len(text or "") < 5000 else None
         return len(a), len(b), groups, links
 
@@ -68,8 +72,10 @@ def test_chunks_against_whole_texts(plain, together, monkeypatch):
     monkeypatch.setattr(A, "TOGETHER", together)
     rng = random.Random(together)
     texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(1, 25))) for _ in range(1500)] + [" ", "  ", "\n", "x▁y z", "▁", "a ▁", " ▁ b c"]
-    chunks = sorted({c for t in texts for c in A.CUT.split(t)})
-    block, number = A.Block(plain.of, chunks), {c: k for k, c in enumerate(chunks)}
+    chunks = A.Chunks(plain.of)
+    for part in (texts[:700], texts[700:]):
+        chunks.cut([t.encode() for t in part])
+    block, number = A.Block(chunks, np.arange(len(chunks.table))), chunks.table
     groups = block.groups.to_pylist()
     for t in texts:
         own = [number[c] for c in A.CUT.split(t)]
@@ -118,6 +124,7 @@ def held(plain, rows, got):
 @pytest.mark.parametrize("bytes_of_block", [300, 8 << 20])
 def test_rows_and_counts(spark, plain, awkward, empty, monkeypatch, bytes_of_block):
     monkeypatch.setattr(A, "BLOCK_BYTES", bytes_of_block)
+    monkeypatch.setattr(A, "REMEMBERED", bytes_of_block // 10)
     rng = random.Random(6)
     texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 25))) for _ in range(90)] + ["x▁y z", "the x▁y", None, "", "the same"] * 2
     made = spark.createDataFrame([(100 + k, t) for k, t in enumerate(texts)], "doc_id long, text string")

@@ -10,6 +10,7 @@ stands around. A block of texts so has few different chunks, which are aligned o
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 from functools import lru_cache
@@ -24,13 +25,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from tidewire.llm.bpe import byte_letters, numbering
+from tidewire.llm.bpe import Lists, byte_letters, numbering
 from tidewire.llm.common import parts_of, read_table, stash
 
 #: Tokenizer files that every executor has: byte-level pairs (A) and pieces with byte fallback (B).
 BYTES, PIECES = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
-#: Bytes of text in a block, and chunks that go through a tokenizer in one call.
-BLOCK_BYTES, TOGETHER = 8 << 20, 1000
+#: Bytes of text in a block, chunks that go through a tokenizer in one text, and the chunks and bytes of chunks
+#: that a task remembers.
+BLOCK_BYTES, TOGETHER, REMEMBERED, REMEMBERED_BYTES = 3 << 20, 1000, 200_000, 16 << 20
 #: Where both tokenizers cut.
 CUT = re.compile(r"(?<=\S) (?=\S)")
 #: The character that B writes for a blank; texts that hold it don't come back from B's pieces.
@@ -77,9 +79,7 @@ class Pair:
         doesn't come back; the others one by one.
         """
         whole = np.ones(len(chunks), bool)
-        a_parts: list[list[int]] = []
-        b_parts: list[list[int]] = []
-        at = 0
+        a_parts, b_parts, at = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], 0
         groups: list[list[int]] = []
         open_group: list[int] = []
         for k, c in enumerate(chunks):
@@ -94,21 +94,20 @@ class Pair:
             open_group = []
         groups += [open_group] if open_group else []
         while at < len(groups):
-            some = groups[at : at + 64]
-            at += 64
+            some = groups[at : at + 16]
+            at += 16
             texts = [" ".join(map(chunks.__getitem__, g)) for g in some]
             for g, text, a, b in zip(some, texts, *self._encode(texts)):
                 if self._whole(text, a, b):
-                    a_parts.append(a)
-                    b_parts.append(b)
+                    a_parts.append(np.array(a, np.int32))
+                    b_parts.append(np.array(b, np.int32))
                     continue
                 for k, own_a, own_b in zip(g, *self._encode([chunks[k] for k in g])):
                     whole[k] = self._whole(chunks[k], own_a, own_b)
                     if whole[k]:
-                        a_parts.append(own_a)
-                        b_parts.append(own_b)
-        flat = [np.fromiter((i for p in parts for i in p), np.int32) for parts in (a_parts, b_parts)]
-        return flat[0], flat[1], whole
+                        a_parts.append(np.array(own_a, np.int32))
+                        b_parts.append(np.array(own_b, np.int32))
+        return np.concatenate(a_parts), np.concatenate(b_parts), whole
 
 
 @lru_cache(maxsize=1)
@@ -136,13 +135,47 @@ def links(a_ends: np.ndarray, b_ends: np.ndarray, a_sizes: np.ndarray) -> tuple[
     return np.repeat(np.arange(len(a_ends)), n), np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
 
 
+class Chunks:
+    """The different chunks met so far with their numbers of A and B, in bounded memory. Chunks that don't come
+    back whole from both have no numbers."""
+
+    def __init__(self, of: Pair):
+        self.of = of
+        self._forget()
+
+    def _forget(self) -> None:
+        self.table, self.a, self.b = numbering(), Lists(), Lists()
+        self.whole, self.sizes = np.zeros(0, bool), np.zeros(0, np.int64)
+
+    def cut(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        """The chunks of each text, by their places in the table."""
+        if len(self.table) > REMEMBERED or self.sizes.sum() > REMEMBERED_BYTES:
+            self._forget()
+        known, seen, found = len(self.table), self.table.__getitem__, []
+        for raw in texts:
+            parts = CUT.split(raw.decode("utf-8", "replace")) if raw else []
+            found.append(np.fromiter(map(seen, parts), np.int32, len(parts)))
+        self._learn(list(itertools.islice(self.table, known, None)))
+        return found
+
+    def _learn(self, fresh: list[str]) -> None:
+        a, b, whole = self.of.encode(fresh)
+        sizes = np.fromiter((1 + len(c.encode()) for c in fresh), np.int64, len(fresh))
+        edges = np.cumsum(sizes[whole])
+        for held, ids, token_sizes in ((self.a, a, self.of.a_sizes), (self.b, b, self.of.b_sizes)):
+            counts = np.zeros(len(fresh), np.int64)
+            counts[whole] = np.bincount(np.searchsorted(edges, np.cumsum(token_sizes[ids])), minlength=len(edges))
+            held.add(ids, counts)
+        self.whole, self.sizes = np.concatenate([self.whole, whole]), np.concatenate([self.sizes, sizes])
+
+
 class Block:
-    """The different chunks of some texts, aligned: sums and groups of each chunk, its links as pairs of numbers."""
+    """Some different chunks, aligned: sums and groups of each, its links as pairs of numbers."""
 
-    def __init__(self, of: Pair, chunks: list[str]):
-        a, b, self.whole = of.encode(chunks)
-        sizes = np.fromiter((1 + len(c.encode()) for c, w in zip(chunks, self.whole) if w), np.int64)
-        edges, self.n = np.cumsum(sizes), len(chunks)
+    def __init__(self, chunks: Chunks, chosen: np.ndarray):
+        """chosen: places in the table of chunks, each once."""
+        of, self.whole, self.n = chunks.of, chunks.whole[chosen], len(chosen)
+        a, b, edges = chunks.a.take(chosen)[0], chunks.b.take(chosen)[0], np.cumsum(chunks.sizes[chosen][self.whole])
         a_sizes, b_sizes = of.a_sizes[a], of.b_sizes[b]
         a_ends, b_ends = np.cumsum(a_sizes), np.cumsum(b_sizes)
         to = terminals(a_ends, b_ends)
@@ -153,6 +186,7 @@ class Block:
         link_a, link_b = links(a_ends, b_ends, a_sizes)
         self.sums = {"n_a": self._count(a_chunk), "n_b": self._count(b_chunk), "n_groups": self._count(group_chunk), "n_links": self._count(a_chunk[link_a])}
         self.groups = self._spell(a, b, group, group_chunk)
+        del group, to
         self.pair_base = len(of.b_bytes)
         self.pairs, self.link = np.unique(a[link_a].astype(np.int64) * self.pair_base + b[link_b], return_inverse=True)
         self.link_sizes = self.sums["n_links"]
@@ -202,15 +236,12 @@ def align_blocks(docs: DataFrame, keep: list[str | Column], text: str = "text",
     names, kept = schema.names, len(source.schema.fields) - 1
 
     def run(batches):
-        of, number = pair(a, b), TaskContext.get().partitionId() << 32
+        chunks, number = Chunks(pair(a, b)), TaskContext.get().partitionId() << 32
         for part in (p for batch in batches for p in parts_of(batch, BLOCK_BYTES)):
-            table, cut = numbering(), []
-            for raw in part.column(kept).to_pylist():
-                words = CUT.split(raw.decode("utf-8", "replace")) if raw else []
-                cut.append(np.fromiter(map(table.__getitem__, words), np.int32, len(words)))
-            block = Block(of, list(table))
-            cut = [c if block.whole[c].all() else c[:0] for c in cut]
-            flat = np.concatenate(cut)
+            cut = chunks.cut(part.column(kept).to_pylist())
+            cut = [c if chunks.whole[c].all() else c[:0] for c in cut]
+            chosen, flat = np.unique(np.concatenate(cut), return_inverse=True)
+            block = Block(chunks, chosen)
             ends = np.concatenate([[0], np.cumsum([len(c) for c in cut], dtype=np.int64)])
             upto = {k: np.concatenate([[0], np.cumsum(v[flat])]) for k, v in block.sums.items()}
             totals = [pa.array(np.diff(upto[k][ends])) for k in TOTALS]

@@ -180,9 +180,7 @@ class Lists:
 
 def numbering() -> defaultdict:
     """A table that gives each new key the next number."""
-    table: defaultdict = defaultdict()
-    table.default_factory = table.__len__
-    return table
+    return defaultdict(itertools.count().__next__)
 
 
 class Vocabulary:

@@ -11,6 +11,7 @@ up to, cover all runs with a word to spare on either side.
 
 from __future__ import annotations
 
+import itertools
 from collections import defaultdict
 
 import numpy as np
@@ -209,8 +210,7 @@ def find_runs(docs: DataFrame, keep: list[str | Column], text: str = "text", tim
 
     def make():
         def work(texts):
-            number: defaultdict = defaultdict()
-            number.default_factory = number.__len__
+            number: defaultdict = defaultdict(itertools.count().__next__)
             known, ids = number.__getitem__, []
             for t in texts:
                 words = (t or b"").split()
