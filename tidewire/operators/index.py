@@ -46,16 +46,16 @@ def resolve_indexed_date(parsed: Column, batch: Column) -> Column:
 
 def create_only(batch: DataFrame, index: DataFrame, order: Sequence[str], key: str = "doc_id", no_import: bool = False) -> DataFrame:
     """disposition of each row of a batch: ilm-dups (the key is in the index), dups (it came before in the
-    batch), created, or noimp for all. Only the index's keys are read, and only those of the batch are kept
-    before they are made distinct."""
+    batch), created, or noimp for all. Only the index's keys are read, and it is only asked whether a key is
+    among them, so they needn't be distinct; the batch is evaluated once."""
     if no_import:
         return batch.withColumn("disposition", F.lit("noimp"))
     known = index.select(F.col(key).alias("__known"))
-    known = known.join(batch.select(F.col(key).alias("__key")), F.col("__known") == F.col("__key"), "left_semi").distinct()
+    rows = batch.withColumn("__held", known.where(F.col("__known") == F.col(key).outer()).exists())
     first = Window.partitionBy(key).orderBy(*order)
-    rows = batch.join(known, batch[key] == known["__known"], "left").withColumn("__nth", F.row_number().over(first))
-    status = F.when(F.col("__known").isNotNull(), "ilm-dups").when(F.col("__nth") > 1, "dups").otherwise("created")
-    return rows.withColumn("disposition", status).drop("__known", "__nth")
+    rows = rows.withColumn("__nth", F.row_number().over(first))
+    status = F.when(F.col("__held"), "ilm-dups").when(F.col("__nth") > 1, "dups").otherwise("created")
+    return rows.withColumn("disposition", status).drop("__held", "__nth")
 
 
 def write_index(batch: DataFrame, index: DataFrame, path: str, order: Sequence[str], key: str = "doc_id") -> DataFrame:

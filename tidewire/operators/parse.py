@@ -39,10 +39,14 @@ def _decoded(raw: pd.Series, first: pd.Series, second: pd.Series) -> pd.DataFram
     return pd.DataFrame([_decode(*x) for x in zip(raw, first, second)], columns=["text", "encoding"], dtype=object)
 
 
-def decode_html(df: DataFrame, html: str = "html", raw_encoding: str = "raw_encoding", http_encoding: str = "http_encoding") -> DataFrame:
+#: So marked, Spark evaluates it once.
+_decoded = _decoded.asNondeterministic()
+
+
+def decode_html(df: DataFrame, html: str = "html", raw_encoding: str = "raw_encoding", http_encoding: str = "http_encoding", where: Column | None = None) -> DataFrame:
     """Add text, encoding, disposition (no-html: discard; no-decode: quarantine; decoded). UTF-8 pages that
-    nothing else is known of never leave the JVM."""
-    raw = F.col(html)
+    nothing else is known of never leave the JVM. Pages outside of `where` aren't looked at: no-html."""
+    raw = F.col(html) if where is None else F.when(where, F.col(html))
     plain = F.coalesce(F.col(raw_encoding), F.col(http_encoding)).isNull() & F.is_valid_utf8(raw.cast("string")) & ~F.startswith(raw, F.lit(codecs.BOM_UTF8))
     plain = plain & ~F.coalesce(F.lower(F.substring(raw, 1, 2048).cast("string")).contains("charset"), F.lit(False))
     df = df.withColumn("__plain", F.coalesce(plain, F.lit(False)))
@@ -107,6 +111,10 @@ def _body_text(html: pd.Series) -> pd.Series:
     return html.map(body_text)
 
 
+#: So marked, Spark evaluates it once: conditions on what it gives aren't moved below it.
+_body_text = _body_text.asNondeterministic()
+
+
 def title(html: Column) -> Column:
     found = F.trim(F.regexp_replace(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1), r"\s+", " "))
     return F.nullif(found, F.lit(""))
@@ -133,10 +141,18 @@ def publication_date(html: Column) -> Column:
     return F.coalesce(F.nullif(meta, F.lit("")), F.nullif(time, F.lit("")))
 
 
-def extract_content(df: DataFrame, parsed_at: Column, public_suffixes: Sequence[str], html: str = "text", url: str = "url", least: int = 100) -> DataFrame:
+#: The columns that extract_content adds.
+CONTENT = (
+    "text_content", "original_url", "normalized_url", "canonical_domain", "publication_date", "language", "full_language", "text_extraction_method",
+    "article_title", "normalized_article_title", "parsed_date", "canonical_url", "is_homepage", "is_shortened",
+)
+
+
+def extract_content(df: DataFrame, parsed_at: Column, public_suffixes: Sequence[str], html: str = "text", url: str = "url", least: int = 100, where: Column | None = None) -> DataFrame:
     """Add the fields of content_metadata and disposition: too-short for less than `least` characters of
-    text, else extracted. Metadata by columns; the body in an Arrow pass."""
-    page, at = F.col(html), F.col(url)
+    text, else extracted. Metadata by columns; the body in an Arrow pass. Pages outside of `where` aren't
+    looked at: too-short."""
+    page, at = (F.col(c) if where is None else F.when(where, F.col(c)) for c in (html, url))
     df = df.withColumn("text_content", _body_text(page))
     df = df.withColumns(
         {

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,11 +17,30 @@ from tidewire.shared import stash
 from tidewire.sources import warc
 
 
-def carry_on(df: DataFrame, stage, *args, **kwargs) -> DataFrame:
-    """Run a stage on the rows that passed so far; the others keep the disposition they have."""
-    done = df.where("action <> 'pass'")
-    out = stage(df.where("action = 'pass'").drop("disposition", "action"), *args, **kwargs)
-    return out.unionByName(done, allowMissingColumns=True)
+def passing() -> Column:
+    """Whether a row still passes, for the stage that carry_on runs."""
+    return F.col("__action") == "pass"
+
+
+def carry_on(df: DataFrame, stage, *args, changes: Sequence[str] = (), **kwargs) -> DataFrame:
+    """Run a stage in the same pass over all rows: what it says counts for the rows that passed so far, the
+    others keep the disposition they have, and nulls in the columns that the stage adds.
+
+    The stage sees the rows that no longer pass too, as it must drop none; passing() tells them apart. changes: columns
+    of df that the stage overwrites; rows that no longer pass keep theirs.
+    """
+    was = {c: f"__was_{c}" for c in changes if c in df.columns}
+    held = df.withColumnsRenamed({"disposition": "__disposition", "action": "__action"}).withColumns({w: F.col(c) for c, w in was.items()})
+    out = stage(held, *args, **kwargs)
+    now = {c: F.when(passing(), F.col(c)).otherwise(F.col(f"__{c}")) for c in ("disposition", "action")}
+    now |= {c: F.when(passing(), F.col(c)).otherwise(F.col(w)) for c, w in was.items()}
+    now |= {c: F.when(passing(), F.col(c)) for c in out.columns if c not in held.columns and c not in now}
+    return out.withColumns(now).drop("__disposition", "__action", *was.values())
+
+
+def own_key(key: Column, *order: str) -> Column:
+    """The key of rows that still pass; the others get one that meets no other, so they gather nowhere."""
+    return F.when(passing(), key.cast("string")).otherwise(F.concat(F.lit("\u0000"), F.xxhash64(*order).cast("string")))
 
 
 def check_stage(df: DataFrame, cfg: Config, url: str = "url") -> DataFrame:
@@ -29,12 +50,12 @@ def check_stage(df: DataFrame, cfg: Config, url: str = "url") -> DataFrame:
 def parse_stage(df: DataFrame, cfg: Config, batch_ts: Column, need_url: bool = False) -> DataFrame:
     """From (url, html, raw_encoding, http_encoding) to content, in order of the contract. need_url: the page
     itself is to tell the URL, which then takes the place of the mark."""
-    df = carry_on(df, parse.decode_html)
-    df = carry_on(df, lambda x: parse.extract_content(x, batch_ts, cfg.public_suffixes, least=cfg.min_text_chars))
+    df = carry_on(df, parse.decode_html, where=passing(), changes=("text", "encoding"))
+    df = carry_on(df, parse.extract_content, batch_ts, cfg.public_suffixes, least=cfg.min_text_chars, where=passing(), changes=parse.CONTENT)
     if not need_url:
         return carry_on(df, C.gate_parsed)
     df = carry_on(df, C.gate_parsed, need_url=True, sentinel=cfg.need_canonical_url, excluded=cfg.excluded_domains)
-    return carry_on(df, C.adopt_canonical_url, cfg.need_canonical_url, cfg.excluded_domains, cfg.public_suffixes)
+    return carry_on(df, C.adopt_canonical_url, cfg.need_canonical_url, cfg.excluded_domains, cfg.public_suffixes, changes=("final_url", "url", "canonical_domain", "is_homepage"))
 
 
 def index_stage(df: DataFrame, known: DataFrame, cfg: Config, batch_ts: Column, order: str) -> DataFrame:
@@ -57,10 +78,11 @@ def index_stage(df: DataFrame, known: DataFrame, cfg: Config, batch_ts: Column,
             x = X.with_normal_form(x, name, cfg.max_field_bytes, "__nfc")
             x = x.withColumn(name, X.truncate_utf8(F.col(name), cfg.max_field_bytes, F.col("__nfc"))).drop("__nfc")
         x = x.withColumn("doc_id", U.doc_id(F.col("url")))
-        x = index.create_only(x, known, [order])
+        x = index.create_only(x.withColumn("__key", own_key(F.col("doc_id"), order)), known.select(F.col("doc_id").alias("__key")), [order], "__key").drop("__key")
         return x.withColumn("action", F.when(F.col("disposition") == "created", "pass").otherwise("discard"))
 
-    return carry_on(carry_on(carry_on(df, C.gate_index), dated), documents)
+    df = carry_on(carry_on(df, C.gate_index), dated, changes=("pub_date", "pub_date_status", "publication_date"))
+    return carry_on(df, documents, changes=("indexed_date", "text_content", "article_title", "doc_id"))
 
 
 def _fields(df: DataFrame, spec: str, **names: str) -> Column:
@@ -72,9 +94,10 @@ def _fields(df: DataFrame, spec: str, **names: str) -> Column:
     return F.struct(*out)
 
 
-def to_stories(df: DataFrame) -> DataFrame:
-    """The four parts of a story from the flat columns of a job."""
+def to_stories(df: DataFrame, *keep: str) -> DataFrame:
+    """The four parts of a story from the flat columns of a job, beside the columns of `keep`."""
     return df.select(
+        *keep,
         _fields(df, schema.RSS_ENTRY).alias("rss_entry"),
         _fields(df, schema.RAW_HTML, encoding="raw_encoding").alias("raw_html"),
         _fields(df, schema.HTTP_METADATA, final_url="url", encoding="http_encoding", response_code="status" if "status" in df.columns else "response_code").alias("http_metadata"),
@@ -96,7 +119,7 @@ def captured_job(queued: DataFrame, responses: DataFrame, known: DataFrame, cfg:
     """Queued rows (url, disposition, action) with captured responses (url, status, body, …) through fetch
     results, parsing and the index into archives."""
     held = responses.withColumnRenamed("url", "__url")
-    fetched = carry_on(queued, lambda x: C.classify_fetch(x.join(held, x["url"] == held["__url"], "left").drop("__url"), cfg.max_html_bytes))
+    fetched = carry_on(queued, lambda x: C.classify_fetch(x.join(held, own_key(x["url"], order) == held["__url"], "left").drop("__url"), cfg.max_html_bytes))
     fetched = fetched.withColumn("html", F.col("body")).withColumns({"raw_encoding": F.col("encoding"), "http_encoding": F.lit(None).cast("string")}).drop("encoding", "body")
     return archive_created(index_stage(parse_stage(fetched, cfg, batch_ts), known, cfg, batch_ts, order), archive, batch_ts, cfg)
 
@@ -133,12 +156,12 @@ def history_job(
     queued = queued.withColumn("key", F.col("dlid").try_cast("bigint"))
     one = F.col("key").cast("string")
     if versions is not None:
-        queued = carry_on(queued, lambda x: dedup.pick_object_version(x, versions, cfg.epochs, overlap, ["listed"]))
+        queued = carry_on(queued, dedup.pick_object_version, versions, cfg.epochs, overlap, ["listed"])
         one = F.concat_ws("@", one, F.col("version_id").cast("string"))
         objects = objects.withColumn("object", F.concat_ws("@", F.col("key").cast("string"), F.col("version_id").cast("string")))
     else:
         objects = objects.withColumn("object", F.col("key").cast("string"))
-    fetched = carry_on(queued.withColumn("object", one), lambda x: dedup.fetch_objects(x, objects, "object", cfg.max_html_bytes))
+    fetched = carry_on(queued, lambda x: dedup.fetch_objects(x.withColumn("object", own_key(one, "pos")), objects, "object", cfg.max_html_bytes), changes=("fetch_timestamp",))
     none = F.lit(None).cast("string")
     fetched = fetched.withColumn("html", F.col("body")).drop("body", "object").withColumns({"raw_encoding": none, "http_encoding": none})
     return archive_created(index_stage(parse_stage(fetched, cfg, batch_ts, need_url), known, cfg, batch_ts, "pos"), archive, batch_ts, cfg)
@@ -160,9 +183,9 @@ def batch_feed_job(rows: DataFrame, responses: DataFrame, known: DataFrame, cfg:
     return archive_created(index_stage(parse_stage(fetched, cfg, batch_ts), known, cfg, batch_ts, "pos"), archive, batch_ts, cfg)
 
 
-def archive_stories(stories: DataFrame, path: str, batch_ts: Column, cfg: Config, mode: str = "error") -> DataFrame:
+def archive_stories(stories: DataFrame, path: str, batch_ts: Column, cfg: Config, mode: str = "error", batch: str | None = None) -> DataFrame:
     """Stories to archives of archive_rows stories at most; those that can't be archived are left out."""
-    return warc.write_warc(stories, path, batch_ts, max_rows=cfg.archive_rows, raise_errors=False, mode=mode)
+    return warc.write_warc(stories, path, batch_ts, max_rows=cfg.archive_rows, raise_errors=False, mode=mode, batch=batch)
 
 
 def archive_replay(spark: SparkSession, path: str, known: DataFrame, cfg: Config, batch_ts: Column) -> DataFrame:

@@ -101,14 +101,15 @@ TEMPORARY = "_temporary"
 WRITTEN = "archive string, stories long, bytes long"
 
 
-def _write_archives(rows: Iterable[tuple[str, bytes, bytes]], path: str, prefix: str, host: str, most: int, software: str) -> Iterator[tuple[str, int, int]]:
-    """Write a partition's (stamp, response, metadata) as archives of `most` stories, one gzip member for each
-    record; gives (archive, stories, bytes). Names follow from the partition, and an archive is moved to its
-    place when it is whole: a task that runs again, or twice, leaves the same files."""
+def _write_archives(rows: Iterable[tuple[str, str, bytes, bytes]], path: str, prefix: str, host: str, most: int, software: str) -> Iterator[tuple[str, int, int]]:
+    """Write a partition's (stamp, batch, response, metadata) as archives of `most` stories of one batch, one gzip
+    member for each record; gives (archive, stories, bytes). Names follow from the batch, or from the partition
+    where it is empty, and an archive is moved to its place when it is whole: a task that runs again, or twice,
+    leaves the same files."""
     store, root = storage(path)
     task = TaskContext.get()
     draft = f"{root}/{TEMPORARY}/{task.taskAttemptId()}.warc.gz"
-    serial, stories, size, out, name, key = 0, 0, 0, None, "", ""
+    serial, stories, size, out, name, key, held = 0, 0, 0, None, "", "", None
 
     def add(record: bytes) -> int:
         member = gzip.compress(record, mtime=0)
@@ -121,9 +122,14 @@ def _write_archives(rows: Iterable[tuple[str, bytes, bytes]], path: str, prefix:
         store.move(draft, f"{key}.gz")
         return name, stories, size
 
-    for stamp, response, metadata in rows:
+    for stamp, batch, response, metadata in rows:
+        if out is not None and batch != held:
+            yield finish()
+            out = None
+        if batch != held:
+            serial, held = 0, batch
         if out is None:
-            name = f"{prefix}-{stamp}-{task.partitionId()}-{serial}-{host}.warc"
+            name = f"{prefix}-{stamp}-{batch or task.partitionId()}-{serial}-{host}.warc"
             key = f"{root}/{stamp[:4]}/{stamp[4:6]}/{stamp[6:8]}/{name}"
             store.create_dir(f"{root}/{TEMPORARY}")
             out, stories = store.open_output_stream(draft, compression=None), 0
@@ -138,26 +144,34 @@ def _write_archives(rows: Iterable[tuple[str, bytes, bytes]], path: str, prefix:
 
 
 def _fresh(path: str, mode: str) -> None:
-    """Make way for archives below path: `error` refuses a folder with anything in it, `overwrite` empties it."""
+    """Make way for archives below path: `error` refuses a folder with anything in it, `overwrite` empties it,
+    `replace` leaves all but archives of the same names."""
     store, root = storage(path)
     held = store.get_file_info(pafs.FileSelector(root, allow_not_found=True))
-    if mode not in ("error", "overwrite"):
-        raise ValueError(f"mode {mode}: archives are written with error or overwrite")
+    if mode not in ("error", "overwrite", "replace"):
+        raise ValueError(f"mode {mode}: archives are written with error, overwrite or replace")
+    if mode == "replace":
+        return
     if held and mode == "error":
         raise FileExistsError(path)
     if held:
         store.delete_dir_contents(root)
 
 
-def write_warc(stories: DataFrame, path: str, now: Column, prefix: str = "archive", max_rows: int = MANY, raise_errors: bool = True, mode: str = "error", host: str = "spark", software: str = "tidewire") -> DataFrame:
+def write_warc(stories: DataFrame, path: str, now: Column, prefix: str = "archive", max_rows: int = MANY, raise_errors: bool = True, mode: str = "error", host: str = "spark", software: str = "tidewire", batch: str | None = None) -> DataFrame:
     """Write the stories that can be archived below path as YYYY/MM/DD/name.warc.gz, a new archive after max_rows
     stories of a partition; gives (archive, stories, bytes, status) of what was written, kept in a written table.
-    Stories are read once, or once more before any is written where raise_errors asks for their judgement."""
+    Stories are read once, or once more before any is written where raise_errors asks for their judgement.
+    batch: a column; stories that share it go to archives of their own, named after it, so that the same batch
+    leaves the same files whatever comes with it; `now` is to be the same for all of a batch."""
     judged = to_records(stories, now)
     if raise_errors and (first := judged.where("disposition <> 'archived'").select("disposition").first()):
         raise ValueError(first["disposition"])
     _fresh(path, mode)
-    rows = judged.where("disposition = 'archived'").select(F.date_format(now, "yyyyMMddHHmmss").alias("stamp"), "response", "metadata")
+    of = F.lit("") if batch is None else F.coalesce(F.col(batch).cast("string"), F.lit(""))
+    rows = judged.where("disposition = 'archived'").select(F.date_format(now, "yyyyMMddHHmmss").alias("stamp"), of.alias("batch"), "response", "metadata")
+    if batch is not None:
+        rows = rows.repartition("batch").sortWithinPartitions("batch", "response")
 
     def run(batches):
         records = (tuple(v.as_py() for v in row) for batch in batches for row in zip(*batch.columns))
