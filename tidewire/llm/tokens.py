@@ -280,11 +280,10 @@ def add_redactions(docs: DataFrame, text: str = "text", out: str = "edits") -> D
     """Add edits of the texts: long numbers and addresses at hosts give way to a mark, and a first line of
     one to eight words goes if others follow.
 
-    An address starts where no character of its class stands before, or where an address ended: the
-    patterns don't backtrack, and nothing is lost between adjacent addresses.
+    An address starts where no character of its class stands before, or where a match ended: the patterns
+    don't backtrack, nothing is lost between adjacent addresses, and numbers and hosts of any length go whole.
     """
-    start = r"(?:\G(?<=@[A-Za-z0-9.-]{1,255})|(?<![A-Za-z0-9._%+-]))"
-    mask = start + r"[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]{1,255}|[0-9]{9,64}"
+    mask = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]++|[0-9]{9,}+"
     blank = r"[\x20\x09\x0B-\x0D]"
     head = rf"^{blank}*+[^\x20\x09-\x0D]++(?:{blank}++[^\x20\x09-\x0D]++){{0,7}}+{blank}*+\n"
     docs = add_spans(docs, text, mask, r"@|[0-9]{9}", "__redact")
