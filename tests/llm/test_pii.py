@@ -125,3 +125,10 @@ def test_awkward_rows(awkward, empty):
     rows = pii.find_personal_data(awkward, pii.fit(awkward), [F.col("doc_id")]).collect()
     assert len(rows) == awkward.count() and all(r["spans"] == [] for r in rows)
     assert pii.find_personal_data(empty, pii.fit(empty), [F.col("doc_id")]).count() == 0
+
+
+def test_words_around_made_up_spans_come_from_anywhere(spark):
+    rows = [(i, "early " * 900 + f"late{'x' * i} " * 900) for i in range(1, 40)]
+    made = pii.made_texts(spark.createDataFrame(rows, "doc_id long, text string"), "text", bound=400).select("__text").collect()
+    late = sum("late" in r[0] for r in made)
+    assert 0.1 < late / len(made) < 0.95 and any("early" in r[0] for r in made)

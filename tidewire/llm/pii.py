@@ -41,6 +41,8 @@ GENERATORS = (
 MASK = "\u0001"
 #: Texts that are looked at for training, and made-up spans to learn from.
 MAX_TRAIN_DOCS, MAX_MADE = 4_000, 8_000
+#: Characters of a text, at a place drawn for each made-up span, among whose words the span is put.
+AROUND = 4_000
 TREES, DEPTH, SEED = 20, 4, 7
 #: Precision on held-back candidates that a kind's threshold must reach.
 PRECISION = 0.95
@@ -267,10 +269,7 @@ def made_texts(docs: DataFrame, text: str, made=MADE, seed: str = "made", bound:
     each = -(-bound // max(1, sample.count()))
     rows = sample.select("text", F.explode(F.sequence(F.lit(1), F.lit(each))).alias("n")).where(F.length("text") > 0)
 
-    def number(*of):
-        return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.left("text", F.lit(200)), "n", *of), 1)
-
-    rows = rows.withColumn("seed", number(F.length("text")))
+    rows = rows.withColumn("seed", F.shiftrightunsigned(F.xxhash64(F.lit(seed), "text", "n"), 1))
     kinds, patterns = F.array(*[F.lit(k) for k, _ in made]), F.array(*[F.lit(p) for _, p in made])
     rows = rows.withColumn("nth", (F.col("seed") % len(made)).cast("int")).select("*", F.get(kinds, F.col("nth")).alias("kind"), F.get(patterns, F.col("nth")).alias("pattern"))
 
@@ -284,8 +283,9 @@ def made_texts(docs: DataFrame, text: str, made=MADE, seed: str = "made", bound:
     rows = rows.withColumn("value", value)
     fits = F.filter(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda d: F.replace(F.col("value"), F.lit("*"), d.cast("string"))), lambda v: luhn(digits(v)))
     rows = stash(rows.withColumn("value", F.when(F.col("pattern").contains("*"), F.get(fits, F.lit(0))).otherwise(F.col("value"))))
-    # words around it come from the text, without what could itself be personal data
-    plain = F.regexp_replace(F.left("text", F.lit(4_000)), r"[^\p{L}\x20,;!?]+", " ")
+    # words around it come from a place anywhere in the text, without what could itself be personal data
+    place = F.shiftrightunsigned(F.xxhash64("seed", F.lit("place")), 1) % F.greatest(F.length("text") - AROUND, F.lit(1))
+    plain = F.regexp_replace(F.substring("text", (place + 1).cast("int"), F.lit(AROUND)), r"[^\p{L}\x20,;!?]+", " ")
     words = F.filter(F.split(plain, r"\x20+"), lambda w: F.length(w) > 0)
     rows = rows.withColumn("words", words)
     at = (F.shiftrightunsigned(F.xxhash64("seed", F.lit("at")), 1) % F.greatest(F.size("words"), F.lit(1))).cast("int")
