@@ -51,11 +51,12 @@ def create_only(batch: DataFrame, index: DataFrame, order: Sequence[str], key: s
     if no_import:
         return batch.withColumn("disposition", F.lit("noimp"))
     known = index.select(F.col(key).alias("__known"))
-    rows = batch.withColumn("__held", known.where(F.col("__known") == F.col(key).outer()).exists())
+    rows = batch.withColumn("__asked", F.col(key))  # a name that the index doesn't have, so that it means the batch's
+    rows = rows.withColumn("__held", known.where(F.col("__known") == F.col("__asked").outer()).exists())
     first = Window.partitionBy(key).orderBy(*order)
     rows = rows.withColumn("__nth", F.row_number().over(first))
     status = F.when(F.col("__held"), "ilm-dups").when(F.col("__nth") > 1, "dups").otherwise("created")
-    return rows.withColumn("disposition", status).drop("__held", "__nth")
+    return rows.withColumn("disposition", status).drop("__asked", "__held", "__nth")
 
 
 def write_index(batch: DataFrame, index: DataFrame, path: str, order: Sequence[str], key: str = "doc_id") -> DataFrame:

@@ -182,7 +182,10 @@ def o98_stream_to_index(spark, sf_dir):
     def archive(created, to):
         J.archive_stories(J.to_stories(created), to, now(), FIXTURE, mode="overwrite")
 
-    S.stream_to_index(json_stream(spark, rows, 3, "page_id", 2), stages, path, no_index(spark), new_path(spark), archive).awaitTermination()
+    def keys(batch):
+        return batch.select(U.doc_id(F.col("url")).alias("doc_id"))
+
+    S.stream_to_index(json_stream(spark, rows, 3, "page_id", 2), stages, path, no_index(spark), new_path(spark), archive, key=keys).awaitTermination()
     made = spark.read.parquet(f"{path}/rows").where("disposition = 'created'")
     back = warc.read_warc(spark, f"{path}/archives", schema.PARTS).select(U.doc_id(F.col("content_metadata.url")).alias("doc_id"))
     both = made.select("doc_id").join(back.withColumn("archived", F.lit(1)), "doc_id", "full")

@@ -10,11 +10,11 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidewire.operators.rewrite import read_or_none
 from tidewire.sources.warc import storage
 from tidewire.streaming.jobs import QUARTER, run_batches
 
@@ -115,15 +115,6 @@ def assign_batches(stream: DataFrame, channel: Column, arrived: str, most: int =
     return keyed.groupBy("__channel").transformWithStateInPandas(processor, f"{schema}, batch string, first long, event string", "append", "ProcessingTime")
 
 
-def _held(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        return None
-
-
 def _stories_of(spark: SparkSession, path: str, closed: list[str]) -> DataFrame:
     """The staged stories of some batches; only their folders are read."""
     rows = spark.read.option("basePath", f"{path}/staged").parquet(*[f"{path}/staged/batch={b}" for b in closed])
@@ -144,14 +135,14 @@ def archive_in_batches(
 
     def step(rows: DataFrame, trigger_no: int) -> None:
         spark = rows.sparkSession
-        past = _held(spark, f"{path}/closed/trigger={trigger_no - 1}")
+        past = read_or_none(spark, f"{path}/closed/trigger={trigger_no - 1}")
         store, root = storage(path)
         for b in [r["batch"] for r in past.collect()] if past is not None else []:  # batches of one trigger, a row each
             if store.get_file_info(f"{root}/staged/batch={b}").is_file is False:
                 store.delete_dir(f"{root}/staged/batch={b}")
         staged = rows.withColumn("trigger", F.lit(trigger_no))
         staged.write.partitionBy("batch", "trigger").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{path}/staged")
-        held = _held(spark, f"{path}/staged")
+        held = read_or_none(spark, f"{path}/staged")
         if held is None:
             return
         closed = held.where((F.col("trigger") == trigger_no) & (F.col("event") == "closed")).select(F.col("batch").cast("string").alias("batch"), "first").distinct()
@@ -167,7 +158,7 @@ def archive_in_batches(
 def archive_open(spark: SparkSession, path: str, write: Callable[[DataFrame, str], None]) -> int:
     """Archive what is staged in batches that are still open, with the stream at rest; how many they are. If the
     stream goes on later, such a batch is archived again, whole, in place of this."""
-    held = _held(spark, f"{path}/staged")
+    held = read_or_none(spark, f"{path}/staged")
     if held is None:
         return 0
     names = {str(r["batch"]) for r in held.groupBy("batch").agg(F.count_if(F.col("event") == "closed").alias("n")).where("n = 0").collect()}
