@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("urls", "text", "classify", "index", "dedup", "crumbs", "crawl", "flow", "sources", "jobs")
+MODULES = ("urls", "text", "classify", "index", "dedup", "crumbs", "crawl", "flow", "sources", "jobs", "state")
 
 
 def _all(kind: str) -> dict:
