@@ -7,7 +7,7 @@ from tidewire.config import FIXTURE
 from tidewire.functions import text as X
 from tidewire.functions import urls as U
 from tidewire.plans import jobs as J
-from tidewire.queries.jobs import no_index
+from tidewire.queries.jobs import QUERIES, no_index
 from tidewire.queries.sources import now
 from tidewire.sources import feeds
 
@@ -88,3 +88,24 @@ def test_only_redirects_are_dropped_by_registered_domain(spark):
     listed = spark.createDataFrame([("bad.org",), ("bad.org",)], "registered string")
     got = U.classify_redirects_registered(rows, listed, ()).orderBy("i").collect()
     assert [r["dropped"] for r in got] == [True, False, False, False] and len(got) == 4
+
+
+@pytest.mark.parametrize("name", ["j1_dispositions", "j1_flagship", "j2_history", "j4_url_list", "j5_batch_feed", "o100_stage_protocol"])
+def test_each_page_is_parsed_once(spark, sf_dir, name):
+    """One decoding and one body pass in the whole plan; the disposition goes along as a column."""
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [_decoded") == 1 and plan.count("ArrowEvalPython [_body_text") == 1
+
+
+def test_rows_that_were_refused_keep_what_they_had(spark):
+    rows = spark.createDataFrame([(1, "a", "pass", "ok"), (2, "b", "discard", "bad")], "i int, x string, action string, disposition string")
+    out = J.carry_on(rows, lambda df: df.withColumns({"x": F.lit("new"), "y": F.lit("more"), "disposition": F.lit("done"), "action": F.lit("retry")}), changes=("x",))
+    assert sorted(map(tuple, out.select("i", "x", "y", "action", "disposition").collect())) == [(1, "new", "more", "retry", "done"), (2, "b", None, "discard", "bad")]
+
+
+def test_known_documents_are_duplicates(spark):
+    entries = spark.createDataFrame([(f"http://a.org/{i}", None, "queuing", i) for i in range(3)], ENTRIES)
+    responses = spark.createDataFrame([(f"http://a.org/{i}", 200, None, "text/html", page(), None) for i in range(3)], RESPONSES)
+    known = no_index(spark).select("doc_id").unionByName(entries.where("pos = 1").select(U.doc_id(F.col("link")).alias("doc_id")))
+    out = J.crawl_feed_job(entries, responses, known, FIXTURE, now(), "pos")
+    assert {r["pos"]: r["disposition"] for r in out.collect()} == {0: "created", 1: "ilm-dups", 2: "created"}

@@ -137,6 +137,19 @@ def feed_job(stories: DataFrame, known: DataFrame, cfg: Config, batch_ts: Column
     return index_stage(parse_stage(check_stage(stories, cfg), cfg, batch_ts), known, cfg, batch_ts, order)
 
 
+def history_rows(read: DataFrame) -> DataFrame:
+    """Rows of read_history_csv as history_job takes them, in the order of their files."""
+    return read.select(
+        "file", F.monotonically_increasing_id().alias("pos"), F.col("final_url").alias("url"), "final_url", F.col("link").alias("dlid"), "fetch_timestamp",
+        F.date_format(F.timestamp_micros((F.col("fetch_timestamp") * 1_000_000).cast("bigint")), "yyyy-MM-dd HH:mm:ss").alias("collect_date"),
+    )
+
+
+def url_rows(read: DataFrame) -> DataFrame:
+    """Rows of read_url_csv as url_list_job takes them, in the order of their files."""
+    return read.select("file", F.monotonically_increasing_id().alias("pos"), F.col("final_url").alias("url"))
+
+
 def history_job(
     rows: DataFrame, objects: DataFrame, known: DataFrame, cfg: Config, batch_ts: Column, versions: DataFrame | None = None,
     overlap: tuple[int, int] = (0, -1), archive: str | None = None, need_url: bool = False,

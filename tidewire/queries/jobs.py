@@ -204,12 +204,71 @@ def j1_feed_to_archive(spark, sf_dir):
     return out.select("pos", "disposition", "action")
 
 
+def planted_pages(spark, sf_dir, cases):
+    """page_id, k (its case), url and a page that is long enough."""
+    p = read_table(spark, sf_dir, "pages")
+    body = F.concat(F.lit("<html><head><title>t</title></head><body><p>"), F.repeat(F.lit("words of a story that is long enough. "), 20), F.col("page_id").cast("string"), F.lit("</p></body></html>"))
+    return p.select("page_id", (F.col("page_id") % cases).alias("k"), F.concat(F.lit("http://site.example.com/"), F.col("page_id").cast("string")).alias("url"), F.encode(body, "UTF-8").alias("body"))
+
+
+def archived_too(out, spark, path):
+    """Dispositions with whether the archives hold the story, once, with its text."""
+    back = J.archive_replay(spark, path, no_index(spark), FIXTURE, now()).where("disposition = 'created'")
+    held = back.groupBy(F.col("doc_id").alias("__id")).agg((F.count("*") == 1).alias("archived"))
+    keys = F.when(F.col("disposition") == "created", F.col("doc_id"))
+    return out.join(held, keys == F.col("__id"), "left").withColumn("archived", F.coalesce("archived", F.lit(False)))
+
+
+def j2_history_to_archive(spark, sf_dir):
+    """Historical CSV files with objects, some of several versions, to archives; by what was planted."""
+    p, files, path = planted_pages(spark, sf_dir, 8), new_path(spark), new_path(spark)
+    inside = F.col("k").isin(4, 5)
+    key = F.col("page_id") + F.when(inside, 1_000_000_000).otherwise(0)
+    day = F.when(F.col("k") == 5, "2022-01-01 00:00:00").otherwise("2021-10-01 00:00:00")
+    lines = p.select(
+        day.alias("collect_date"), F.lit("1").alias("stories_id"), F.lit("2").alias("media_id"), F.when(F.col("k") == 1, F.concat(F.lit("x"), key.cast("string"))).otherwise(key.cast("string")).alias("downloads_id"),
+        F.lit("77").alias("feeds_id"), F.lit("en").alias("language"), F.when(F.col("k") == 0, F.concat(F.lit("ftp://site.example.com/"), F.col("page_id").cast("string"))).otherwise(F.col("url")).alias("url"),
+    )
+    lines.write.csv(files, header=True)
+    versions = p.where(inside).select(key.alias("key"), F.explode(F.array(*[F.lit(v).cast("bigint") for v in (1, 2)])).alias("version_id"))
+    versions = versions.select("key", "version_id", F.col("version_id").alias("listed"), F.when(F.col("version_id") == 1, "2021-10-02").otherwise("2021-12-01").cast("date").alias("last_modified"))
+    objects = p.where("k <> 2").select(key.alias("key"), F.when(inside, F.lit(1).cast("bigint")).alias("version_id"), F.when(F.col("k") == 3, F.encode(F.lit(""), "UTF-8")).otherwise(F.col("body")).alias("body"), F.lit(1.0).alias("modified_at"))
+    rows = J.history_rows(feeds.read_history_csv(spark, files))
+    out = J.history_job(rows, objects, no_index(spark), FIXTURE, now(), versions, (1_000_000_000, 2_000_000_000), path)
+    return archived_too(out, spark, path).select("dlid", "disposition", "action", "archived")
+
+
+def j4_url_csv_to_archive(spark, sf_dir):
+    """CSV files of URLs with captured responses to archives; every sixth URL stands twice in its file."""
+    p, files, path = planted_pages(spark, sf_dir, 6), new_path(spark), new_path(spark)
+    k = F.col("k")
+    url = F.when(k == 4, F.concat(F.lit("http://casino-win.example.com/"), F.col("page_id").cast("string"))).otherwise(F.col("url"))
+    p.select(F.explode(F.when(k == 0, F.array(url, url)).otherwise(F.array(url)))).write.csv(files)
+    held = p.where("k <> 3").select("url", F.when(k == 1, 403).when(k == 2, 503).otherwise(200).alias("status"), F.lit(None).cast("string").alias("encoding"), F.lit("text/html").alias("content_type"), "body", F.lit(None).cast("string").alias("error_class"))
+    out = J.url_list_job(J.url_rows(feeds.read_url_csv(spark, files)), held, no_index(spark), FIXTURE, now(), path)
+    return archived_too(out, spark, path).select("url", "disposition", "action", "archived")
+
+
+def j5_batch_feed_to_archive(spark, sf_dir):
+    """Feed files, dealt into batches by domain, with captured responses to archives."""
+    p, files, path = planted_pages(spark, sf_dir, 5), new_path(spark), new_path(spark)
+    k, n = F.col("k"), F.col("page_id").cast("string")
+    link = F.when(k == 0, F.lit("")).otherwise(F.col("url"))
+    item = F.concat(F.lit("<item><link>"), link, F.lit("</link><title>"), n, F.lit("</title><domain>d"), (F.col("page_id") % 7).cast("string"), F.lit(".org</domain></item>"))
+    some = p.groupBy((F.col("page_id") % (p.count() // 1_000 + 3)).alias("n")).agg(F.array_join(F.collect_list(item), "").alias("items"))  # a thousand pages or so to a file
+    some.select(F.concat(F.lit("<rss><channel>"), "items", F.lit("</channel></rss>")).alias("value"), "n").repartition("n").write.partitionBy("n").text(files)
+    rows = feeds.read_daily_feed(spark, f"{files}/*/*.txt", empty_as="", fetch_date="2023-05-01").select(F.col("title").cast("bigint").alias("pos"), F.col("link").alias("url"), "domain")
+    held = p.where("k not in (0, 3)").select("url", F.when(k == 1, 404).when(k == 2, 500).otherwise(200).alias("status"), F.lit(None).cast("string").alias("encoding"), F.lit("text/html").alias("content_type"), "body", F.lit(None).cast("string").alias("error_class"))
+    out = J.batch_feed_job(rows, held, no_index(spark), FIXTURE, now(), 5, path)
+    return archived_too(out, spark, path).select("pos", "disposition", "action", "archived")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         j1_flagship, j1_dispositions, o100_stage_protocol, j2_history, j3_archive_replay, j4_url_list, j5_batch_feed, j6_dump_reload,
         o95_stream_dedup_index, o97_crumb_stream, o94_micro_batch_archive, o90_cursor_resume, o98_stream_pipeline, o94_stream_archives, o90_feed_cursor,
-        o98_stream_to_index, j1_feed_to_archive,
+        o98_stream_to_index, j1_feed_to_archive, j2_history_to_archive, j4_url_csv_to_archive, j5_batch_feed_to_archive,
     )
 }
 
@@ -224,5 +283,14 @@ ORACLES = {
 SELECT pull::INTEGER AS pull, count(id) AS entries, min(id) AS first_id, max(id) AS last_id FROM p LEFT JOIN e ON r > skip AND r <= skip + n GROUP BY pull""",
     "j1_feed_to_archive": """SELECT page_id AS pos, CASE page_id % 10 WHEN 0 THEN 'bad' WHEN 1 THEN 'http-404' WHEN 2 THEN 'http-5xx' WHEN 3 THEN 'bad-pub-date' WHEN 4 THEN 'not-text' WHEN 5 THEN 'no-html' ELSE 'created' END AS disposition,
  CASE WHEN page_id % 10 IN (2, 3) THEN 'retry' WHEN page_id % 10 IN (0, 1, 4, 5) THEN 'discard' ELSE 'pass' END AS action FROM pages""",
+    "j2_history_to_archive": """SELECT CASE page_id % 8 WHEN 1 THEN 'x' ELSE '' END || (page_id + CASE WHEN page_id % 8 IN (4, 5) THEN 1000000000 ELSE 0 END)::VARCHAR AS dlid,
+ CASE page_id % 8 WHEN 0 THEN 'bad-scheme' WHEN 1 THEN 'bad-dlid' WHEN 2 THEN 'not-found' WHEN 3 THEN 'no-html' WHEN 5 THEN 'epoch-err' ELSE 'created' END AS disposition,
+ CASE WHEN page_id % 8 IN (4, 6, 7) THEN 'pass' ELSE 'discard' END AS action, page_id % 8 IN (4, 6, 7) AS archived FROM pages""",
+    "j4_url_csv_to_archive": """WITH r AS (SELECT page_id, 1 AS n FROM pages UNION ALL SELECT page_id, 2 FROM pages WHERE page_id % 6 = 0)
+SELECT CASE page_id % 6 WHEN 4 THEN 'http://casino-win.example.com/' ELSE 'http://site.example.com/' END || page_id AS url,
+ CASE WHEN n = 2 THEN 'dups' ELSE CASE page_id % 6 WHEN 1 THEN 'http-403' WHEN 2 THEN 'http-5xx' WHEN 3 THEN 'no-html' WHEN 4 THEN 'non-news' ELSE 'created' END END AS disposition,
+ CASE WHEN n = 1 AND page_id % 6 IN (0, 5) THEN 'pass' WHEN page_id % 6 = 2 THEN 'retry' ELSE 'discard' END AS action, n = 1 AND page_id % 6 IN (0, 5) AS archived FROM r""",
+    "j5_batch_feed_to_archive": """SELECT page_id AS pos, CASE page_id % 5 WHEN 0 THEN 'no-resp' WHEN 1 THEN 'http-404' WHEN 2 THEN 'http-5xx' WHEN 3 THEN 'no-resp' ELSE 'created' END AS disposition,
+ CASE WHEN page_id % 5 = 4 THEN 'pass' ELSE 'discard' END AS action, page_id % 5 = 4 AS archived FROM pages""",
     "o90_cursor_resume": "SELECT event_type, count(*)::BIGINT AS events FROM events GROUP BY 1",
 }
