@@ -6,7 +6,7 @@ ROOT = "/root/testdata/sf0.001"
 
 def test_registry_has_each_operator_once():
     names = sorted(int(n[2:].split("_")[0]) for n in registry.queries())
-    assert names == list(range(1, 11))
+    assert names == list(range(1, 14))
     assert set(registry.oracle_sql()) <= set(registry.queries())
 
 

@@ -148,3 +148,16 @@ def test_the_chosen_shard_is_the_best_draw(spark):
     draws = [(F.log((F.shiftrightunsigned(F.xxhash64(F.lit("shard"), F.lit(s), F.col("id")), 11).cast("double") + 0.5) / 2.0**53) / w).alias(str(s)) for s, w in weights.items()]
     for r in spark.range(500).select("id", sharding.rendezvous(F.col("id"), weights).alias("got"), *draws).collect():
         assert r["got"] == max(weights, key=lambda s: r[str(s)])
+
+
+def test_rows_that_are_split_otherwise_are_an_error(spark, awkward, monkeypatch):
+    """A table that isn't the same in two passes fails; it doesn't lose rows."""
+    sized, calls = mixing._sized, []
+
+    def moved(*args):
+        calls.append(args)
+        return [*sized(*args)[:-1], (F.spark_partition_id() + len(calls)).alias("__part")]
+
+    monkeypatch.setattr(mixing, "_sized", moved)
+    with pytest.raises(Exception, match="a row has no plan"):
+        mixing.curriculum(stash(awkward), written=True).collect()

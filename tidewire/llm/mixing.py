@@ -156,7 +156,8 @@ def first_words(text: Column, n: Column) -> Column:
 
 def curriculum(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", written: bool = False) -> DataFrame:
     """The mix itself, with the columns of docs: one row for each time a document is taken, range-sorted by
-    position. A document that the end of its source's target cuts keeps its first words only.
+    position. A document that the end of its source's target cuts keeps its first words only. Each row with words
+    meets its plan, or the job fails: a row is never lost in silence.
 
     Null and wordless texts are in no mix; the rest is as in plan_mix(). The plan is made over narrow rows;
     whole rows move twice, to meet their plan and to their place in the order. written: docs is a written
@@ -167,8 +168,9 @@ def curriculum(docs: DataFrame, key: str = "doc_id", text: str = "text", source:
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *_sized(docs, key, text, source))
     packed = packed.where("size > 0").withColumn("__id", _named("doc_id")).drop("doc_id", "__name")
     keys = ["__order", "__part", "__source", "__id", "size"]
-    copies = packed.join(plan.where("size > 0").drop("doc_id"), keys)
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("__order")) - 1
+    copies = packed.join(plan.where("size > 0").drop("doc_id"), keys, "left")
+    lost = F.raise_error("a row has no plan: docs isn't split alike in two passes, so it isn't a written table").cast("long")
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("__order")) - F.when(F.col("__copies").isNull(), lost).otherwise(1)
     copies = copies.withColumn("__copy", nth).select("__row", "size", "__order", F.explode(_rounds(SCHEDULES)).alias("__at"))
     cut = F.when(F.col("__at")["words"] < F.col("size"), first_words(F.col("__row")[text], F.col("__at")["words"])).otherwise(F.col("__row")[text])
     columns = [cut.alias(c) if c == text else F.col("__row")[c].alias(c) for c in docs.columns]
