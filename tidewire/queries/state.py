@@ -11,13 +11,14 @@ from tidewire.operators import index as I
 from tidewire.operators import rewrite as R
 from tidewire.operators.keys import KeyStore
 from tidewire.plans import jobs as J
-from tidewire.queries.base import CRUMBS, INDEX_DOCS, crumbs, index_docs, sql_parts
+from tidewire.queries.base import INDEX_DOCS, crumbs, index_docs, sql_parts, stories
 from tidewire.queries.crumbs import LINES, OLD, messages
 from tidewire.queries.index import urls_index
 from tidewire.queries.jobs import json_stream
+from tidewire.queries.sources import now
 from tidewire.queries.urls import NORMAL, REGISTERED
 from tidewire.shared import new_path, read_table, stash
-from tidewire.sources import warc
+from tidewire.sources import ranges, warc
 from tidewire.streaming import batches as S
 from tidewire.streaming import jobs
 from tidewire.streaming import retries
@@ -120,9 +121,17 @@ def o94_timed_batches(spark, sf_dir):
     return rows.join(sizes, "batch").select("url", (F.length("batch") > 2).alias("batched"), (F.col("stories") <= 100).alias("fits"))
 
 
+def o101_warc_ranges(spark, sf_dir):
+    """Archives read by ranges of 20,000 bytes, so that each is many tasks': every story once."""
+    path = new_path(spark)
+    J.archive_stories(stories(spark, sf_dir).withColumn("content_metadata", F.lit(None).cast(f"struct<{schema.CONTENT_METADATA}>")), path, now(), FIXTURE)
+    back = ranges.read_ranges(spark, path, schema.PARTS, 20_000)
+    return back.select(F.col("target_uri").alias("url"), F.md5("raw_html.html").alias("digest"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (o62_delete_in_place, o50_recompute_in_place, o63_prune_in_place, o61_key_store, o97_crumb_table, o91_stream_retries, o94_timed_batches)
+    for f in (o62_delete_in_place, o50_recompute_in_place, o63_prune_in_place, o61_key_store, o97_crumb_table, o91_stream_retries, o94_timed_batches, o101_warc_ranges)
 }
 
 #: Retries since a story's last fresh start go round in a circle: ten that wait and an eleventh that ends them.
@@ -146,5 +155,6 @@ SELECT date, feed_id, counted_app AS app, status, sum(c)::BIGINT AS "count" FROM
     "o91_stream_retries": f"""WITH {RETRIED} SELECT story, attempt,
  CASE action WHEN 'ok' THEN 'done' WHEN 'requeue' THEN 'requeue' WHEN 'quarantine' THEN 'quarantine' ELSE CASE WHEN held < 10 THEN 'retry' WHEN gone THEN 'discard' ELSE 'quarantine' END END AS dest,
  CASE WHEN action = 'quarantine' THEN 0 WHEN action = 'retry' THEN CASE WHEN held < 10 THEN held + 1 WHEN gone THEN held ELSE 0 END ELSE held END::BIGINT AS retries FROM n""",
+    "o101_warc_ranges": "SELECT url, md5(encode(html)) AS digest FROM pages",
     "o94_timed_batches": "SELECT url, true AS batched, true AS fits FROM pages",
 }

@@ -9,6 +9,7 @@ import gzip
 import io
 import json
 import uuid
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from datetime import datetime
 from typing import BinaryIO
@@ -98,6 +99,8 @@ def storage(path: str) -> tuple[pafs.FileSystem, str]:
 
 STAMP = "%Y%m%d%H%M%S"
 TEMPORARY = "_temporary"
+#: Behind the name of an archive, of the file with the places of its members: numbers of eight bytes each.
+MEMBERS = ".members"
 WRITTEN = "archive string, stories long, bytes long"
 
 
@@ -109,16 +112,19 @@ def _write_archives(rows: Iterable[tuple[str, str, bytes, bytes]], path: str, pr
     store, root = storage(path)
     task = TaskContext.get()
     draft = f"{root}/{TEMPORARY}/{task.taskAttemptId()}.warc.gz"
-    serial, stories, size, out, name, key, held = 0, 0, 0, None, "", "", None
+    serial, stories, size, out, name, key, held, places = 0, 0, 0, None, "", "", None, []
 
-    def add(record: bytes) -> int:
+    def add(record: bytes, at: int) -> int:
         member = gzip.compress(record, mtime=0)
         out.write(member)
+        places.append(at)
         return len(member)
 
     def finish() -> tuple[str, int, int]:
         out.close()
         store.create_dir(key.rpartition("/")[0])
+        with store.open_output_stream(f"{key}.gz{MEMBERS}", compression=None) as index:
+            index.write(array("q", places).tobytes())
         store.move(draft, f"{key}.gz")
         return name, stories, size
 
@@ -133,8 +139,10 @@ def _write_archives(rows: Iterable[tuple[str, str, bytes, bytes]], path: str, pr
             key = f"{root}/{stamp[:4]}/{stamp[4:6]}/{stamp[6:8]}/{name}"
             store.create_dir(f"{root}/{TEMPORARY}")
             out, stories = store.open_output_stream(draft, compression=None), 0
-            size = add(_info(name, stamp, software))
-        size += add(response) + add(metadata)
+            places.clear()
+            size = add(_info(name, stamp, software), 0)
+        size += add(response, size)
+        size += add(metadata, size)
         stories += 1
         if stories == most:
             yield finish()
@@ -254,8 +262,13 @@ def _scan(spark: SparkSession, path: str, pattern: str, rows_of: Callable[[str,
 def read_warc(spark: SparkSession, path: str, part_schemas: dict[str, str], pattern: str = "*.gz") -> DataFrame:
     """Stories of archives: raw_html, the parts in the metadata record by their schemas, parsed_date from the
     metadata or the record's date; raw_html's encoding is the one of http_metadata."""
+    return parts_of_stories(_scan(spark, path, pattern, _stories, STORY), part_schemas)
+
+
+def parts_of_stories(rows: DataFrame, part_schemas: dict[str, str]) -> DataFrame:
+    """Rows of STORY as stories."""
     schema = ", ".join(f"{k} struct<{v}>" for k, v in part_schemas.items())
-    rows = _scan(spark, path, pattern, _stories, STORY).withColumn("m", F.from_json("metadata", schema))
+    rows = rows.withColumn("m", F.from_json("metadata", schema))
     raw = F.struct(F.col("html"), F.col("m.http_metadata.encoding").alias("encoding")).alias("raw_html")
     parsed = F.coalesce("m.content_metadata.parsed_date", F.regexp_replace("warc_date", "Z$", "")).alias("parsed_date")
     return rows.select("file", "target_uri", "warc_date", raw, *[F.col(f"m.{k}") for k in part_schemas], parsed)
