@@ -113,3 +113,23 @@ def test_replay_gives_what_the_first_job_gave(spark, sf_dir):
     first = {r["status"]: r["stories"] for r in j1_dispositions(spark, sf_dir).collect()}
     again = j3_archive_replay(spark, sf_dir).groupBy("disposition").agg(F.sum("stories").alias("n")).collect()
     assert {r["disposition"]: r["n"] for r in again}["created"] == first["created"]
+
+
+def test_a_cursor_that_another_pull_moved_stays(spark, tmp_path, monkeypatch):
+    rows = [(i, f"http://a.org/{i}", *[None] * 4, 1, 2) for i in range(1, 11)]
+    entries = spark.createDataFrame(rows, "id long, url string, title string, domain string, published_at string, feed_url string, feed_id int, sources_id int")
+    state = str(tmp_path / "state")
+    pull = lambda n, **more: sorted(r["id"] for r in feeds.resume_entries(spark, entries, state, n, "h", **more).collect())
+    assert pull(3) == [1, 2, 3] and pull(2, dry_run=True) == [4, 5]
+    read = feeds.read_feed_entries
+
+    def slow(*args, **kwargs):
+        monkeypatch.setattr(feeds, "read_feed_entries", read)
+        assert pull(4) == [4, 5, 6, 7]  # another pull, in the meantime
+        return read(*args, **kwargs)
+
+    monkeypatch.setattr(feeds, "read_feed_entries", slow)
+    assert pull(1) == [4]
+    assert pull(9) == [8, 9, 10]
+    files = len(list((tmp_path / "state").glob("*.parquet")))
+    assert pull(9) == [] and len(list((tmp_path / "state").glob("*.parquet"))) == files == 3

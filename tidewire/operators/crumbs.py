@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidewire.operators.dedup import old_feed_dates
 
@@ -101,3 +102,23 @@ def publish_crumbs(crumbs: DataFrame, ts: str, app: str, seconds: int = 60) -> D
     header = F.concat(F.lit('{"version":[1,0,0],"sent_at":'), sent.cast("decimal(16,1)").cast("string"), F.lit(f',"app":"{app}"}}'))
     grouped = crumbs.withColumn("__line", line).groupBy(window.alias("w")).agg(F.array_sort(F.collect_list("__line")).alias("lines"))
     return grouped.select(F.col("w.start").alias("period"), F.size("lines").cast("bigint").alias("crumbs"), F.concat_ws("\n", header, F.array_join("lines", "\n")).alias("body"))
+
+
+def publish_messages(crumbs: DataFrame, ts: str, app: str, seconds: int = 60, most: int = 5_000) -> DataFrame:
+    """Messages of `most` lines at most for each period, numbered: a header line, then a JSON line for each sum of
+    equal crumbs. read_crumbs gives the sums back.
+
+    Equal crumbs are summed before anything else is shuffled. A period's lines are dealt by their hash into buckets
+    of about half that many, and each bucket is cut into messages, so no value or group grows with the period.
+    """
+    at = F.window(ts, f"{seconds} seconds")
+    sums = crumbs.groupBy(at.alias("w"), *KEYS).agg(F.sum("count").alias("count"))
+    buckets = sums.groupBy("w").agg(F.ceil(F.count("*") / F.lit(max(1, most // 2))).alias("__buckets"))
+    rows = sums.join(buckets, "w").withColumn("__hash", F.xxhash64(*KEYS)).withColumn("__bucket", F.pmod("__hash", "__buckets"))
+    nth = F.row_number().over(Window.partitionBy("w", "__bucket").orderBy("__hash", *KEYS)) - 1
+    line = F.to_json(F.struct(*[F.col(k) for k in (*KEYS, "count")]), {"ignoreNullFields": "false"})
+    rows = rows.withColumns({"number": F.col("__bucket") + F.floor(nth / F.lit(most)) * F.col("__buckets"), "__line": line})
+    grouped = rows.groupBy("w", "number").agg(F.array_sort(F.collect_list("__line")).alias("lines"))
+    sent = (F.unix_micros(F.col("w.end")) / F.lit(1e6)).cast("decimal(16,1)").cast("string")
+    header = F.concat(F.lit('{"version":[1,0,0],"sent_at":'), sent, F.lit(f',"app":"{app}"}}'))
+    return grouped.select(F.col("w.start").alias("period"), "number", F.size("lines").cast("bigint").alias("lines"), F.concat_ws("\n", header, F.array_join("lines", "\n")).alias("body"))

@@ -60,6 +60,14 @@ def o19_publish_crumbs(spark, sf_dir):
     return out.select(F.date_format("period", "yyyy-MM-dd").alias("day"), "crumbs", F.size(F.split("body", "\n")).cast("bigint").alias("lines"), F.substring_index("body", "\n", 1).alias("header"))
 
 
+def o19_publish_messages(spark, sf_dir):
+    """A day's crumbs in messages of 50 lines at most, read back: the sums by all keys, and that no message is longer."""
+    c = crumbs(spark, sf_dir).withColumn("ts", F.to_timestamp("date"))
+    out = B.publish_messages(c, "ts", "parser", seconds=86_400, most=50)
+    back = B.read_crumbs(out.select("number", "body")).where("kind = 'crumb'")
+    return back.groupBy(*B.KEYS).agg(F.sum("count").alias("count"), F.max("line_no").alias("most")).select(*B.KEYS, "count", (F.col("most") <= 50).alias("fits"))
+
+
 def o77_metric_rollup(spark, sf_dir):
     e = read_table(spark, sf_dir, "events")
     kind = F.when(F.col("event_type") == "view", "timer").when(F.col("event_type") == "signup", "gauge").otherwise("counter")
@@ -69,7 +77,7 @@ def o77_metric_rollup(spark, sf_dir):
     return out.select(F.date_format("period", "yyyy-MM-dd").alias("day"), "name", "kind", "count", *[F.round(c, 4).alias(c) for c in keep])
 
 
-QUERIES = {f.__name__: f for f in (o70_crumb_sum, o70_crumb_sum_null_domain, o70_crumb_total, o71_crumb_upsert, o63_prune_crumbs, o76_prune_summary, o09_read_crumbs, o19_publish_crumbs, o77_metric_rollup)}
+QUERIES = {f.__name__: f for f in (o70_crumb_sum, o70_crumb_sum_null_domain, o70_crumb_total, o71_crumb_upsert, o63_prune_crumbs, o76_prune_summary, o09_read_crumbs, o19_publish_crumbs, o19_publish_messages, o77_metric_rollup)}
 
 OLD = f"WITH {CRUMBS}, d AS (SELECT DISTINCT date, feed_id FROM crumbs), r AS (SELECT *, rank() OVER (PARTITION BY feed_id ORDER BY date DESC) AS rank FROM d), old AS (SELECT * FROM r WHERE rank > 20)"
 LINES = """e AS (SELECT * FROM events WHERE event_type <> 'view'), heads AS (SELECT user_id, CASE WHEN user_id % 5 = 0 THEN 'no-vers' WHEN user_id % 7 = 0 THEN 'too-new' ELSE 'vers-ok' END AS h FROM (SELECT DISTINCT user_id FROM e)),
@@ -87,6 +95,7 @@ SELECT date, feed_id, source_id, domain, app, status, sum("count")::BIGINT AS "c
     "o76_prune_summary": f"""{OLD} SELECT count(*) AS pairs, count(DISTINCT date) AS dates, count(DISTINCT feed_id) AS feeds, (SELECT count(*) FROM crumbs c WHERE EXISTS (SELECT 1 FROM old o WHERE o.date = c.date AND o.feed_id = c.feed_id)) AS rows_hit FROM old""",
     "o09_read_crumbs": f"WITH {LINES} SELECT kind, header, status, feed_id, counted_app, count(*) AS rows, sum(c)::BIGINT AS total FROM rows GROUP BY kind, header, status, feed_id, counted_app",
     "o19_publish_crumbs": """SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS crumbs, count(*) + 1 AS lines, '{"version":[1,0,0],"sent_at":' || (epoch(strptime(strftime(ts, '%Y-%m-%d'), '%Y-%m-%d'))::BIGINT + 86400) || '.0,"app":"parser"}' AS header FROM events GROUP BY strftime(ts, '%Y-%m-%d')""",
+    "o19_publish_messages": f"""WITH {CRUMBS} SELECT date, feed_id, source_id, domain, app, status, sum("count")::BIGINT AS "count", true AS fits FROM crumbs GROUP BY ALL""",
     "o77_metric_rollup": """WITH r AS (SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS name, CASE event_type WHEN 'view' THEN 'timer' WHEN 'signup' THEN 'gauge' ELSE 'counter' END AS kind, value, ts, event_id FROM events)
 SELECT day, name, kind, count(value) FILTER (WHERE kind = 'timer') AS "count", round(sum(value) FILTER (WHERE kind = 'counter'), 4) AS counter, round((list(value ORDER BY ts, event_id) FILTER (WHERE kind = 'gauge'))[-1], 4) AS gauge,
  round(avg(value) FILTER (WHERE kind = 'timer'), 4) AS mean, round(quantile_cont(value, 0.5) FILTER (WHERE kind = 'timer'), 4) AS median, round(stddev_pop(value) FILTER (WHERE kind = 'timer'), 4) AS std, round(sum(value) FILTER (WHERE kind = 'timer'), 4) AS sum,

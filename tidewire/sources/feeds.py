@@ -66,20 +66,26 @@ def read_feed_entries(entries: DataFrame, last: int, count: int, host: str, excl
     )
 
 
-def resume_entries(spark: SparkSession, entries: DataFrame, state: str, count: int, host: str, excluded: Sequence[str] = (), dry_run: bool = False) -> DataFrame:
-    """The next `count` feed rows behind the id where the last pull ended, from a table of such ids at `state`;
-    its first pull starts behind 0. A dry run leaves the table as it is. The rows are a written table, so that
-    they are those whose last id is kept; rows without an id come again with each pull."""
+def _last_pulled(spark: SparkSession, state: str) -> int:
+    """The id where the last pull ended; 0 before the first."""
     try:
-        last = spark.read.schema("last bigint").parquet(state).agg(F.max("last")).first()[0] or 0
+        return spark.read.schema("last bigint").parquet(state).agg(F.max("last")).first()[0] or 0
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        last = 0
+        return 0
+
+
+def resume_entries(spark: SparkSession, entries: DataFrame, state: str, count: int, host: str, excluded: Sequence[str] = (), dry_run: bool = False) -> DataFrame:
+    """The next `count` feed rows behind the id where the last pull ended, from a table of such ids at `state`;
+    its first pull starts behind 0. A dry run leaves the table as it is, and so do a pull without rows and one
+    during which another pull moved it. The rows are a written table, so that they are those whose last id is
+    kept; rows without an id come again with each pull."""
+    last = _last_pulled(spark, state)
     rows = stash(read_feed_entries(entries, last, count, host, excluded))
-    end = rows.agg(F.max("id").alias("last")).where("last is not null")
-    if not dry_run:
-        end.coalesce(1).write.mode("append").parquet(state)
+    end = rows.agg(F.max("id")).first()[0]
+    if not dry_run and end is not None and _last_pulled(spark, state) == last:
+        spark.createDataFrame([(end,)], "last bigint").coalesce(1).write.mode("append").parquet(state)
     return rows
 
 
