@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from tidewire.config import FIXTURE
 from tidewire.functions import text as X
 from tidewire.operators import classify as C
+from tidewire.operators import counters
 from tidewire.operators import crumbs as B
 from tidewire.queries.base import EXCLUDED, ODD_URLS, odd_urls, sql_check, sql_parts
-from tidewire.shared import read_table
+from tidewire.shared import new_path, read_table
 
 
 def fetches(spark, sf_dir):
@@ -94,11 +95,18 @@ def o72_disposition_counts(spark, sf_dir):
     return B.disposition_counts(C.classify_fetch(fetches(spark, sf_dir), most=40), F.lit("fetcher"))
 
 
+def o72_observed_counts(spark, sf_dir):
+    """The same counts, made by the pass that writes the rows."""
+    rows, seen = counters.count_dispositions(C.classify_fetch(fetches(spark, sf_dir), most=40))
+    rows.write.parquet(new_path(spark))
+    return counters.as_table(spark, seen.get, "fetcher")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         o25_classify_fetch, o26_classify_fetch_batch, o30_redundant_feed, o31_gate_parsed, o43_adopt_canonical_url, o32_gate_index, o33_gate_producer,
-        o34_in_epoch, o35_select_by_query, o57_make_crumbs, o72_disposition_counts,
+        o34_in_epoch, o35_select_by_query, o57_make_crumbs, o72_disposition_counts, o72_observed_counts,
     )
 }
 
@@ -136,5 +144,6 @@ SELECT page_id, disposition, CASE WHEN disposition = 'queuing' THEN 'pass' ELSE
  count(*) AS n, min(o_orderdate::DATE) AS first, max(o_orderdate::DATE) AS last FROM orders GROUP BY 1""",
     "o35_select_by_query": "SELECT doc_id, source, (count(*) OVER ())::BIGINT AS matching FROM documents WHERE lang = 'en' AND n_chars > 2000",
     "o57_make_crumbs": f"""WITH {FETCHED} SELECT '2024-06-01' AS date, event_id % 5 AS feed_id, disposition AS status, count(*)::BIGINT AS sum, count(*) AS rows FROM acted WHERE action <> 'pass' GROUP BY ALL""",
+    "o72_observed_counts": f"WITH {FETCHED} SELECT 'fetcher' AS app, disposition AS status, count(*) AS stories FROM acted GROUP BY ALL",
     "o72_disposition_counts": f"WITH {FETCHED} SELECT 'fetcher' AS app, disposition AS status, count(*) AS stories FROM acted GROUP BY ALL",
 }
