@@ -77,7 +77,21 @@ def o77_metric_rollup(spark, sf_dir):
     return out.select(F.date_format("period", "yyyy-MM-dd").alias("day"), "name", "kind", "count", *[F.round(c, 4).alias(c) for c in keep])
 
 
-QUERIES = {f.__name__: f for f in (o70_crumb_sum, o70_crumb_sum_null_domain, o70_crumb_total, o71_crumb_upsert, o63_prune_crumbs, o76_prune_summary, o09_read_crumbs, o19_publish_crumbs, o19_publish_messages, o77_metric_rollup)}
+def o77_merged_rollup(spark, sf_dir):
+    """Minutes of metrics merged to days: what is exact, and whether the sketch's median has its rank among the
+    values, give or take a hundredth."""
+    e = read_table(spark, sf_dir, "events")
+    kind = F.when(F.col("event_type") == "view", "timer").when(F.col("event_type") == "signup", "gauge").otherwise("counter")
+    rows = e.select("ts", F.col("event_id").alias("seq"), F.col("event_type").alias("name"), kind.alias("kind"), "value")
+    out = M.finish_parts(M.merge_parts(M.metric_parts(rows), "1 day")).withColumn("day", F.date_format("period", "yyyy-MM-dd"))
+    both = rows.select(F.date_format("ts", "yyyy-MM-dd").alias("day"), "name", "value").join(out.select("day", "name", "median"), ["day", "name"])
+    below, upto = F.avg((F.col("value") < F.col("median")).cast("int")), F.avg((F.col("value") <= F.col("median")).cast("int"))
+    fits = both.groupBy("day", "name").agg(((below <= 0.51) & (upto >= 0.49)).alias("fits"))
+    keep = ["counter", "gauge", "mean", "sum", "lower", "upper"]
+    return out.join(fits, ["day", "name"]).select("day", "name", "kind", "count", *[F.round(c, 4).alias(c) for c in keep], "fits")
+
+
+QUERIES = {f.__name__: f for f in (o70_crumb_sum, o70_crumb_sum_null_domain, o70_crumb_total, o71_crumb_upsert, o63_prune_crumbs, o76_prune_summary, o09_read_crumbs, o19_publish_crumbs, o19_publish_messages, o77_metric_rollup, o77_merged_rollup)}
 
 OLD = f"WITH {CRUMBS}, d AS (SELECT DISTINCT date, feed_id FROM crumbs), r AS (SELECT *, rank() OVER (PARTITION BY feed_id ORDER BY date DESC) AS rank FROM d), old AS (SELECT * FROM r WHERE rank > 20)"
 LINES = """e AS (SELECT * FROM events WHERE event_type <> 'view'), heads AS (SELECT user_id, CASE WHEN user_id % 5 = 0 THEN 'no-vers' WHEN user_id % 7 = 0 THEN 'too-new' ELSE 'vers-ok' END AS h FROM (SELECT DISTINCT user_id FROM e)),
@@ -96,6 +110,10 @@ SELECT date, feed_id, source_id, domain, app, status, sum("count")::BIGINT AS "c
     "o09_read_crumbs": f"WITH {LINES} SELECT kind, header, status, feed_id, counted_app, count(*) AS rows, sum(c)::BIGINT AS total FROM rows GROUP BY kind, header, status, feed_id, counted_app",
     "o19_publish_crumbs": """SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS crumbs, count(*) + 1 AS lines, '{"version":[1,0,0],"sent_at":' || (epoch(strptime(strftime(ts, '%Y-%m-%d'), '%Y-%m-%d'))::BIGINT + 86400) || '.0,"app":"parser"}' AS header FROM events GROUP BY strftime(ts, '%Y-%m-%d')""",
     "o19_publish_messages": f"""WITH {CRUMBS} SELECT date, feed_id, source_id, domain, app, status, sum("count")::BIGINT AS "count", true AS fits FROM crumbs GROUP BY ALL""",
+    "o77_merged_rollup": """WITH r AS (SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS name, CASE event_type WHEN 'view' THEN 'timer' WHEN 'signup' THEN 'gauge' ELSE 'counter' END AS kind, value, ts, event_id FROM events)
+SELECT day, name, kind, count(value) FILTER (WHERE kind = 'timer') AS "count", round(sum(value) FILTER (WHERE kind = 'counter'), 4) AS counter, round((list(value ORDER BY ts, event_id) FILTER (WHERE kind = 'gauge'))[-1], 4) AS gauge,
+ round(avg(value) FILTER (WHERE kind = 'timer'), 4) AS mean, round(sum(value) FILTER (WHERE kind = 'timer'), 4) AS sum, round(min(value) FILTER (WHERE kind = 'timer'), 4) AS lower, round(max(value) FILTER (WHERE kind = 'timer'), 4) AS upper,
+ CASE WHEN kind = 'timer' THEN true END AS fits FROM r GROUP BY day, name, kind""",
     "o77_metric_rollup": """WITH r AS (SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS name, CASE event_type WHEN 'view' THEN 'timer' WHEN 'signup' THEN 'gauge' ELSE 'counter' END AS kind, value, ts, event_id FROM events)
 SELECT day, name, kind, count(value) FILTER (WHERE kind = 'timer') AS "count", round(sum(value) FILTER (WHERE kind = 'counter'), 4) AS counter, round((list(value ORDER BY ts, event_id) FILTER (WHERE kind = 'gauge'))[-1], 4) AS gauge,
  round(avg(value) FILTER (WHERE kind = 'timer'), 4) AS mean, round(quantile_cont(value, 0.5) FILTER (WHERE kind = 'timer'), 4) AS median, round(stddev_pop(value) FILTER (WHERE kind = 'timer'), 4) AS std, round(sum(value) FILTER (WHERE kind = 'timer'), 4) AS sum,
