@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewire.functions import urls as U
+from tidewire.functions.encodings import likeliest
 
 BOMS = ((codecs.BOM_UTF8, "utf-8"), (codecs.BOM_UTF16_LE, "utf-16-le"), (codecs.BOM_UTF16_BE, "utf-16-be"))
 META = re.compile(rb"<meta[^>]{0,200}charset\s*=\s*[\"']?([A-Za-z0-9_.:-]+)", re.I)
@@ -25,13 +26,14 @@ def _decode(raw: bytes | None, *known: str | None) -> tuple[str | None, str | No
     marked = next(((m, e) for m, e in BOMS if raw.startswith(m)), None)
     body = raw[len(marked[0]) :] if marked else raw
     said = META.search(raw[:2048])
-    tries = [*(k for k in known if k), marked and marked[1], said and said[1].decode("ascii"), "utf-8", "cp1252"]
+    tries = [*(k for k in known if k), marked and marked[1], said and said[1].decode("ascii"), "utf-8"]
     for name in filter(None, tries):
         try:
             return body.decode(name), codecs.lookup(name).name
         except (LookupError, ValueError):
             continue
-    return None, None
+    name = likeliest(body)
+    return (body.decode(name), codecs.lookup(name).name) if name else (None, None)
 
 
 @F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("encoding", T.StringType())]))

@@ -61,13 +61,36 @@ def o42_extract_content(spark, sf_dir):
     return out.select("page_id", "article_title", "language", "canonical_domain", F.char_length("text_content").cast("bigint").alias("chars"), F.md5("text_content").alias("digest"), "parsed_date", "disposition")
 
 
-QUERIES = {f.__name__: f for f in (o23_check_length, o29_is_feed_document, o39_truncate_utf8, o40_trunc_status, o41_decode_html, o42_page_metadata, o42_extract_content)}
+#: Sentences and the code pages that they are put in, which nothing on the page tells.
+SENTENCES = (
+    ("Вчера вечером президент заявил, что новые правила вступят в силу в следующем году.", "koi8_r"),
+    ("Жители города ждут перемен, но не все верят, что они скоро наступят.", "cp1251"),
+    ("昨日の夜、首相は新しい政策について記者会見を開き、来年から実施すると発表しました。", "shift_jis"),
+    ("昨天晚上，总理在北京宣布，新的政策将从明年开始实行。这是我们国家的一个重要的决定。", "gb18030"),
+    ("Wczoraj wieczorem prezydent ogłosił, że będzie ubiegał się o reelekcję, choć źle się czuł.", "cp1250"),
+    ("El niño cantó una canción en español mientras la señora preparaba el café.", "cp1252"),
+    ("Ο πρόεδρος δήλωσε χθες το βράδυ ότι η νέα πολιτική θα ξεκινήσει την επόμενη εβδομάδα.", "cp1253"),
+)
+
+
+def o41_detect_code_page(spark, sf_dir):
+    """A page for each of the pages, its sentence in a code page that is to be found out."""
+    k = F.col("page_id")
+    told = F.get(F.array(*[F.lit(bytearray(t.encode(p))) for t, p in SENTENCES]), (k % len(SENTENCES)).cast("int"))
+    html = F.concat(F.encode(F.concat(F.lit("<p>"), k.cast("string"), F.lit(": ")), "UTF-8"), told, F.encode(F.lit("</p>"), "UTF-8"))
+    none = F.lit(None).cast("string")
+    out = P.decode_html(read_table(spark, sf_dir, "pages").select("page_id", html.alias("html"), none.alias("raw_encoding"), none.alias("http_encoding")))
+    return out.select("page_id", "text", "disposition")
+
+
+QUERIES = {f.__name__: f for f in (o23_check_length, o29_is_feed_document, o39_truncate_utf8, o40_trunc_status, o41_decode_html, o41_detect_code_page, o42_page_metadata, o42_extract_content)}
 
 CUT = f"""nf AS (SELECT doc_id, text, nfc_normalize(text) AS n FROM src),
  places AS (SELECT *, octet_length(encode(text)) AS size FROM nf),
  cut AS (SELECT doc_id, text, CASE WHEN size <= {CAP} THEN text ELSE (SELECT substr(n, 1, max(k)::BIGINT) FROM (SELECT unnest(range({CAP} // 4, least({CAP}, length(n)) + 1)) AS k) WHERE octet_length(encode(substr(n, 1, k::BIGINT))) <= {CAP}) END AS c FROM places)"""
 
 ORACLES = {
+    "o41_detect_code_page": f"SELECT page_id, '<p>' || page_id || ': ' || ([{', '.join(repr(t) for t, _ in SENTENCES)}])[page_id % {len(SENTENCES)} + 1] || '</p>' AS text, 'decoded' AS disposition FROM pages",
     "o23_check_length": """WITH s AS (SELECT page_id, CASE WHEN page_id % 11 <> 0 THEN octet_length(encode(html)) END AS size FROM pages)
 SELECT page_id, size, CASE WHEN coalesce(size, 0) = 0 THEN 'no-html' WHEN size > 8000 THEN 'oversized' ELSE 'ok' END AS status FROM s""",
     "o29_is_feed_document": "SELECT page_id, page_id % 8 IN (0, 1, 4) AS is_feed FROM pages",
