@@ -45,16 +45,21 @@ def _score(text: str, name: str, own: re.Pattern, odd: re.Pattern, common: re.Pa
     return (gain - 3 * len(odd.findall(text)) - 3 * len(_CASE.findall(text)) - 2 * len(wrong.findall(text))) / n
 
 
+#: Texts that no code page reads at least this well are taken for cp1252, if they can be that.
+LEAST = 1.1
+
+
 def likeliest(body: bytes) -> str | None:
     """The code page that the whole of a text reads best in, of those that can decode it; the first of equals. Bytes
     below 0x80 tell nothing; None if no code page fits."""
-    best, found = float("-inf"), None
+    best, found, plain = LEAST, None, None
     for name, *rules in _RULES:
         try:
             text = body.decode(name)
         except ValueError:
             continue
+        plain = plain or (name if name == CODE_PAGES[0][0] else None)
         score = _score(text, name, *rules)
         if score > best:
             best, found = score, name
-    return found
+    return found or plain

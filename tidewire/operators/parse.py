@@ -68,43 +68,68 @@ SKIPPED = {"script", "style", "noscript", "nav", "header", "footer", "aside", "f
 BLOCKS = {"p", "div", "li", "br", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "blockquote", "section", "article", "pre"}
 
 
+#: A block is a list of links if links hold this share of its characters, and it has no more words than this.
+LINK_SHARE, LINK_WORDS = 0.6, 25
+
+
 class _Body(HTMLParser):
-    """Text outside of skipped elements, and that within article elements."""
+    """Text outside of skipped elements in blocks, each with whether it is within an article element and how many
+    of its characters are links."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.skip, self.article, self.inside = 0, 0, 0
-        self.all: list[str] = []
-        self.own: list[str] = []
+        self.skip, self.article, self.inside, self.link = 0, 0, 0, 0
+        self.blocks: list[tuple[str, bool, int]] = []
+        self.parts: list[str] = []
+        self.linked, self.owned = 0, False
+
+    def flush(self):
+        """End the block that is open."""
+        if self.parts:
+            self.blocks.append(("".join(self.parts), self.owned, self.linked))
+        self.parts, self.linked, self.owned = [], 0, False
 
     def handle_starttag(self, tag, attrs):
+        if tag in BLOCKS:
+            self.flush()
         self.skip += tag in SKIPPED
         self.article += tag == "article"
         self.inside += tag == "body"
-        if tag in BLOCKS:
-            self.handle_data("\n")
+        self.link += tag == "a"
 
     def handle_endtag(self, tag):
+        if tag in BLOCKS:
+            self.flush()
         self.skip -= tag in SKIPPED and self.skip > 0
         self.article -= tag == "article" and self.article > 0
-        if tag in BLOCKS:
-            self.handle_data("\n")
+        self.link -= tag == "a" and self.link > 0
 
     def handle_data(self, data):
         if not self.skip and self.inside:
-            self.all.append(data)
-            if self.article:
-                self.own.append(data)
+            self.parts.append(data)
+            self.linked += len(data.strip()) if self.link else 0
+            self.owned = self.owned or self.article > 0
+
+
+def _is_links(text: str, linked: int) -> bool:
+    dense = len(text.strip())
+    return dense > 0 and linked >= LINK_SHARE * dense and len(text.split()) <= LINK_WORDS
 
 
 def body_text(html: str | None) -> str | None:
+    """The text of the article elements, or of the whole body where they have none, without blocks that are little
+    but links: menus, lists of other stories. A page that has nothing else keeps them."""
     if html is None:
         return None
     parser = _Body()
     parser.feed(html)
     parser.close()
-    text = "".join(parser.own) if "".join(parser.own).strip() else "".join(parser.all)
-    lines = (re.sub(r"[^\S\n]+", " ", x).strip() for x in text.split("\n"))
+    parser.flush()
+    blocks = [x for x in parser.blocks if x[1]] if any(x[1] and x[0].strip() for x in parser.blocks) else parser.blocks
+    told = [text for text, _, linked in blocks if not _is_links(text, linked)]
+    if not any(text.strip() for text in told):
+        told = [text for text, *_ in blocks]
+    lines = (re.sub(r"[^\S\n]+", " ", x).strip() for text in told for x in text.split("\n"))
     return "\n".join(x for x in lines if x)
 
 
