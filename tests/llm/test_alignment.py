@@ -3,12 +3,14 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidewire.llm import alignment as A
+from tidewire.llm.common import blocks_of
 
 PARTS = [
     "a", "b", " ", "  ", "\n", " \n", "\t", "é", "日本", "1", "23", "!", "?!", "'s", "'", "\x00", " ", " ", "\x1c", "😀", "é", "<s>", "</s>", "<unk>", "<0x41>", "the", "　", "﻿",
@@ -171,3 +173,50 @@ def test_query_against_plain_counting(spark, sf_dir, plain):
         assert r["n_links"] == len(links) and r["count_sum"] == sum(counts[x] for x in links)
         assert r["n_best"] == sum(counts[x] == most[x[1]] for x in links)
         assert (r["groups_sha256"] == "") == (r["n_a"] == 0)
+
+
+@pytest.mark.parametrize("rows", [1, 7, 1000])
+def test_blocks_do_not_depend_on_batches(rows):
+    """Blocks are as full as they can be, whatever the batches; a longer value stands alone; no row is lost."""
+    rng = random.Random(rows)
+    texts = [None if k % 11 == 0 else b"x" * rng.choice([0, 3, 40, 99, 100, 101, 500]) for k in range(400)]
+    whole = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array(texts, pa.binary())], names=["key", "text"])
+    batches = [whole.slice(0, 0), *(whole.slice(k, rows) for k in range(0, 400, rows)), whole.slice(0, 0)]
+    blocks = [b.column(1).to_pylist() for b in blocks_of(batches, 100) if b.num_rows]
+    assert [t for b in blocks for t in b] == texts
+    want, room = [], -1
+    for t in texts:
+        if (n := len(t or b"")) > room:
+            want.append([])
+            room = 100
+        want[-1].append(t)
+        room -= n
+    assert blocks == want
+
+
+def test_the_query_holds_few_rows_in_a_batch(spark, sf_dir, tmp_path, monkeypatch):
+    """Batches of rows to Python are bounded by bytes, so that long texts don't make them large; blocks stay as
+    large, and the session as it was."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    longest, total = docs.agg(F.max(F.octet_length("text")), F.sum(F.octet_length("text"))).first()
+    most = max(longest, total // 20)
+
+    def watched(batches, size):
+        def each():
+            for b in batches:
+                assert b.nbytes < most + longest + 50_000, b.nbytes
+                yield b
+
+        yield from blocks_of(each(), size)
+
+    made = []
+    monkeypatch.setattr(A, "BATCH_BYTES", most)
+    monkeypatch.setattr(A, "blocks_of", watched)
+    monkeypatch.setattr(A, "stash", lambda df, own=A.stash: made.append(own(df)) or made[-1])
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    assert total > 3 * (most + longest + 50_000)
+    assert A.op13_pointer_jumping_alignment(spark, str(tmp_path)).count() == docs.count()
+    assert spark.conf.get(name, None) == before
+    assert made[0].where("pair_a is not null").count() == -(-total // A.BLOCK_BYTES)

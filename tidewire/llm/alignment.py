@@ -26,10 +26,12 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tidewire.llm.bpe import Lists, byte_letters, numbering
-from tidewire.llm.common import parts_of, read_table, stash
+from tidewire.llm.common import arrow_batches, blocks_of, read_table, stash
 
 #: Tokenizer files that every executor has: byte-level pairs (A) and pieces with byte fallback (B).
 BYTES, PIECES = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
+#: Bytes of a batch of rows that the query passes to Python.
+BATCH_BYTES = 1 << 20
 #: Bytes of text in a block, chunks that go through a tokenizer in one text, and the chunks and bytes of chunks
 #: that a task remembers.
 BLOCK_BYTES, TOGETHER, REMEMBERED, REMEMBERED_BYTES = 3 << 20, 1000, 200_000, 16 << 20
@@ -235,27 +237,29 @@ def align_blocks(docs: DataFrame, keep: list[str | Column], text: str = "text",
     schema = T.StructType([*source.schema.fields[:-1], *FIELDS])
     names, kept = schema.names, len(source.schema.fields) - 1
 
+    def rows(chunks: Chunks, part: pa.RecordBatch, number: int) -> list[pa.RecordBatch]:
+        cut = chunks.cut(part.column(kept).to_pylist())
+        cut = [c if chunks.whole[c].all() else c[:0] for c in cut]
+        chosen, flat = np.unique(np.concatenate(cut), return_inverse=True)
+        block = Block(chunks, chosen)
+        ends = np.concatenate([[0], np.cumsum([len(c) for c in cut], dtype=np.int64)])
+        upto = {k: np.concatenate([[0], np.cumsum(v[flat])]) for k, v in block.sums.items()}
+        totals = [pa.array(np.diff(upto[k][ends])) for k in TOTALS]
+        groups = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), block.groups.take(pa.array(flat))), ";")
+        n = len(cut)
+        mark = pa.array(np.full(n, number))
+        empty = [pa.nulls(n, pa.list_(k)) for k in (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32())]
+        texts = pa.RecordBatch.from_arrays([*part.columns[:kept], mark, *totals, groups, _lists(flat, ends, pa.int32()), *empty], names=names)
+        used = np.bincount(flat, minlength=block.n)
+        times = np.bincount(block.link, weights=np.repeat(used, block.link_sizes), minlength=len(block.pairs)).astype(np.int64)
+        own = [(block.pairs // block.pair_base, pa.int32()), (block.pairs % block.pair_base, pa.int32()), (times, pa.int64()), (block.link_sizes, pa.int32()), (block.link, pa.int32())]
+        nulls = [pa.nulls(1, f.type) for f in part.schema][:kept] + [pa.array([number])] + [pa.nulls(1, pa.int64())] * 4 + [pa.nulls(1, pa.string()), pa.nulls(1, pa.list_(pa.int32()))]
+        return [texts, pa.RecordBatch.from_arrays([*nulls, *(_lists(v, np.array([0, len(v)]), kind) for v, kind in own)], names=names)]
+
     def run(batches):
-        chunks, number = Chunks(pair(a, b)), TaskContext.get().partitionId() << 32
-        for part in (p for batch in batches for p in parts_of(batch, BLOCK_BYTES)):
-            cut = chunks.cut(part.column(kept).to_pylist())
-            cut = [c if chunks.whole[c].all() else c[:0] for c in cut]
-            chosen, flat = np.unique(np.concatenate(cut), return_inverse=True)
-            block = Block(chunks, chosen)
-            ends = np.concatenate([[0], np.cumsum([len(c) for c in cut], dtype=np.int64)])
-            upto = {k: np.concatenate([[0], np.cumsum(v[flat])]) for k, v in block.sums.items()}
-            totals = [pa.array(np.diff(upto[k][ends])) for k in TOTALS]
-            groups = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), block.groups.take(pa.array(flat))), ";")
-            n = len(cut)
-            mark = pa.array(np.full(n, number))
-            empty = [pa.nulls(n, pa.list_(k)) for k in (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32())]
-            yield pa.RecordBatch.from_arrays([*part.columns[:kept], mark, *totals, groups, _lists(flat, ends, pa.int32()), *empty], names=names)
-            used = np.bincount(flat, minlength=block.n)
-            times = np.bincount(block.link, weights=np.repeat(used, block.link_sizes), minlength=len(block.pairs)).astype(np.int64)
-            own = [(block.pairs // block.pair_base, pa.int32()), (block.pairs % block.pair_base, pa.int32()), (times, pa.int64()), (block.link_sizes, pa.int32()), (block.link, pa.int32())]
-            nulls = [pa.nulls(1, f.type) for f in part.schema][:kept] + [pa.array([number])] + [pa.nulls(1, pa.int64())] * 4 + [pa.nulls(1, pa.string()), pa.nulls(1, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays([*nulls, *(_lists(v, np.array([0, len(v)]), kind) for v, kind in own)], names=names)
-            number += 1
+        chunks, first = Chunks(pair(a, b)), TaskContext.get().partitionId() << 32
+        for k, part in enumerate(p for p in blocks_of(batches, BLOCK_BYTES) if p.num_rows):
+            yield from rows(chunks, part, first + k)
 
     return source.mapInArrow(run, schema)
 
@@ -320,7 +324,8 @@ def op13_pointer_jumping_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     as align() has them, have zeros and an empty digest, and no part in the counts."""
     blocks = align_blocks(read_table(spark, sf_dir, "documents"), ["doc_id"])
     digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise(F.when(F.col("groups").isNotNull(), F.lit("")))
-    blocks = stash(blocks.withColumn("groups_sha256", digest).drop("groups"))
+    with arrow_batches(spark, BATCH_BYTES):
+        blocks = stash(blocks.withColumn("groups_sha256", digest).drop("groups"))
     rows = score_blocks(blocks, ["doc_id", "groups_sha256"], link_counts(block_pairs(blocks)))
     return rows.select("doc_id", *TOTALS, "n_best", "count_sum", "groups_sha256")
 

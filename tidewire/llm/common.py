@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -67,14 +68,51 @@ def running_sum(
     return joined.withColumn(out, total.cast("long")).drop("__bucket", "__start")
 
 
-def parts_of(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
-    """A batch in parts whose last column has about `most` bytes, or one longer value."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False)
-    upto, at = np.cumsum(sizes), 0
+def text_sizes(batch: pa.RecordBatch) -> np.ndarray:
+    """Bytes of each value of the last column."""
+    return pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False)
+
+
+def parts_of(batch: pa.RecordBatch, most: int, first: int | None = None) -> Iterator[pa.RecordBatch]:
+    """A batch in parts whose last column has about `most` bytes, or one longer value; first: those of the first part."""
+    sizes = text_sizes(batch)
+    upto, at, room = np.cumsum(sizes), 0, most if first is None else first
     while at < len(sizes):
-        end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + most, "right")))
+        end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + room, "right")))
         yield batch.slice(at, end - at)
-        at = end
+        at, room = end, most
+
+
+def blocks_of(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """All batches as blocks whose last column has `most` bytes at most, or one longer value, whatever the size of
+    the batches."""
+    held: list[pa.RecordBatch] = []
+    room = most
+    for batch in batches:
+        if held and batch.num_rows and text_sizes(batch)[0] > room:
+            yield pa.concat_batches(held)
+            held, room = [], most
+        *full, last = [*parts_of(batch, most, room)] or [batch]
+        for part in full:
+            yield pa.concat_batches([*held, part])
+            held, room = [], most
+        held.append(last)
+        room -= int(text_sizes(last).sum())
+    if held:
+        yield pa.concat_batches(held)
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, most: int) -> Iterator[None]:
+    """Inside, Python gets the rows of what is run in batches of about `most` bytes. By default a batch has 10,000
+    rows, however long their texts are; the JVM and the worker each hold it whole, for every core."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def map_texts(
